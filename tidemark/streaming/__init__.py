@@ -1,0 +1 @@
+"""Left empty on purpose: the work covered here is batch only."""
