@@ -10,6 +10,18 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_ROWS = 200_000
 
 
+def hot_keys(df: DataFrame, on: str, hot_share: int = 1000) -> DataFrame:
+    """The keys with about 1/``hot_share`` of all rows or more.
+
+    A frequent-items sketch finds them in one pass that moves only one sketch
+    per task, never the keys.  It lists at most ``hot_share`` keys.
+    """
+    sketch = F.call_function("approx_top_k", F.col(on), F.lit(hot_share), F.lit(4 * hot_share))
+    found = df.agg(sketch.alias("_top"), F.count(on).alias("_rows"))
+    items = found.select("_rows", F.explode_outer("_top").alias("_item"))
+    return items.filter(F.col("_item.count") * hot_share >= F.col("_rows")).select(F.col("_item.item").alias(on))
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
@@ -24,22 +36,18 @@ def lookup_join(
 
     ``max_rows`` is a proven bound on the rows of ``lookup``: when it is small
     the lookup is broadcast.  Otherwise this is a shuffled join in which only
-    hot keys are salted.  A key is hot when it has at least 1/``hot_share`` of
-    all left rows, so there are at most ``hot_share`` of them and the hot-key
+    hot keys are salted.  There are at most ``hot_share`` of them, so their
     table can always be broadcast.  Rows of a hot key are spread over
     ``salts`` tasks by a hash of ``salt_by`` (by default every other column),
     which gives the same answer when a lost task runs again; each lookup row
-    of a hot key is repeated once per salt.  ``how`` may be inner, left,
-    left_semi or left_anti.
+    of a hot key is repeated once per salt.  Which keys count as hot changes
+    only the spread of the work, never the result.  ``how`` may be inner,
+    left, left_semi or left_anti.
     """
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
         return left.join(F.broadcast(lookup), on, how)
 
-    counts = left.groupBy(on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot = counts.filter(F.col(on).isNotNull() & (F.col("_rows") * hot_share >= total)).select(
-        on, F.lit(True).alias("_hot")
-    )
+    hot = hot_keys(left, on, hot_share).withColumn("_hot", F.lit(True))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
 
     spread_over = list(salt_by) if salt_by else [c for c in left.columns if c != on]
