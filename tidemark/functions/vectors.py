@@ -33,12 +33,9 @@ def attribute_metadata(size: int, arity: Mapping[int, int] | None = None) -> dic
     ``arity`` maps a position to its number of categories.
     """
     arity = dict(arity or {})
-    return {
-        "ml_attr": {
-            "num_attrs": size,
-            "attrs": {
-                "numeric": [{"idx": i} for i in range(size) if i not in arity],
-                "nominal": [{"idx": i, "num_vals": n} for i, n in sorted(arity.items())],
-            },
-        }
+    attributes = {
+        "numeric": [{"idx": i} for i in range(size) if i not in arity],
+        "nominal": [{"idx": i, "num_vals": n} for i, n in sorted(arity.items())],
     }
+    # Spark cannot read an empty list back as a list of attributes.
+    return {"ml_attr": {"num_attrs": size, "attrs": {kind: a for kind, a in attributes.items() if a}}}

@@ -11,7 +11,11 @@ from ..functions.vectors import to_vector
 from ..sources.delimited import split_columns, split_first_tab
 
 
-def drop_header_lines(lines: DataFrame, header_mark: str = "id_1") -> DataFrame:
+# Fixed value: text that only header lines contain.
+HEADER_MARK = "id_1"
+
+
+def drop_header_lines(lines: DataFrame, header_mark: str = HEADER_MARK) -> DataFrame:
     """Remove the header line that every input file repeats."""
     return lines.filter(~F.col("value").contains(header_mark))
 
@@ -27,13 +31,16 @@ def parse_comparisons(
 
     Missing scores are NULL.  Header lines are dropped.
     """
-    parts = F.split(F.col("value"), ",")
+    # The failing conversions are guarded by the header test themselves: Spark
+    # may evaluate a filter after the expressions of a later one.
+    parts = F.split(F.when(~F.col("value").contains(HEADER_MARK), F.col("value")), ",")
+    record = F.col("parts").isNotNull()
     read_id = int_or_null if lenient else strict_int
-    split_lines = drop_header_lines(lines).select(parts.alias("parts"))
     middle = F.slice("parts", F.lit(3), F.greatest(F.size("parts") - 3, F.lit(0)))
+    split_lines = lines.select(parts.alias("parts")).filter(record)
     return split_lines.select(
-        read_id(F.get("parts", F.lit(0)), id_type).alias("id1"),
-        read_id(F.get("parts", F.lit(1)), id_type).alias("id2"),
+        F.when(record, read_id(F.get("parts", F.lit(0)), id_type)).alias("id1"),
+        F.when(record, read_id(F.get("parts", F.lit(1)), id_type)).alias("id2"),
         F.transform(middle, lambda p: number_or_missing(p, missing, lenient)).alias("scores"),
         is_true_word(F.get("parts", F.lit(matched_position))).alias("matched"),
     )
@@ -64,9 +71,10 @@ def parse_aliases(lines: DataFrame, lenient: bool = False) -> DataFrame:
     not a whole number fails the job, or drops the line in lenient mode.
     """
     count, left, rest = split_first_tab()
-    kept = lines.filter((count == 2) & (left != ""))
+    kept = (count == 2) & (left != "")
     read_id = int_or_null if lenient else strict_int
-    return kept.select(read_id(left).alias("bad_id"), read_id(rest).alias("good_id")).dropna()
+    pairs = lines.select(F.when(kept, read_id(left)).alias("bad_id"), F.when(kept, read_id(rest)).alias("good_id"))
+    return pairs.dropna()
 
 
 def parse_ratings(lines: DataFrame) -> DataFrame:

@@ -2,12 +2,11 @@ from .delimited import read_header_csv, read_numeric_csv, split_columns, split_f
 from .lines import read_lines, read_word_list, write_lines
 from .scratch import checkpointed, scratch_path
 from .tables import load_table, spread_small_scan
-from .tagged import page_element, read_tagged_xml
+from .tagged import read_tagged_xml, write_tagged_xml
 
 __all__ = [
     "checkpointed",
     "load_table",
-    "page_element",
     "read_header_csv",
     "read_lines",
     "read_numeric_csv",
@@ -18,4 +17,5 @@ __all__ = [
     "split_first_tab",
     "spread_small_scan",
     "write_lines",
+    "write_tagged_xml",
 ]

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 PAGE_SCHEMA = "title STRING, ns INT, redirect STRUCT<_title: STRING>, revision STRUCT<text: STRING>"
 
 
 def read_tagged_xml(spark: SparkSession, path: str, row_tag: str = "page", schema: str = PAGE_SCHEMA) -> DataFrame:
-    """One row per ``<row_tag>`` element of the files under ``path``."""
+    """One row per ``<row_tag>`` element of the files under ``path``.
+
+    Each file must be one well-formed document, its records below one root.
+    """
     return (
         spark.read.format("xml")
         .option("rowTag", row_tag)
@@ -18,20 +21,6 @@ def read_tagged_xml(spark: SparkSession, path: str, row_tag: str = "page", schem
     )
 
 
-def _escaped(text: Column) -> Column:
-    for raw, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
-        text = F.replace(text, F.lit(raw), F.lit(entity))
-    return text
-
-
-def page_element(title: Column, text: Column, namespace: Column, redirect: Column | None = None) -> Column:
-    """One page record as an XML string, the form ``read_tagged_xml`` reads."""
-    target = F.lit("")
-    if redirect is not None:
-        quoted = F.replace(_escaped(redirect), F.lit('"'), F.lit("&quot;"))
-        target = F.coalesce(F.concat(F.lit('<redirect title="'), quoted, F.lit('"/>')), F.lit(""))
-    return F.concat(
-        F.lit("<page><title>"), _escaped(title), F.lit("</title><ns>"), namespace.cast("string"),
-        F.lit("</ns>"), target, F.lit("<revision><text>"), _escaped(text),
-        F.lit("</text></revision></page>"),
-    )
+def write_tagged_xml(df: DataFrame, path: str, row_tag: str = "page", root_tag: str = "mediawiki") -> None:
+    """Write one ``<row_tag>`` element per row, below one root per file."""
+    df.write.mode("errorifexists").format("xml").option("rowTag", row_tag).option("rootTag", root_tag).save(path)
