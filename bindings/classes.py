@@ -19,7 +19,7 @@ from tidemark.operators.parsing import collapse_indicators, parse_labelled_numbe
 from tidemark.operators.sampling import key_split, with_split
 from tidemark.operators.trees import fit_forest, fit_tree, grid_search, labelled_vectors, predict, predict_one
 from tidemark.plans.classification import tree_report
-from tidemark.sources import load_table
+from tidemark.sources import load_table, spread_small_scan
 
 from .common import embeddings, rounded
 
@@ -110,7 +110,8 @@ def metrics(spark, folder):
 
 
 def _vectors(spark: SparkSession, folder: str) -> DataFrame:
-    return labelled_vectors(embeddings(spark, folder), DIMENSIONS, keep=["vec_id"])
+    rows = spread_small_scan(embeddings(spark, folder), "vec_id")
+    return labelled_vectors(rows, DIMENSIONS, keep=["vec_id"])
 
 
 def tree_majority(spark, folder):

@@ -20,7 +20,7 @@ from tidemark.operators.clusters import (
 from tidemark.operators.parsing import parse_connections, with_features
 from tidemark.operators.profiling import value_histogram
 from tidemark.plans.outliers import outlier_report
-from tidemark.sources import load_table
+from tidemark.sources import load_table, spread_small_scan
 
 from .classes import NEAREST
 from .common import embeddings, rounded
@@ -33,7 +33,8 @@ def connection_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("user"), F.col("user_id").cast("string")), F.col("user_id").cast("string"),
         F.get_json_object("props", "$.k"), F.col("event_type"),
     ]
-    return load_table(spark, folder, "events").select(F.concat_ws(",", *fields).alias("value"))
+    events = spread_small_scan(load_table(spark, folder, "events"), "event_id")
+    return events.select(F.concat_ws(",", *fields).alias("value"))
 
 
 def last_field_histogram(spark, folder):

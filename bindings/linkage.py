@@ -13,7 +13,7 @@ from tidemark.operators.linkage import cutoff_counts, field_contrast, with_score
 from tidemark.operators.lookups import lookup_join
 from tidemark.operators.parsing import drop_header_lines, parse_comparisons, pick_positions
 from tidemark.operators.profiling import column_stats, first_rows, row_count, score_stats, value_histogram
-from tidemark.sources import load_table, read_header_csv, read_lines, scratch_path, write_lines
+from tidemark.sources import checkpointed, load_table, read_header_csv, read_lines, scratch_path, write_lines
 
 from .common import documents, rounded
 
@@ -43,7 +43,8 @@ def _compared_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.try_element_at("w", F.lit(-1)).alias("last"),
         F.sha2("text", 256).alias("content"),
     )
-    return facts.join(load_table(spark, folder, "labels"), "doc_id", "left")
+    # The facts are a small part of the text and are needed twice.
+    return checkpointed(facts.join(load_table(spark, folder, "labels"), "doc_id", "left"))
 
 
 def compared_pairs(spark: SparkSession, folder: str) -> DataFrame:

@@ -32,6 +32,7 @@ from tidemark.operators.terms import (
 from tidemark.operators.reshaping import term_map
 from tidemark.plans.latent_concepts import fit_concepts
 from tidemark.sources import (
+    checkpointed,
     load_table,
     read_lines,
     read_numeric_csv,
@@ -183,7 +184,7 @@ def _plural_lemmas(counts: DataFrame) -> DataFrame:
 def lemma_counts(spark, folder):
     """Document frequencies after plurals were merged with their stems."""
     tf = _tf(spark, folder)
-    merged = apply_lemmas(tf, _plural_lemmas(document_frequency(tf)))
+    merged = apply_lemmas(tf, checkpointed(_plural_lemmas(checkpointed(document_frequency(tf)))))
     return merged.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
 
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
@@ -99,18 +101,28 @@ def mean_distance(assigned: DataFrame) -> DataFrame:
 
 
 def sweep_cluster_counts(
-    df: DataFrame, counts: Sequence[int] = (5, 10, 15, 20, 25, 30, 35, 40), seed: int = 17
+    df: DataFrame,
+    counts: Sequence[int] = (5, 10, 15, 20, 25, 30, 35, 40),
+    seed: int = 17,
+    parallelism: int = 4,
 ) -> DataFrame:
-    """(k, mean_distance) of a fit per k; the vectors are kept while it runs."""
+    """(k, mean_distance) of a fit per k.
+
+    The vectors are kept in memory or on disk while the fits run, a few at a
+    time; all fits are then scored in one pass.
+    """
     vectors = df.select("features").persist()
     try:
-        scores = []
-        for k in counts:
-            assigned = assign_clusters(vectors, fit_kmeans(vectors, k, seed))
-            scores.append((k, mean_distance(assigned).first()["mean_distance"]))
+        with ThreadPool(min(parallelism, len(counts))) as pool:
+            fit = inheritable_thread_target(df.sparkSession)(lambda k: fit_kmeans(vectors, k, seed))
+            models = pool.map(fit, counts, chunksize=1)
+        scored = vectors
+        for i, model in enumerate(models):
+            scored = assign_clusters(scored, model).withColumnsRenamed({"cluster": f"_c{i}", "distance": f"_d{i}"})
+        means = scored.agg(*[F.avg(f"_d{i}") for i in range(len(counts))]).first()
     finally:
         vectors.unpersist()
-    return df.sparkSession.createDataFrame(scores, "k INT, mean_distance DOUBLE")
+    return df.sparkSession.createDataFrame(list(zip(counts, means)), "k INT, mean_distance DOUBLE")
 
 
 def far_rows(assigned: DataFrame, n: int = 100) -> DataFrame:

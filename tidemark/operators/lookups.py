@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.scratch import checkpointed
+
 # A side is broadcast only when its row count is known to stay below this.
 BROADCAST_ROWS = 200_000
 
@@ -22,32 +24,45 @@ def hot_keys(df: DataFrame, on: str, hot_share: int = 1000) -> DataFrame:
     return items.filter(F.col("_item.count") * hot_share >= F.col("_rows")).select(F.col("_item.item").alias(on))
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a frame has at most ``max_rows`` rows, by counting that far."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def lookup_join(
     left: DataFrame,
     lookup: DataFrame,
     on: str,
     how: str = "inner",
     max_rows: int | None = None,
+    hot: DataFrame | None = None,
     salt_by: Sequence[str] | None = None,
+    costly_left: bool = False,
     hot_share: int = 1000,
     salts: int = 512,
 ) -> DataFrame:
     """Join ``lookup`` to ``left`` on one column, whatever the key skew.
 
-    ``max_rows`` is a proven bound on the rows of ``lookup``: when it is small
-    the lookup is broadcast.  Otherwise this is a shuffled join in which only
-    hot keys are salted.  There are at most ``hot_share`` of them, so their
-    table can always be broadcast.  Rows of a hot key are spread over
-    ``salts`` tasks by a hash of ``salt_by`` (by default every other column),
-    which gives the same answer when a lost task runs again; each lookup row
-    of a hot key is repeated once per salt.  Which keys count as hot changes
-    only the spread of the work, never the result.  ``how`` may be inner,
-    left, left_semi or left_anti.
+    A lookup of few rows is broadcast: ``max_rows`` is a bound known
+    beforehand, and without one the rows are counted.  A larger lookup is
+    shuffled, and only hot keys are salted.  They are given as ``hot``, or
+    found by reading the keys of ``left`` once more; with ``costly_left`` the
+    left rows are checkpointed first, so that they are not computed twice.
+    There are at most ``hot_share`` hot keys, so their table can always be
+    broadcast.  Rows of a hot key are spread over ``salts`` tasks by a hash of
+    ``salt_by`` (by default every other column), which gives the same answer
+    when a lost task runs again; each lookup row of a hot key is repeated once
+    per salt.  Which keys count as hot changes only the spread of the work,
+    never the result.  ``how`` may be inner, left, left_semi or left_anti.
     """
-    if max_rows is not None and max_rows <= BROADCAST_ROWS:
+    small = max_rows <= BROADCAST_ROWS if max_rows is not None else is_small(lookup)
+    if small:
         return left.join(F.broadcast(lookup), on, how)
 
-    hot = hot_keys(left, on, hot_share).withColumn("_hot", F.lit(True))
+    if hot is None:
+        left = checkpointed(left) if costly_left else left
+        hot = hot_keys(left, on, hot_share)
+    hot = hot.select(on, F.lit(True).alias("_hot"))
     is_hot = F.coalesce(F.col("_hot"), F.lit(False))
 
     spread_over = list(salt_by) if salt_by else [c for c in left.columns if c != on]

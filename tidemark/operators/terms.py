@@ -13,6 +13,9 @@ from .lookups import lookup_join
 from .ranking import dense_ids
 from .reshaping import explode_array
 
+# How many of the most frequent terms a salted vocabulary join spreads.
+HOT_TERMS = 1000
+
 # Fixed value: namespace number of encyclopedia articles.
 ARTICLE_NAMESPACE = 0
 
@@ -140,14 +143,16 @@ def vocabulary(tf: DataFrame, num_terms: int | None = None) -> DataFrame:
 def tfidf(tf: DataFrame, vocab: DataFrame, key: str = "doc_id", max_terms: int | None = None) -> DataFrame:
     """(key, term_id, term, weight) with weight = idf * tf / tokens in document.
 
-    ``max_terms`` is the bound the vocabulary was built with, if any: it
-    decides between a broadcast and a salted join.
+    ``max_terms`` is the bound the vocabulary was built with, if any.  A
+    vocabulary too large to broadcast is joined by a shuffle that spreads its
+    most frequent terms.
     """
     joined = lookup_join(
         tf.select(key, "doc_total", "term", "tf"),
         vocab.select("term", "term_id", "idf"),
         "term",
         max_rows=max_terms,
+        hot=vocab.orderBy(F.desc("df"), "term").limit(HOT_TERMS).select("term"),
         salt_by=[key],
     )
     weight = F.col("idf") * F.col("tf") / F.col("doc_total")
