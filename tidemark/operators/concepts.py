@@ -106,9 +106,11 @@ def truncated_svd(
     """The ``k`` largest singular values above ``r_cond`` times the largest.
 
     ``gramian`` makes one pass and solves a columns-by-columns problem on the
-    driver.  ``iterative`` lets Spark run one job per solver step, which is
-    slower but takes more columns and keeps very small values exact.  Each
-    concept is signed so that its largest term weight is positive.
+    driver; as that works on squares, values below about 1e-7 of the largest
+    are dropped as unresolvable.  ``iterative`` lets Spark run one job per
+    solver step, which is slower but takes more columns and resolves smaller
+    values.  Each concept is signed so that its largest term weight is
+    positive.
     """
     if method == "iterative":
         matrix = _row_matrix(vectors, column)
@@ -119,7 +121,9 @@ def truncated_svd(
     values, columns = np.linalg.eigh(gramian(vectors, column))
     order = np.argsort(values)[::-1][:k]
     sigma = np.sqrt(np.clip(values[order], 0.0, None))
-    kept = sigma > r_cond * sigma[0] if len(sigma) else sigma > 0
+    # Below this the squares drown in rounding error and hold no value.
+    resolution = np.sqrt(len(values) * np.finfo(float).eps)
+    kept = sigma > max(r_cond, resolution) * sigma[0] if len(sigma) else sigma > 0
     return Decomposition(sigma[kept], _with_fixed_signs(columns[:, order][:, kept]))
 
 
