@@ -10,6 +10,7 @@ from tidemark.operators.concepts import (
     document_vectors,
     document_weights,
     gramian_entries,
+    heaviest_documents,
     top_documents,
     top_terms,
     truncated_svd,
@@ -318,7 +319,7 @@ def given_top_docs(spark, folder):
     for row in sums.collect():
         v[row["term_id"], row["concept"]] = row["weight"]
     sigma = np.sqrt((v**2).sum(axis=0))
-    weights = document_weights(document_vectors(docs, vocab), v, sigma)
+    weights = heaviest_documents(document_vectors(docs, vocab), v, sigma, 10)
     best = top_documents(weights, docs, 10, title="lang")
     return rounded(best.select("concept", "rank", "weight"), "weight", places=5)
 

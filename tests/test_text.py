@@ -14,6 +14,7 @@ from tidemark.operators.concepts import (
     document_weights,
     gramian,
     gramian_entries,
+    heaviest_documents,
     top_documents,
     top_terms,
     truncated_svd,
@@ -185,6 +186,22 @@ def test_top_terms_and_documents(docs):
     model.release()
 
 
+@pytest.mark.parametrize("n", [1, 3, 100])
+def test_heaviest_documents_are_the_top_of_all_weights(spark, n):
+    docs = load_table(spark, "/root/testdata/sf0.001", "documents").repartition(5, "doc_id")
+    tokens = T.document_tokens(docs)
+    vectors = document_vectors(tokens, T.vocabulary(T.term_frequency(tokens), 50)).persist()
+    svd = truncated_svd(vectors, 4)
+    titles = docs.select("doc_id", F.col("source").alias("title"))
+    every = document_weights(vectors, svd.v, svd.sigma)
+    some = heaviest_documents(vectors, svd.v, svd.sigma, n)
+    one = {(r.concept, r.rank): r.doc_id for r in top_documents(every, titles, n).collect()}
+    other = {(r.concept, r.rank): r.doc_id for r in top_documents(some, titles, n).collect()}
+    assert one == other and len(one) == 4 * min(n, vectors.count())
+    assert some.count() <= 5 * 4 * n
+    vectors.unpersist()
+
+
 def test_ties_in_top_tables_go_to_the_lower_id(spark):
     weights = spark.createDataFrame([(0, 5, 1.0), (0, 2, 1.0), (0, 9, 0.5)], "concept INT, term_id BIGINT, weight DOUBLE")
     vocab = spark.createDataFrame([(2, "b"), (5, "e"), (9, "i")], "term_id BIGINT, term STRING")

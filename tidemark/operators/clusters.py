@@ -10,11 +10,10 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import euclidean, matrix_literal
 from ..functions.vectors import to_array, to_vector
-from .ranking import nth_largest
 
 
 def fit_kmeans(
@@ -126,6 +125,12 @@ def sweep_cluster_counts(
 
 
 def far_rows(assigned: DataFrame, n: int = 100) -> DataFrame:
-    """Rows farther from their centre than the n-th largest distance."""
-    threshold = nth_largest(assigned, "distance", n).scalar()
-    return assigned.filter(F.col("distance") > threshold)
+    """Rows farther from their centre than the n-th largest distance.
+
+    Fewer than ``n`` rows can be strictly beyond it, and they are all among
+    the ``n`` farthest, so one pass that keeps those is enough.  With fewer
+    than ``n`` rows the smallest distance takes its place.
+    """
+    farthest = assigned.orderBy(F.desc("distance")).limit(n)
+    nth = F.min("distance").over(Window.partitionBy())
+    return farthest.withColumn("_nth", nth).filter(F.col("distance") > F.col("_nth")).drop("_nth")

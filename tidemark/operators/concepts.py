@@ -18,6 +18,8 @@ from .reshaping import explode_array
 
 # The Gramian of the matrix is held on the driver: columns squared doubles.
 GRAMIAN_COLUMNS = 8_000
+# The terms and idf of a document-term matrix go to every task.
+VOCABULARY_TERMS = 200_000
 
 
 @dataclass(frozen=True)
@@ -47,10 +49,12 @@ class Decomposition:
 def document_vectors(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", min_tokens: int = 2) -> DataFrame:
     """(key, weights): one sparse TF-IDF row per document, nothing shuffled.
 
-    ``vocab`` must have a bounded number of terms, as its terms and idf go to
-    every task.  Documents with too few tokens get an all-zero row.
+    ``vocab`` may hold up to ``VOCABULARY_TERMS`` terms.  Documents with too
+    few tokens get an all-zero row.
     """
-    entries = vocab.orderBy("term_id").select("term", "idf").collect()
+    entries = vocab.orderBy("term_id").select("term", "idf").limit(VOCABULARY_TERMS + 1).collect()
+    if len(entries) > VOCABULARY_TERMS:
+        raise ValueError(f"more than {VOCABULARY_TERMS} terms; build the vocabulary with num_terms")
     counter = CountVectorizerModel.from_vocabulary(
         [e.term for e in entries], inputCol="_tokens", outputCol="_counts"
     )
@@ -127,6 +131,11 @@ def truncated_svd(
     return Decomposition(sigma[kept], _with_fixed_signs(columns[:, order][:, kept]))
 
 
+def _projection(vectors: DataFrame, v: np.ndarray, sigma: np.ndarray):
+    """V S^-1, terms by concepts, as a value shared by all tasks."""
+    return vectors.sparkSession.sparkContext.broadcast(np.asarray(v) / np.asarray(sigma))
+
+
 def document_weights(
     vectors: DataFrame, v: np.ndarray, sigma: np.ndarray, key: str = "doc_id", column: str = "weights"
 ) -> DataFrame:
@@ -135,7 +144,7 @@ def document_weights(
     Each document's row is multiplied in place, so ids stay with their rows
     and nothing is shuffled; only V, terms by concepts, goes to the tasks.
     """
-    projection = vectors.sparkSession.sparkContext.broadcast(np.asarray(v) / np.asarray(sigma))
+    projection = _projection(vectors, v, sigma)
 
     @F.pandas_udf("array<double>")
     def project(indices: pd.Series, values: pd.Series) -> pd.Series:
@@ -148,6 +157,47 @@ def document_weights(
     return explode_array(projected, "_u", "concept", "weight", key)
 
 
+def heaviest_documents(
+    vectors: DataFrame,
+    v: np.ndarray,
+    sigma: np.ndarray,
+    n: int,
+    key: str = "doc_id",
+    column: str = "weights",
+) -> DataFrame:
+    """The rows of ``document_weights`` that can be among the top ``n``.
+
+    Each task keeps its own ``n`` best documents per concept while it reads,
+    so the documents-by-concepts table is never written out or sorted.  Equal
+    weights go to the lower key.
+    """
+    projection = _projection(vectors, v, sigma)
+    indices, values = sparse_parts(F.col(column))
+    rows = vectors.select(F.col(key).alias("key"), indices.alias("i"), values.alias("w"))
+
+    def best(batches):
+        by_term = projection.value
+        concepts = by_term.shape[1]
+        kept = [(np.empty(0), np.empty(0)) for _ in range(concepts)]
+        for batch in batches:
+            batch = batch.sort_values("key", kind="stable")
+            keys = batch["key"].to_numpy()
+            weights = np.stack([w @ by_term[i] for i, w in zip(batch["i"], batch["w"])])
+            for c in range(concepts):
+                old_keys, old_weights = kept[c]
+                good = weights[:, c] >= old_weights[-1] if len(old_weights) >= n else slice(None)
+                all_keys = np.concatenate([old_keys, keys[good]]) if len(old_keys) else keys[good]
+                all_weights = np.concatenate([old_weights, weights[good, c]])
+                by_key = np.argsort(all_keys, kind="stable")
+                order = by_key[np.argsort(-all_weights[by_key], kind="stable")][:n]
+                kept[c] = (all_keys[order], all_weights[order])
+        for c, (keys, weights) in enumerate(kept):
+            yield pd.DataFrame({key: keys, "concept": np.int32(c), "weight": weights})
+
+    types = {f.name: f.dataType.simpleString() for f in vectors.schema}
+    return rows.mapInPandas(best, f"{key} {types[key]}, concept INT, weight DOUBLE")
+
+
 def top_terms(weights: DataFrame, vocab: DataFrame, n: int) -> DataFrame:
     """(concept, rank, term, weight): the heaviest terms of each concept."""
     best = top_per_group(weights, "concept", n, [F.desc("weight"), F.col("term_id")])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..operators.concepts import (
     Decomposition,
     document_vectors,
-    document_weights,
+    heaviest_documents,
     top_documents,
     top_terms,
     truncated_svd,
@@ -34,7 +34,7 @@ class ConceptModel:
         return top_terms(weights, self.vocab, n)
 
     def top_documents(self, titles: DataFrame, n: int, title: str = "title") -> DataFrame:
-        weights = document_weights(self.vectors, self.svd.v, self.svd.sigma, self.key)
+        weights = heaviest_documents(self.vectors, self.svd.v, self.svd.sigma, n, self.key)
         return top_documents(weights, titles, n, self.key, title)
 
     def release(self) -> None:
