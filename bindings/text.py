@@ -241,10 +241,9 @@ def svd_energy(spark, folder):
 
 def svd_methods(spark, folder):
     """Largest difference between the two ways to the same singular values."""
-    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights")).persist()
+    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
     one = truncated_svd(rows, 5).singular_values(spark)
     other = truncated_svd(rows, 5, method="iterative").singular_values(spark).withColumnRenamed("sigma", "_other")
-    rows.unpersist()
     gap = F.max(F.abs(F.col("sigma") - F.col("_other")))
     return one.join(other, "concept").agg(F.count(F.lit(1)).alias("n"), (gap < 1e-6).alias("same"))
 
@@ -289,6 +288,15 @@ def lsa_shape(spark, folder):
     return weights.groupBy("concept").agg(F.round(length, 6).alias("length"), F.count("doc_id").alias("documents"))
 
 
+def svd_1000(spark, folder):
+    """Up to 1000 concepts: singular value, and length of the document column."""
+    model = fit_concepts(_tokens(spark, folder), 1000, NUM_TERMS)
+    weights = document_weights(model.vectors, model.svd.v, model.svd.sigma)
+    length = F.round(F.sqrt(F.sum(F.col("weight") * F.col("weight"))), 6)
+    lengths = weights.groupBy("concept").agg(length.alias("length"))
+    return lengths.join(F.broadcast(model.singular_values()), "concept")
+
+
 LANGUAGES = ["de", "en", "es", "fr"]
 
 
@@ -352,6 +360,7 @@ QUERIES = {
     "lsa_top_terms": lsa_top_terms,
     "lsa_top_docs": lsa_top_docs,
     "lsa_shape": lsa_shape,
+    "svd_1000": svd_1000,
     "given_top_terms": given_top_terms,
     "given_top_docs": given_top_docs,
 }

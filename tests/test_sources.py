@@ -81,3 +81,16 @@ def test_checkpoint_cuts_the_plan(spark):
     kept = checkpointed(spark.range(5).select((F.col("id") * 2).alias("x")))
     assert sorted(r.x for r in kept.collect()) == [0, 2, 4, 6, 8]
     assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_kept_leaves_a_persisted_frame_alone(spark):
+    from tidemark.sources import kept
+
+    mine = spark.range(7).persist()
+    with kept(mine) as same:
+        assert same is mine
+    assert mine.is_cached and mine.storageLevel.useMemory
+    mine.unpersist()
+    with kept(spark.range(8)) as other:
+        assert other.storageLevel.useMemory
+    assert not other.storageLevel.useMemory

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import euclidean, matrix_literal
 from ..functions.vectors import to_array, to_vector
+from ..sources.caching import kept
 
 
 def fit_kmeans(
@@ -110,8 +111,7 @@ def sweep_cluster_counts(
     The vectors are kept in memory or on disk while the fits run, a few at a
     time; all fits are then scored in one pass.
     """
-    vectors = df.select("features").persist()
-    try:
+    with kept(df.select("features")) as vectors:
         with ThreadPool(min(parallelism, len(counts))) as pool:
             fit = inheritable_thread_target(df.sparkSession)(lambda k: fit_kmeans(vectors, k, seed))
             models = pool.map(fit, counts, chunksize=1)
@@ -119,8 +119,6 @@ def sweep_cluster_counts(
         for i, model in enumerate(models):
             scored = assign_clusters(scored, model).withColumnsRenamed({"cluster": f"_c{i}", "distance": f"_d{i}"})
         means = scored.agg(*[F.avg(f"_d{i}") for i in range(len(counts))]).first()
-    finally:
-        vectors.unpersist()
     return df.sparkSession.createDataFrame(list(zip(counts, means)), "k INT, mean_distance DOUBLE")
 
 

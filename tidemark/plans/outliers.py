@@ -8,6 +8,7 @@ from pyspark.ml.clustering import KMeansModel
 from pyspark.sql import DataFrame
 
 from ..operators.clusters import assign_clusters, cluster_label_counts, far_rows, fit_kmeans
+from ..sources.caching import kept
 
 
 @dataclass(frozen=True)
@@ -19,10 +20,7 @@ class OutlierReport:
 
 def outlier_report(rows: DataFrame, k: int = 150, n: int = 100, seed: int = 17) -> OutlierReport:
     """``rows`` has (label, features, ...); outliers keep all its columns."""
-    kept = rows.persist()
-    try:
-        model = fit_kmeans(kept, k, seed)
-    finally:
-        kept.unpersist()
+    with kept(rows):
+        model = fit_kmeans(rows, k, seed)
     assigned = assign_clusters(rows, model)
     return OutlierReport(model, cluster_label_counts(assigned), far_rows(assigned, n))

@@ -1,3 +1,4 @@
+from .caching import kept
 from .delimited import read_header_csv, read_numeric_csv, split_columns, split_first_tab
 from .lines import read_lines, read_word_list, write_lines
 from .scratch import checkpointed, scratch_path
@@ -6,6 +7,7 @@ from .tagged import read_tagged_xml, write_tagged_xml
 
 __all__ = [
     "checkpointed",
+    "kept",
     "load_table",
     "read_header_csv",
     "read_lines",
