@@ -70,16 +70,15 @@ def text_roundtrip(spark, folder):
 
 
 def numeric_csv_scan(spark, folder):
-    """Order lines written as bare numbers and read back, totals per order line number."""
+    """Order lines written as bare numbers and read back, totals in hundredths per line number."""
     names = ["linenumber", "quantity", "price", "discount", "tax"]
     columns = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     path = scratch_path(spark, "numbers")
     load_table(spark, folder, "lineitem").select(*columns).write.csv(path)
     back = read_numeric_csv(spark, path, names)
-    totals = back.groupBy(F.col("linenumber").cast("int").alias("linenumber")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in names[1:]]
+    return back.groupBy(F.col("linenumber").cast("int").alias("linenumber")).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(F.round(F.col(c) * 100).cast("bigint")).alias(c) for c in names[1:]]
     )
-    return rounded(totals, *names[1:], places=1)
 
 
 def _page_titles(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,7 +189,7 @@ def lemma_counts(spark, folder):
 
 
 def setup_map(spark, folder):
-    """Kept tokens per document, counted by a pattern compiled once per task."""
+    """The longest word per document, by a pattern compiled once per task."""
 
     def setup():
         import re
@@ -288,6 +287,15 @@ def lsa_shape(spark, folder):
     return weights.groupBy("concept").agg(F.round(length, 6).alias("length"), F.count("doc_id").alias("documents"))
 
 
+def lsa_term_weights(spark, folder):
+    """Per concept: length of its term column, and how many terms it has."""
+    model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
+    model.release()
+    weights = model.svd.term_weights(spark)
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
+    return weights.groupBy("concept").agg(F.round(length, 6).alias("length"), F.count("term_id").alias("terms"))
+
+
 def svd_1000(spark, folder):
     """Up to 1000 concepts: singular value, and length of the document column."""
     model = fit_concepts(_tokens(spark, folder), 1000, NUM_TERMS)
@@ -360,6 +368,7 @@ QUERIES = {
     "lsa_top_terms": lsa_top_terms,
     "lsa_top_docs": lsa_top_docs,
     "lsa_shape": lsa_shape,
+    "lsa_term_weights": lsa_term_weights,
     "svd_1000": svd_1000,
     "given_top_terms": given_top_terms,
     "given_top_docs": given_top_docs,
@@ -432,9 +441,12 @@ v AS (SELECT concept, term_id, term, sum(weight) AS weight FROM lw WHERE concept
 ORACLE = {
     "text_roundtrip": "SELECT md5(line) AS line, count(*) AS n FROM "
     "(SELECT unnest(string_split(text, chr(10))) AS line FROM documents) GROUP BY 1",
-    "numeric_csv_scan": "SELECT l_linenumber AS linenumber, count(*) AS n, round(sum(l_quantity), 1) AS quantity, "
-    "round(sum(l_extendedprice), 1) AS price, round(sum(l_discount), 1) AS discount, round(sum(l_tax), 1) AS tax "
-    "FROM lineitem GROUP BY l_linenumber",
+    "numeric_csv_scan": "SELECT l_linenumber AS linenumber, count(*) AS n, "
+    + ", ".join(
+        f"CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS BIGINT) AS {n}"
+        for c, n in [("l_quantity", "quantity"), ("l_extendedprice", "price"), ("l_discount", "discount"), ("l_tax", "tax")]
+    )
+    + " FROM lineitem GROUP BY l_linenumber",
     "tagged_xml_pages": f"WITH {_TITLES} SELECT title, ns, redirect, md5(html) AS content FROM dump",
     "xml_articles": f"WITH {_TITLES}, a AS ({_ARTICLES}) SELECT title, md5(content) AS content, "
     "CAST(length(content) AS INTEGER) AS n_chars FROM a",
@@ -457,6 +469,9 @@ ORACLE = {
     "WHERE term LIKE '%s' AND left(term, length(term) - 1) IN (SELECT term FROM df)), "
     "merged AS (SELECT doc_id, coalesce(lemma, term) AS term, sum(tf) AS tf FROM tf LEFT JOIN lemmas USING (term) GROUP BY ALL) "
     "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM merged GROUP BY term",
+    "setup_map": "SELECT doc_id, CAST(coalesce(list_max(list_transform("
+    r"regexp_extract_all(text, '[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)*'), lambda w: length(w))), 0) AS INTEGER) AS longest "
+    "FROM documents",
     "vocab_top_n": f"WITH {_TF} SELECT term_id, term, df FROM numbered WHERE term_id < {NUM_TERMS}",
     "full_vocabulary": f"WITH {_TF} SELECT term_id, term, df FROM numbered",
     "idf": f"WITH {_TF} SELECT term, round(idf, 6) AS idf FROM numbered WHERE term_id < {NUM_TERMS}",
@@ -475,6 +490,8 @@ ORACLE = {
     "lsa_energy": f"WITH {_TOP} SELECT round(sum(weight * weight), 4) AS energy FROM w",
     "lsa_shape": f"WITH {_TOP} SELECT CAST(c AS INTEGER) AS concept, CAST(1 AS DOUBLE) AS length, "
     f"(SELECT count(*) FROM documents) AS documents FROM range({CONCEPTS}) r(c)",
+    "lsa_term_weights": f"WITH {_TOP} SELECT CAST(c AS INTEGER) AS concept, CAST(1 AS DOUBLE) AS length, "
+    f"(SELECT count(DISTINCT term_id) FROM w) AS terms FROM range({CONCEPTS}) r(c)",
     "given_top_terms": f"WITH {_LANG_V}, ranked AS (SELECT *, row_number() OVER (PARTITION BY concept ORDER BY weight DESC, term_id) "
     "AS rank FROM v) SELECT concept, CAST(rank AS INTEGER) AS rank, term, round(weight, 5) AS weight FROM ranked WHERE rank <= 10",
     "given_top_docs": f"WITH {_LANG_V}, s AS (SELECT concept, sqrt(sum(weight * weight)) AS sigma FROM v GROUP BY concept), "

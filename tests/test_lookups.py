@@ -53,6 +53,8 @@ def test_no_rows_at_all(skewed):
 def test_small_lookup_is_broadcast_large_is_not(skewed):
     left, lookup = skewed
     assert is_small(lookup, 599) and not is_small(lookup, 598)
+    assert not is_small(lookup, 599, max_bytes=1000)
+    assert is_small(lookup.limit(0))
 
     def plan(frame):
         return frame._jdf.queryExecution().optimizedPlan().toString()

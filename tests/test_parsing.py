@@ -125,6 +125,15 @@ def test_field_contrast_matches_a_plain_loop(spark):
         assert row.mean_difference == pytest.approx(mean(True) - mean(False))
 
 
+def test_distinct_count(spark):
+    from tidemark.operators.profiling import distinct_count, row_count
+
+    frame = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "v STRING")
+    assert row_count(frame).first().n == 4
+    assert distinct_count(frame, "v").first().n == 2
+    assert distinct_count(frame, "v", approximate=True).first().n == 2
+
+
 def test_histogram_order_and_first_rows(spark):
     frame = spark.createDataFrame([("b",), ("a",), ("b",), ("c",)], "v STRING")
     assert [(r.v, r.n) for r in value_histogram(frame, "v").collect()] == [("b", 2), ("a", 1), ("c", 1)]

@@ -10,6 +10,17 @@ def test_dense_ids_without_a_bound(spark):
     assert sorted((r.n, r.x) for r in got) == [(i, 999 - i) for i in range(1000)]
 
 
+def test_dense_ids_over_several_sorted_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        frame = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("x")).repartition(7)
+        numbered = dense_ids(frame, ["x"], "n")
+        assert numbered.rdd.getNumPartitions() > 1
+        assert all(r.n == r.x for r in numbered.collect()) and numbered.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_dense_ids_with_a_bound_and_when_empty(spark):
     frame = spark.range(5)
     assert [r.n for r in dense_ids(frame, ["id"], "n", max_rows=5).orderBy("id").collect()] == [0, 1, 2, 3, 4]

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..sources.scratch import checkpointed
 
-# A side is broadcast only when its row count is known to stay below this.
+# A side is broadcast only when it is known to stay below these.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, on: str, hot_share: int = 1000) -> DataFrame:
@@ -24,9 +25,17 @@ def hot_keys(df: DataFrame, on: str, hot_share: int = 1000) -> DataFrame:
     return items.filter(F.col("_item.count") * hot_share >= F.col("_rows")).select(F.col("_item.item").alias(on))
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most ``max_rows`` rows, by counting that far."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def is_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> bool:
+    """Whether a frame is small enough to broadcast.
+
+    Reads at most one row beyond ``max_rows``, and adds up the rows' sizes as
+    text.
+    """
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+    size = F.octet_length(F.to_json(F.struct("*")))
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(size).alias("bytes")).first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def lookup_join(
@@ -43,8 +52,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``lookup`` to ``left`` on one column, whatever the key skew.
 
-    A lookup of few rows is broadcast: ``max_rows`` is a bound known
-    beforehand, and without one the rows are counted.  A larger lookup is
+    A small lookup is broadcast: ``max_rows`` is a bound known beforehand, and
+    without one the rows are counted and measured.  A larger lookup is
     shuffled, and only hot keys are salted.  They are given as ``hot``, or
     found by reading the keys of ``left`` once more; with ``costly_left`` the
     left rows are checkpointed first, so that they are not computed twice.
