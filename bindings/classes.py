@@ -128,6 +128,12 @@ def tree_fit(spark, folder):
     return cells.groupBy("label").agg(F.sum("n").alias("n"), right.alias("right"))
 
 
+def tree_totals(spark, folder):
+    """Held-out rows per true class, added up from the confusion cells of a tree."""
+    report = tree_report(_vectors(spark, folder), "vec_id", final={"impurity": "entropy", "depth": 4, "bins": 100})
+    return report.confusion.groupBy("label").agg(F.sum("n").alias("n"))
+
+
 def tree_final(spark, folder):
     """Accuracies of both fits, next to guessing."""
     report = tree_report(_vectors(spark, folder), "vec_id")
@@ -209,6 +215,7 @@ QUERIES = {
     "class_metrics": metrics,
     "tree_majority": tree_majority,
     "tree_fit": tree_fit,
+    "tree_totals": tree_totals,
     "tree_final": tree_final,
     "tree_beats_guess": tree_beats_guess,
     "grid_search": grid,
@@ -262,6 +269,7 @@ ORACLE = {
     "FROM labels_seen s CROSS JOIN p GROUP BY s.label",
     "tree_majority": "SELECT CAST(label AS DOUBLE) AS label, vec_id, (SELECT CAST(label AS DOUBLE) FROM embeddings "
     "GROUP BY label ORDER BY count(*) DESC, label LIMIT 1) AS prediction FROM embeddings",
+    "tree_totals": f"WITH {_SPLIT} SELECT CAST(label AS DOUBLE) AS label, count(*) AS n FROM split WHERE split = 1 GROUP BY label",
     "tree_beats_guess": "SELECT count(*) AS n, true AS better FROM embeddings",
     "grid_settings": "SELECT impurity, depth, bins FROM (VALUES ('gini'), ('entropy')) a(impurity) "
     "CROSS JOIN (VALUES (1), (20)) b(depth) CROSS JOIN (VALUES (10), (300)) c(bins)",

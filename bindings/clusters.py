@@ -100,6 +100,13 @@ def kmeans_shape(spark, folder):
     return checked.agg(F.count(F.lit(1)).alias("n"), F.bool_and(same).alias("nearest"))
 
 
+def kmeans_totals(spark, folder):
+    """Rows per label, added up over ten fitted clusters."""
+    rows = with_features(embeddings(spark, folder))
+    counts = cluster_label_counts(assign_clusters(rows, fit_kmeans(rows, 10)))
+    return counts.groupBy("label").agg(F.sum("n").alias("n"))
+
+
 def centers(spark, folder):
     rows = with_features(embeddings(spark, folder))
     return cluster_centers(rows, fit_kmeans(rows, 10)).select("cluster", "json")
@@ -109,6 +116,14 @@ def k_sweep(spark, folder):
     return sweep_cluster_counts(with_features(embeddings(spark, folder)))
 
 
+def event_outlier_shape(spark, folder):
+    """Whether outliers are fewer than asked for and the sweep of labels is whole."""
+    rows = with_features(parse_connections(connection_lines(spark, folder)))
+    report = outlier_report(rows, 20, 100)
+    few = report.outliers.agg((F.count(F.lit(1)) < 100).alias("few")).scalar()
+    return report.label_counts.groupBy("label").agg(F.sum("n").alias("n")).withColumn("few", few)
+
+
 def event_outliers(spark, folder):
     """Events far from their centre among 150 clusters."""
     rows = with_features(parse_connections(connection_lines(spark, folder)))
@@ -125,12 +140,16 @@ QUERIES = {
     "lloyd_step": lloyd_step,
     "kmeans_fit": kmeans_fit,
     "kmeans_shape": kmeans_shape,
+    "kmeans_totals": kmeans_totals,
     "cluster_centers": centers,
     "k_sweep": k_sweep,
     "event_outliers": event_outliers,
+    "event_outlier_shape": event_outlier_shape,
 }
 
 ORACLE = {
+    "event_outlier_shape": "SELECT event_type AS label, count(*) AS n, true AS few FROM events GROUP BY event_type",
+    "kmeans_totals": "SELECT label, count(*) AS n FROM embeddings GROUP BY label",
     "last_field_histogram": "SELECT event_type AS label, count(*) AS n FROM events GROUP BY event_type",
     "drop_columns_vectors": "SELECT event_type AS label, 3 AS width, count(*) AS n, round(sum(value), 2) AS v0, "
     "round(CAST(sum(user_id) AS DOUBLE), 2) AS v1, "

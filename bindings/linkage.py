@@ -13,6 +13,7 @@ from tidemark.operators.linkage import cutoff_counts, field_contrast, with_score
 from tidemark.operators.lookups import lookup_join
 from tidemark.operators.parsing import drop_header_lines, parse_comparisons, pick_positions
 from tidemark.operators.profiling import column_stats, first_rows, row_count, score_stats, value_histogram
+from tidemark.operators.ranking import nth_largest
 from tidemark.sources import checkpointed, load_table, read_header_csv, read_lines, scratch_path, write_lines
 
 from .common import documents, rounded
@@ -163,6 +164,11 @@ def order_column_stats(spark, folder):
     return rounded(stats, "mean", "stdev", "max", "min", places=3)
 
 
+def hundredth_total(spark, folder):
+    """The 100th largest order total."""
+    return nth_largest(load_table(spark, folder, "orders"), "o_totalprice", 100)
+
+
 QUERIES = {
     "linkage_parse": linkage_parse,
     "header_csv_scan": header_csv_scan,
@@ -177,6 +183,7 @@ QUERIES = {
     "value_histogram": event_histogram,
     "column_stats": event_column_stats,
     "order_column_stats": order_column_stats,
+    "nth_largest": hundredth_total,
 }
 
 _PAIRS = r"""
@@ -227,6 +234,8 @@ def _column_stats_sql(table: str, columns: list[str], places: int) -> str:
 
 
 ORACLE = {
+    "nth_largest": "SELECT min(o_totalprice) AS o_totalprice FROM "
+    "(SELECT o_totalprice FROM orders ORDER BY o_totalprice DESC LIMIT 100)",
     "linkage_parse": _PAIRS + f"SELECT id1, id2, {_ROUNDED}, matched FROM pairs",
     "header_csv_scan": _PAIRS + f"SELECT id1 AS id_1, id2 AS id_2, {_ROUNDED}, matched AS is_match FROM pairs",
     "header_filter": _PAIRS + "SELECT id1, id2 FROM pairs ORDER BY id2 LIMIT 10",

@@ -268,6 +268,16 @@ def lsa_singular_values(spark, folder):
     return model.singular_values()
 
 
+def lsa_sigma_order(spark, folder):
+    """How many singular values there are, and whether each is positive and none larger than the one before."""
+    model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
+    model.release()
+    values = model.singular_values()
+    previous = values.select((F.col("concept") + 1).alias("concept"), F.col("sigma").alias("_before"))
+    ordered = F.bool_and((F.col("sigma") > 0) & (F.coalesce("_before", "sigma") >= F.col("sigma")))
+    return values.join(previous, "concept", "left").agg(F.count("sigma").alias("n"), ordered.alias("ordered"))
+
+
 def lsa_top_terms(spark, folder):
     model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
     model.release()
@@ -365,6 +375,7 @@ QUERIES = {
     "term_gramian": term_gramian,
     "lsa_energy": lsa_energy,
     "lsa_singular_values": lsa_singular_values,
+    "lsa_sigma_order": lsa_sigma_order,
     "lsa_top_terms": lsa_top_terms,
     "lsa_top_docs": lsa_top_docs,
     "lsa_shape": lsa_shape,
@@ -487,6 +498,7 @@ ORACLE = {
     f"ids AS (SELECT term_id FROM numbered WHERE term_id < {GRAMIAN_TERMS}) "
     "SELECT CAST(a.term_id AS INTEGER) AS i, CAST(b.term_id AS INTEGER) AS j, round(coalesce(value, 0), 6) AS value "
     "FROM ids a JOIN ids b ON a.term_id <= b.term_id LEFT JOIN sums ON i = a.term_id AND j = b.term_id",
+    "lsa_sigma_order": f"WITH {_TOP} SELECT least({CONCEPTS}, count(DISTINCT term_id)) AS n, true AS ordered FROM w",
     "lsa_energy": f"WITH {_TOP} SELECT round(sum(weight * weight), 4) AS energy FROM w",
     "lsa_shape": f"WITH {_TOP} SELECT CAST(c AS INTEGER) AS concept, CAST(1 AS DOUBLE) AS length, "
     f"(SELECT count(*) FROM documents) AS documents FROM range({CONCEPTS}) r(c)",
