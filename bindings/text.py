@@ -23,6 +23,7 @@ from tidemark.operators.terms import (
     article_pages,
     document_count,
     document_frequency,
+    document_terms,
     document_tokens,
     explode_tokens,
     page_texts,
@@ -60,6 +61,10 @@ def _tf(spark: SparkSession, folder: str) -> DataFrame:
     return term_frequency(_tokens(spark, folder))
 
 
+def _terms(spark: SparkSession, folder: str) -> DataFrame:
+    return document_terms(_tokens(spark, folder))
+
+
 def text_roundtrip(spark, folder):
     """Every document line written as text and read back, with its copies."""
     lines = documents(spark, folder).select(F.explode(F.split("text", "\n")).alias("value"))
@@ -158,11 +163,11 @@ def term_counts(spark, folder):
 
 
 def doc_frequency(spark, folder):
-    return document_frequency(_tf(spark, folder))
+    return document_frequency(_terms(spark, folder))
 
 
 def distinct_terms(spark, folder):
-    return distinct_count(_tf(spark, folder), "term")
+    return distinct_count(_terms(spark, folder), "term")
 
 
 def term_maps(spark, folder):
@@ -184,7 +189,7 @@ def _plural_lemmas(counts: DataFrame) -> DataFrame:
 def lemma_counts(spark, folder):
     """Document frequencies after plurals were merged with their stems."""
     tf = _tf(spark, folder)
-    merged = apply_lemmas(tf, checkpointed(_plural_lemmas(checkpointed(document_frequency(tf)))))
+    merged = apply_lemmas(tf, checkpointed(_plural_lemmas(checkpointed(document_frequency(_terms(spark, folder))))))
     return merged.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
 
 
@@ -206,27 +211,25 @@ def setup_map(spark, folder):
 
 
 def vocab_top_n(spark, folder):
-    return vocabulary(_tf(spark, folder), NUM_TERMS).select("term_id", "term", "df")
+    return vocabulary(_terms(spark, folder), NUM_TERMS).select("term_id", "term", "df")
 
 
 def full_vocabulary(spark, folder):
-    return vocabulary(_tf(spark, folder)).select("term_id", "term", "df")
+    return vocabulary(_terms(spark, folder)).select("term_id", "term", "df")
 
 
 def idf(spark, folder):
-    return rounded(vocabulary(_tf(spark, folder), NUM_TERMS).select("term", "idf"), "idf")
+    return rounded(vocabulary(_terms(spark, folder), NUM_TERMS).select("term", "idf"), "idf")
 
 
 def tfidf_top(spark, folder):
-    tf = _tf(spark, folder)
-    weights = tfidf(tf, vocabulary(tf, NUM_TERMS), max_terms=NUM_TERMS)
+    weights = tfidf(_tf(spark, folder), vocabulary(_terms(spark, folder), NUM_TERMS), max_terms=NUM_TERMS)
     return rounded(weights.select("doc_id", "term", "weight"), "weight")
 
 
 def tfidf_full(spark, folder):
     """Weights over the whole vocabulary, totalled per document."""
-    tf = _tf(spark, folder)
-    weights = tfidf(tf, vocabulary(tf))
+    weights = tfidf(_tf(spark, folder), vocabulary(_terms(spark, folder)))
     totals = weights.groupBy("doc_id").agg(F.count(F.lit(1)).alias("terms"), F.sum("weight").alias("weight"))
     return rounded(totals, "weight")
 
@@ -250,7 +253,7 @@ def svd_methods(spark, folder):
 def term_gramian(spark, folder):
     """Sums over documents of weight products, for each pair of terms."""
     docs = _tokens(spark, folder)
-    vocab = vocabulary(term_frequency(docs), GRAMIAN_TERMS)
+    vocab = vocabulary(document_terms(docs), GRAMIAN_TERMS)
     return rounded(gramian_entries(document_vectors(docs, vocab)), "value")
 
 
@@ -322,7 +325,7 @@ def _language_concepts(spark: SparkSession, folder: str):
     """A given V: one concept per language, its mean weight per term."""
     docs = _tokens(spark, folder, "lang")
     tf = term_frequency(docs)
-    vocab = vocabulary(tf, NUM_TERMS)
+    vocab = vocabulary(document_terms(docs), NUM_TERMS)
     languages = documents(spark, folder, "lang").select("doc_id", "lang")
     weights = lookup_join(tfidf(tf, vocab, max_terms=NUM_TERMS), languages, "doc_id", salt_by=["term_id"])
     concept = F.array_position(F.array(*[F.lit(x) for x in LANGUAGES]), F.col("lang")) - 1

@@ -8,9 +8,10 @@ from pyspark.sql import Column, functions as F
 
 from .stopwords import STOP_WORDS
 
-# What separates two tokens, and what a kept token looks like.
-TOKEN_BREAK = r"[^\p{L}\p{N}']+"
-KEPT_TOKEN = r"^\p{L}{3,}$"
+# A token is a longest run of letters, digits and apostrophes; it
+# is kept when it is all letters, at least three of them.
+TOKEN_CHARACTERS = r"\p{L}\p{N}'"
+KEPT_TOKEN = rf"(?<![{TOKEN_CHARACTERS}])\p{{L}}{{3,}}+(?![{TOKEN_CHARACTERS}])"
 
 # Entity and the character it stands for; "&amp;" must be last.
 ENTITIES = [
@@ -68,8 +69,7 @@ def wiki_to_text(markup: Column, template_depth: int = 3) -> Column:
 
 def token_list(text: Column) -> Column:
     """Lower-case words of at least three letters, in text order."""
-    words = F.split(F.lower(text), TOKEN_BREAK)
-    return F.filter(words, lambda w: w.rlike(KEPT_TOKEN))
+    return F.regexp_extract_all(F.lower(text), F.lit(KEPT_TOKEN), F.lit(0))
 
 
 def without_stop_words(tokens: Column, stop_words: Sequence[str] = STOP_WORDS) -> Column:

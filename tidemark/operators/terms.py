@@ -93,6 +93,17 @@ def term_frequency(docs: DataFrame, key: str = "doc_id", min_tokens: int = 2) ->
     )
 
 
+def document_terms(docs: DataFrame, key: str = "doc_id", min_tokens: int = 2) -> DataFrame:
+    """(key, term_no, term): the distinct terms of each document, uncounted.
+
+    Enough for document frequencies and a vocabulary, and cheaper than
+    ``term_frequency``.
+    """
+    enough = F.when(F.size("tokens") >= min_tokens, F.col("tokens"))
+    distinct = docs.select(key, F.array_distinct(enough).alias("_terms"))
+    return explode_array(distinct, "_terms", "term_no", "term", key)
+
+
 def apply_lemmas(
     tf: DataFrame,
     lemmas: DataFrame,
@@ -105,9 +116,12 @@ def apply_lemmas(
     return renamed.groupBy(key, "doc_total", F.coalesce("lemma", "term").alias("term")).agg(F.sum("tf").alias("tf"))
 
 
-def document_frequency(tf: DataFrame) -> DataFrame:
-    """(term, df): in how many documents each term occurs."""
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def document_frequency(terms: DataFrame) -> DataFrame:
+    """(term, df): in how many documents each term occurs.
+
+    ``terms`` has one row per document and term.
+    """
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def document_count(docs: DataFrame, min_tokens: int = 2) -> DataFrame:
@@ -120,16 +134,17 @@ def inverse_frequency(documents: Column, df: Column) -> Column:
     return F.ln(documents / df)
 
 
-def vocabulary(tf: DataFrame, num_terms: int | None = None) -> DataFrame:
+def vocabulary(terms: DataFrame, num_terms: int | None = None) -> DataFrame:
     """(term_id, term, df, idf) of the most frequent terms, by df then term.
 
-    The term counts are checkpointed: they are far smaller than the text, and
+    ``terms`` comes from ``document_terms`` or ``term_frequency``.  The term
+    counts are checkpointed: they are far smaller than the text, and
     both the number of documents and the vocabulary come from them, so the
     text is read once.  ``num_terms=None`` keeps every term.
     """
     first_of_document = F.count_if(F.col("term_no") == 0)
     counts = checkpointed(
-        tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"), first_of_document.alias("_documents"))
+        terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"), first_of_document.alias("_documents"))
     )
     documents = counts.agg(F.sum("_documents")).scalar()
     order = [F.desc("df"), F.col("term")]

@@ -14,7 +14,7 @@ from ..operators.concepts import (
     top_terms,
     truncated_svd,
 )
-from ..operators.terms import term_frequency, vocabulary
+from ..operators.terms import document_terms, vocabulary
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ def fit_concepts(
     The text is read twice: once to count terms, once to build the sparse
     rows, which are then kept in memory or on disk for all later steps.
     """
-    vocab = vocabulary(term_frequency(docs, key), num_terms)
+    vocab = vocabulary(document_terms(docs, key), num_terms)
     vectors = document_vectors(docs, vocab, key).persist()
     svd = truncated_svd(vectors, k, r_cond=r_cond, method=method)
     return ConceptModel(vocab, vectors, svd, key)
