@@ -1,9 +1,10 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate
+from tidemark.llm import decontaminate, language
 
 QUERIES = {
     "op2_decontaminate": decontaminate.query,
+    "op4_language": language.query,
 }
 
 ORACLE = {
