@@ -1,12 +1,14 @@
 """Shared scratch space for checkpoints and staged tables.
 
 On a cluster the folder comes from ``spark.checkpoint.dir``, which all
-executors can reach.  Only a session that names none (a local test) gets a
-temporary folder of its own.
+executors can reach.  Only a session on a local master may leave it unset: it
+has one machine, and gets a temporary folder that is removed with it.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -22,8 +24,13 @@ def _shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     already_set = context.getCheckpointDir()
     app = context.applicationId
+    if not already_set and not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if app not in _local_folders:
-        _local_folders[app] = already_set or tempfile.mkdtemp(prefix="tidemark-")
+        if not already_set:
+            already_set = tempfile.mkdtemp(prefix="tidemark-")
+            atexit.register(shutil.rmtree, already_set, ignore_errors=True)
+        _local_folders[app] = already_set
     return _local_folders[app]
 
 
