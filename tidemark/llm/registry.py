@@ -1,10 +1,11 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate, language
+from tidemark.llm import decontaminate, language, quality
 
 QUERIES = {
     "op2_decontaminate": decontaminate.query,
     "op4_language": language.query,
+    "op6_quality": quality.query,
 }
 
 ORACLE = {
