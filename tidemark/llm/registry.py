@@ -1,11 +1,12 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate, language, quality
+from tidemark.llm import decontaminate, fingerprint, language, quality
 
 QUERIES = {
     "op2_decontaminate": decontaminate.query,
     "op4_language": language.query,
     "op6_quality": quality.query,
+    "op7_fingerprint": fingerprint.query,
 }
 
 ORACLE = {
