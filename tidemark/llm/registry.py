@@ -1,8 +1,9 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate, fingerprint, language, quality
+from tidemark.llm import decontaminate, fingerprint, language, quality, url_filter
 
 QUERIES = {
+    "op1_url_filter": url_filter.query,
     "op2_decontaminate": decontaminate.query,
     "op4_language": language.query,
     "op6_quality": quality.query,
