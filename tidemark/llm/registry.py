@@ -1,6 +1,6 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate, fingerprint, language, mixing, quality, url_filter
+from tidemark.llm import decontaminate, fingerprint, language, mixing, perplexity, quality, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
@@ -8,6 +8,7 @@ QUERIES = {
     "op4_language": language.query,
     "op6_quality": quality.query,
     "op7_fingerprint": fingerprint.query,
+    "op8_perplexity": perplexity.query,
     "op9_mixing": mixing.query,
 }
 
