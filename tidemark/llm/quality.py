@@ -7,7 +7,7 @@ prediction runs on whole texts.  A document's score is the length-weighted mean
 of its lines' forward-backward marginals for "good".
 
 Defined cases: a null or empty text is one empty line; rows with a null label or
-a null text id teach nothing from labels; with no labelled rows, or only one
+a null id teach nothing; with no labelled rows, or only one
 class, every score is the share of good labels (0.5 without any); repeated rows
 are scored each on their own.
 """
@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.blocks import VISIBLE_BYTES, Block, bounds, crc_share, map_blocks, text_bytes
 
-#: Lines of labelled documents that training reads at most, about; whole documents are drawn by a hash of their text.
-TRAINING_LINES = 120_000
+#: Labelled documents that training reads at most, about.
+TRAINING_DOCUMENTS = 6_000
 THRESHOLD = 0.3
 
 _KINDS = {
@@ -158,16 +158,15 @@ def train(features: np.ndarray, doc: np.ndarray, label: np.ndarray, steps: int =
     return field
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", lines: int = TRAINING_LINES) -> Field:
-    """Fit on whole documents with about ``lines`` lines in all, drawn by a hash of the text."""
-    known = labelled.filter(F.col(label).isNotNull()).select(
-        F.col(label).cast("int").alias("y"),
-        text_bytes(text).alias("raw"),
-    )
-    count = F.octet_length("raw") - F.octet_length(F.regexp_replace(F.col("raw").cast("string"), "\n", "")) + 1
-    n = known.agg(F.sum(count).alias("n")).first().n or 0
-    draw = F.pmod(F.xxhash64("raw"), F.lit(1_000_000))
-    sample = known.filter(draw < int(1_000_000 * min(1.0, lines / n))) if n else known
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", documents: int = TRAINING_DOCUMENTS) -> Field:
+    """Fit on the whole texts of about ``documents`` labelled documents, drawn by a hash of the id.
+
+    The drawn labels are few by that bound, so they are broadcast and the texts stay where they are.
+    """
+    known = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
+    draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    drawn = known.filter(draw < int(1_000_000 * min(1.0, documents / max(known.count(), 1))))
+    sample = docs.select(F.col(doc_id).alias("id"), text_bytes(text).alias("raw")).join(F.broadcast(drawn), "id")
 
     def make():
         def step(block: Block) -> dict:
@@ -224,7 +223,7 @@ def query(spark, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "quality")
     taught = labels.filter(~held_out() & F.col("quality").isNotNull())
-    field = fit(docs.join(taught, "doc_id"))
+    field = fit(docs, taught)
     found = score(docs, field)
     predicted = F.when(F.col("quality_score") >= THRESHOLD, 1).otherwise(0).alias("predicted")
     return found.select("doc_id", held_out().alias("held_out"), F.col("quality_score").alias("score"), predicted)
