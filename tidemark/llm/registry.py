@@ -1,10 +1,11 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate, fingerprint, language, mixing, perplexity, quality, repeats, url_filter
+from tidemark.llm import decontaminate, fingerprint, language, mixing, perplexity, quality, repeats, surrogates, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
     "op2_decontaminate": decontaminate.query,
+    "op3_surrogates": surrogates.query,
     "op4_language": language.query,
     "op5_repeats": repeats.query,
     "op6_quality": quality.query,
