@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_BYTES = 1 << 20
+#: Documents of a block at most.
+BLOCK_DOCS = 1 << 12
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -106,7 +108,7 @@ class Block:
 def blocks(texts: list[bytes], limit: int = BLOCK_BYTES) -> Iterator[Block]:
     first, held, size = 0, [], 0
     for i, text in enumerate(texts):
-        if held and size + len(text) > limit:
+        if held and (size + len(text) > limit or len(held) == BLOCK_DOCS):
             yield Block(first, held)
             first, held, size = i, [], 0
         held.append(text)

@@ -21,7 +21,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.blocks import BLOCK_BYTES, WORD_BYTES, Block, blocks, map_blocks, text_bytes
-from tidemark.llm.sampling import MAX_DOCS, Sampler, count_terms
+from tidemark.llm.sampling import Sampler, count_terms
 
 SAMPLES = 128
 _BEGIN, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
@@ -41,11 +41,9 @@ def word_pairs(block: Block) -> tuple[np.ndarray, np.ndarray]:
 def sketch(texts: list[bytes], sampler: Sampler) -> np.ndarray:
     """documents x samples of uint16."""
     out = []
-    for k in range(0, len(texts), MAX_DOCS):
-        for block in blocks(texts[k : k + MAX_DOCS]):
-            doc, pair = word_pairs(block)
-            doc, term, count = count_terms(doc, pair)
-            out.append(sampler.samples(doc, term, count.astype(np.float64), len(block)).astype(np.uint16))
+    for block in blocks(texts):
+        doc, term, count = count_terms(*word_pairs(block))
+        out.append(sampler.samples(doc, term, count.astype(np.float64), len(block)).astype(np.uint16))
     return np.concatenate(out) if out else np.zeros((0, len(sampler.odd)), np.uint16)
 
 

@@ -1,6 +1,6 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate, fingerprint, language, mixing, perplexity, quality, repeats, surrogates, url_filter
+from tidemark.llm import decontaminate, fingerprint, language, mixing, near_copies, perplexity, quality, repeats, surrogates, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_fingerprint": fingerprint.query,
     "op8_perplexity": perplexity.query,
     "op9_mixing": mixing.query,
+    "op10_near_copies": near_copies.query,
 }
 
 ORACLE = {

@@ -7,59 +7,63 @@ Two weighted sets agree in a sample with a probability equal to their
 generalised Jaccard similarity.
 
 The gamma variates come from a fixed table of 2^16 entries that (term, k) is
-hashed into, so the usual weight 1 costs one lookup.
+hashed into.  For the few weights that most terms have, a table of their ln a and
+t makes a sample one lookup a term.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from tidemark.llm.blocks import bounds, mix
+from tidemark.llm.blocks import BLOCK_DOCS, bounds, mix
 
 TABLE = 1 << 16
 SEED = 20240229
-_DOC_SHIFT = np.uint64(52)
-#: Documents of one call, so that a document number and 52 bits of a term's hash share 64 bits.
-MAX_DOCS = 1 << 12
+_LOW = np.uint64(0xFFFFFFFF)
+#: A document number of a block and 52 bits of a term's hash share 64 bits.
+_DOC_SHIFT = np.uint64(64 - (BLOCK_DOCS - 1).bit_length())
 
 
 class Sampler:
-    def __init__(self, samples: int, seed: int = SEED):
+    """``usual`` are the weights with tables of their own."""
+
+    def __init__(self, samples: int, usual: tuple[float, ...] = (1.0,), seed: int = SEED):
         draw = np.random.Generator(np.random.PCG64(seed))
         self.r = draw.gamma(2.0, 1.0, TABLE)
         self.log_c = np.log(draw.gamma(2.0, 1.0, TABLE))
         self.b = draw.random(TABLE)
-        self.ones = self._ordered(self.log_c + self.r * self.b - self.r)
         self.odd = draw.integers(0, 1 << 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.usual = np.array(usual)
+        every = np.arange(TABLE)
+        self.tables = np.concatenate([self._keys(every, np.full(TABLE, np.log(w))) for w in usual])
 
-    @staticmethod
-    def _ordered(values: np.ndarray) -> np.ndarray:
-        """The order of the values, as the high half of 64-bit numbers."""
-        bits = (values.astype(np.float32) + np.float32(0)).view(np.uint32)
+    def _keys(self, slot: np.ndarray, log_weight: np.ndarray) -> np.ndarray:
+        """ln a, in an order-keeping form, as the high half, and a hash of t as the low half."""
+        r, b = self.r[slot], self.b[slot]
+        t = np.floor(log_weight / r + b)
+        bits = (self.log_c[slot] - r * (t - b) - r).astype(np.float32).view(np.uint32)
         bits = np.where(bits >> 31, ~bits, bits | np.uint32(1 << 31))
-        return bits.astype(np.uint64) << np.uint64(32)
+        step = t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1)
+        return (bits.astype(np.uint64) << np.uint64(32)) | (step & _LOW)
 
     def samples(self, doc: np.ndarray, term: np.ndarray, weight: np.ndarray, docs: int) -> np.ndarray:
-        """docs x samples array of uint32; rows must be grouped by ``doc``, and every document must have a term."""
+        """docs x samples array of uint32 (0 for documents without terms); rows must be grouped by ``doc``."""
         first = bounds(doc)
         out = np.zeros((docs, len(self.odd)), np.uint32)
         if not len(first):
             return out
         spread = mix(term)
-        low = spread & np.uint64(0xFFFFFFFF)
-        other = np.flatnonzero(weight != 1.0)
-        log_w, low_other = np.log(weight[other]), low[other]
+        low = spread & _LOW
+        kind = np.minimum(np.searchsorted(self.usual, weight), len(self.usual) - 1)
+        table = kind * TABLE
+        other = np.flatnonzero(self.usual[kind] != weight)
+        log_other = np.log(weight[other])
         for k, odd in enumerate(self.odd):
             slot = ((spread * odd) >> np.uint64(48)).astype(np.int64)
-            key = self.ones[slot] | low
+            key = self.tables[table + slot]
             if len(other):
-                s = slot[other]
-                r, b = self.r[s], self.b[s]
-                t = np.floor(log_w / r + b)
-                value = self._ordered(self.log_c[s] - r * (t - b) - r)
-                step = (t.astype(np.int64).astype(np.uint64) * np.uint64(0x9E3779B1)) & np.uint64(0xFFFFFFFF)
-                key[other] = value | (low_other ^ step)
-            out[doc[first], k] = np.minimum.reduceat(key, first) & np.uint64(0xFFFFFFFF)
+                key[other] = self._keys(slot[other], log_other)
+            out[doc[first], k] = np.minimum.reduceat(key ^ low, first) & _LOW
         return out
 
 
