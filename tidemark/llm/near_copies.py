@@ -243,7 +243,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_key, class_id, n_links): class_id is the least id of the class, n_links the links of the text's node."""
+    """(doc_id, text_key, class, class_id, n_links): class_id is the least id of the class, n_links the links of the text's node."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("raw", text_bytes("text"))
     frequency = document_frequencies(rows, "text")
     steps = docs.sparkSession.sparkContext.broadcast(idf_steps(frequency, rows.count()))
@@ -258,8 +258,25 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     member = checkpointed(member.withColumn("class", F.coalesce("class", "node")))
     least = member.groupBy("class").agg(F.min("doc_id").alias("class_id"))
     out = member.join(least, "class")
-    return out.select("doc_id", "text_key", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    return out.select("doc_id", "text_key", "class", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The columns of ``docs``; of each class only the row of the least id (nulls last), or one of its repeated rows.
+
+    A row is known by its id and text, so those of the rows that stay join back;
+    of rows that are equal in both, one stays.
+    """
+    own = docs.columns
+    held = [f"c{i}" for i in range(len(own))]
+    i, t = held[own.index(doc_id)], held[own.index(text)]
+    renamed = docs.toDF(*held)
+    found = classes(renamed, i, t)
+    stay = found.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")).alias("least"))
+    stay = stay.select(F.xxhash64("least.no_id", "least.doc_id", "least.text_key").alias("row"))
+    keyed = renamed.withColumn("row", F.xxhash64(F.col(i).isNull(), i, F.xxhash64(text_bytes(t))))
+    return keyed.join(stay, "row", "left_semi").dropDuplicates(["row"]).select(*held).toDF(*own)
 
 
 def query(spark, folder: str) -> DataFrame:
-    return classes(spark.read.parquet(f"{folder}/documents.parquet")).drop("text_key")
+    return classes(spark.read.parquet(f"{folder}/documents.parquet")).drop("text_key", "class")
