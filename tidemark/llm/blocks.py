@@ -34,6 +34,11 @@ def text_bytes(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
+def make_room(df: DataFrame, *added: str) -> DataFrame:
+    """``df`` without the columns that results of the same names replace."""
+    return df.select([df[c] for c in df.columns if c not in added])
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = h ^ (h >> np.uint64(32))

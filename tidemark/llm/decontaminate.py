@@ -11,7 +11,7 @@ A-Z is lower-cased.
 Defined cases: a null or empty text has no words and no hits; repeated rows are
 judged each on their own; null item texts have no windows; a null item id counts
 as the id ''; with no items nothing is hit.  Other columns pass through
-unread, whatever their names.
+unread; one with the name of a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.blocks import WORD_BYTES, Block, hash_tokens, map_blocks, text_bytes
+from tidemark.llm.blocks import WORD_BYTES, Block, hash_tokens, make_room, map_blocks, text_bytes
 
 WINDOW = 13
 #: A document is contaminated if hit words are at least this share (1 / 20) of its words.
@@ -200,6 +200,7 @@ def scan(
     """
     spark = docs.sparkSession
     shared = [spark.sparkContext.broadcast(a) for a in _automata(items, item_id, item_text, window, block_words)]
+    docs = make_room(docs, "n_words", "n_hit", "hit_items", "hit_spans")
     own = docs.columns
 
     def make():

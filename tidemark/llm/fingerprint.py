@@ -7,7 +7,7 @@ estimates the generalised Jaccard similarity of the weighted terms.
 
 Defined cases: a null text is empty, and the empty text has a fingerprint like
 any other; repeated rows each have theirs; rows with a null id come first;
-equal ids are ordered by text.
+equal ids are ordered by text; a column with the name of a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.blocks import BLOCK_BYTES, WORD_BYTES, Block, blocks, map_blocks, text_bytes
+from tidemark.llm.blocks import BLOCK_BYTES, WORD_BYTES, Block, blocks, make_room, map_blocks, text_bytes
 from tidemark.llm.sampling import Sampler, count_terms
 
 SAMPLES = 128
@@ -49,6 +49,7 @@ def sketch(texts: list[bytes], sampler: Sampler) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, text: str = "text", samples: int = SAMPLES) -> DataFrame:
     """``docs`` plus fingerprint (hex); one pass, no shuffle."""
+    docs = make_room(docs, "fingerprint")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
     renamed = docs.toDF(*held).withColumn("__text_bytes", text_bytes(held[own.index(text)]))

@@ -10,7 +10,7 @@ directional derivative, so most documents need no iterations.
 Defined cases: a null text, an empty text and a text without a letter are
 ``und`` with score 0, and so is everything if no training row has a language;
 rows with a null language teach nothing; repeated rows are counted and predicted
-each on their own.  Ties go to the language that sorts first.
+each on their own; a column with the name of a result is replaced by it.  Ties go to the language that sorts first.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.blocks import LOWER, Block, blocks, bounds, crc_share, map_blocks, text_bytes
+from tidemark.llm.blocks import LOWER, Block, blocks, bounds, crc_share, make_room, map_blocks, text_bytes
 
 UNDETERMINED = "und"
 #: A language joins a document's set if the log-likelihood gains this many times log(trigrams).
@@ -168,6 +168,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
     The score is the proportion of the leading language times the share of the
     document's trigrams that training has seen.
     """
+    docs = make_room(docs, "lang_pred", "score", "languages")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -14,7 +14,8 @@ The partial pass takes documents in this order until one would exceed the budget
 Defined cases: a null source counts as the source ''; a null or empty text has
 no tokens and goes where its block goes; sources without tokens get nothing;
 repeated rows are taken together; a null id counts as the empty id; an empty
-table stays empty.  Other columns pass through, whatever their names.
+table stays empty.  Other columns pass through; one with the
+name of a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.llm.blocks import make_room
 from tidemark.sources.scratch import checkpointed
 
 STEPS = 15
@@ -164,6 +166,7 @@ def mix(docs: DataFrame, target: Target = Target(), doc_id: str = "doc_id", text
     Sorting by (source, epoch, order_key) gives each source's block permutations.
     Texts are not shuffled.
     """
+    docs = make_room(docs, "n_tokens", "epoch", "order_key")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
     name = {c: held[own.index(c)] for c in (doc_id, text, source)}

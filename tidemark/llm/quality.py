@@ -9,7 +9,7 @@ of its lines' forward-backward marginals for "good".
 Defined cases: a null or empty text is one empty line; rows with a null label or
 a null id teach nothing; with no labelled rows, or only one
 class, every score is the share of good labels (0.5 without any); repeated rows
-are scored each on their own.
+are scored each on their own; a column with the name of a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.blocks import VISIBLE_BYTES, Block, bounds, crc_share, map_blocks, text_bytes
+from tidemark.llm.blocks import VISIBLE_BYTES, Block, bounds, crc_share, make_room, map_blocks, text_bytes
 
 #: Labelled documents that training reads at most, about.
 TRAINING_DOCUMENTS = 6_000
@@ -190,6 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
 def score(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
     """``docs`` plus quality_score and good_lines (lines whose marginal is at least a half)."""
+    docs = make_room(docs, "quality_score", "good_lines")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
     shared = docs.sparkSession.sparkContext.broadcast(field)

@@ -12,13 +12,15 @@ Everything is column expressions; only mentions are shuffled, and the texts that
 have some.
 
 Defined cases: a null text stays null, an empty one empty, with 0 mentions;
-repeated rows are all replaced alike; an empty table stays empty.
+repeated rows are all replaced alike; an empty table stays empty; a column with the
+name of a result is replaced by it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidemark.llm.blocks import make_room
 from tidemark.sources.scratch import checkpointed
 
 MALE = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Sr", "Don", "Господин", "Κύριος")
@@ -184,6 +186,7 @@ def _in_form(mention: Column, parts: Column) -> Column:
 
 def replace(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``docs`` with the mentions in ``text`` replaced, plus n_mentions; ``key`` is the secret of the hash."""
+    docs = make_room(docs, "n_mentions")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
     t = held[own.index(text)]

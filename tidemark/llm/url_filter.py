@@ -8,7 +8,8 @@ labelled ones; trees learn from a bounded sample of them.
 Defined cases: a null url, or one without ``://``, has an empty host and path,
 fits no rule and is judged by the trees like any other; repeated rows are judged
 each on their own; with no labelled urls, or one class of them only, that class
-(allow without any) is the verdict of the rest.
+(allow without any) is the verdict of the rest; a column with the name of a
+result is replaced by it.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.blocks import make_room
+
 #: Labelled urls that training reads at most, about; drawn by a hash of the url.
 TRAINING_URLS = 20_000
 ALLOW, BLOCK = "allow", "block"
@@ -116,6 +119,7 @@ def judge(
     All steps are column expressions and Spark's own trees.  The labelled sample
     is bounded by ``training``, and so are its suffixes, which are broadcast.
     """
+    pages = make_room(pages, "host", "path", "rule", "verdict", "block_chance")
     own = pages.columns
     held = [f"c{i}" for i in range(len(own))]
     rows = lexical(pages.toDF(*held), held[own.index(url)])
