@@ -34,6 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.blocks import bounds, mix, text_bytes
+from tidemark.sources.scratch import checkpointed
 
 LENGTH = 200
 ANCHOR = 64
@@ -230,7 +231,7 @@ def repeated_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     rows = _anchor_rows(docs, text)
     place = F.struct("key", "place")
     met = rows.groupBy("rank").agg(F.min(place).alias("least"), F.max(place).alias("most"), F.count(F.lit(1)).alias("n"))
-    met = met.filter("least != most").select("rank", (F.col("n") > CROWD).alias("crowd"))
+    met = checkpointed(met.filter("least != most").select("rank", (F.col("n") > CROWD).alias("crowd")))
     shared = _anchor_rows(docs, text).join(met, "rank").select("key", "place", "rank", "crowd")
     contexts = _contexts(docs, text, shared)
     spans = _quiet_repeats(contexts)
