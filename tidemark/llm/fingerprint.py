@@ -77,7 +77,7 @@ def _in_order(docs: DataFrame, doc_id: str, text: str, parts: int) -> DataFrame:
     rank = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).cast("double")
     ids = rows.select(rank.alias("rank"))
     cuts = ids.approxQuantile("rank", [k / parts for k in range(1, parts)], 0.2 / parts) if parts > 1 else []
-    splits = [-float("inf"), *sorted(set(cuts or [])), float("inf")]
+    splits = [-float("inf"), *(sorted(set(cuts or [])) or [0.0]), float("inf")]
     part_of = Bucketizer(splits=splits, inputCol="rank", outputCol="part")
     firsts = part_of.transform(ids).groupBy("part").agg(F.min("rank").alias("rank")).orderBy("part").collect()
     if not firsts:
