@@ -194,20 +194,14 @@ def lemma_counts(spark, folder):
 
 
 def setup_map(spark, folder):
-    """The longest word per document, by a pattern compiled once per task."""
+    """Texts in composed Unicode form, which no built-in function makes; the form is set up once per task."""
 
     def setup():
-        import re
+        form = "NFC"
+        return lambda batch: batch.assign(text=batch["text"].str.normalize(form))
 
-        word = re.compile(r"[^\W_]+(?:'[^\W_]+)*")
-
-        def count(batch):
-            longest = batch["text"].map(lambda text: max((len(w) for w in word.findall(text)), default=0))
-            return batch[["doc_id"]].assign(longest=longest.astype("int32"))
-
-        return count
-
-    return map_with_setup(documents(spark, folder), setup, "doc_id BIGINT, longest INT")
+    composed = map_with_setup(documents(spark, folder), setup, "doc_id BIGINT, text STRING")
+    return composed.select("doc_id", F.md5("text").alias("composed"))
 
 
 def vocab_top_n(spark, folder):
@@ -245,7 +239,7 @@ def svd_methods(spark, folder):
     """Largest difference between the two ways to the same singular values."""
     rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
     one = truncated_svd(rows, 5).singular_values(spark)
-    other = truncated_svd(rows, 5, method="iterative").singular_values(spark).withColumnRenamed("sigma", "_other")
+    other = truncated_svd(rows, 5, method="gramian").singular_values(spark).withColumnRenamed("sigma", "_other")
     gap = F.max(F.abs(F.col("sigma") - F.col("_other")))
     return one.join(other, "concept").agg(F.count(F.lit(1)).alias("n"), (gap < 1e-6).alias("same"))
 
@@ -289,12 +283,15 @@ def lsa_top_terms(spark, folder):
 
 def lsa_top_docs(spark, folder):
     docs = _tokens(spark, folder, "source")
-    return fit_concepts(docs, CONCEPTS, NUM_TERMS).top_documents(docs, 10, "source")
+    model = fit_concepts(docs, CONCEPTS, NUM_TERMS)
+    model.release()
+    return model.top_documents(docs, 10, "source")
 
 
 def lsa_shape(spark, folder):
     """Per concept: length of its document column, and its ranked documents."""
     model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
+    model.release()
     weights = document_weights(model.vectors, model.svd.v, model.svd.sigma)
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
     return weights.groupBy("concept").agg(F.round(length, 6).alias("length"), F.count("doc_id").alias("documents"))
@@ -312,6 +309,7 @@ def lsa_term_weights(spark, folder):
 def svd_1000(spark, folder):
     """Up to 1000 concepts: singular value, and length of the document column."""
     model = fit_concepts(_tokens(spark, folder), 1000, NUM_TERMS)
+    model.release()
     weights = document_weights(model.vectors, model.svd.v, model.svd.sigma)
     length = F.round(F.sqrt(F.sum(F.col("weight") * F.col("weight"))), 6)
     lengths = weights.groupBy("concept").agg(length.alias("length"))
@@ -483,9 +481,7 @@ ORACLE = {
     "WHERE term LIKE '%s' AND left(term, length(term) - 1) IN (SELECT term FROM df)), "
     "merged AS (SELECT doc_id, coalesce(lemma, term) AS term, sum(tf) AS tf FROM tf LEFT JOIN lemmas USING (term) GROUP BY ALL) "
     "SELECT term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM merged GROUP BY term",
-    "setup_map": "SELECT doc_id, CAST(coalesce(list_max(list_transform("
-    r"regexp_extract_all(text, '[\p{L}\p{N}]+(?:''[\p{L}\p{N}]+)*'), lambda w: length(w))), 0) AS INTEGER) AS longest "
-    "FROM documents",
+    "setup_map": "SELECT doc_id, md5(nfc_normalize(text)) AS composed FROM documents",
     "vocab_top_n": f"WITH {_TF} SELECT term_id, term, df FROM numbered WHERE term_id < {NUM_TERMS}",
     "full_vocabulary": f"WITH {_TF} SELECT term_id, term, df FROM numbered",
     "idf": f"WITH {_TF} SELECT term, round(idf, 6) AS idf FROM numbered WHERE term_id < {NUM_TERMS}",

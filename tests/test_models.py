@@ -88,6 +88,19 @@ def test_categorical_positions_need_enough_bins(spark):
     assert E.accuracy(predict(fit_tree(labelled_vectors(frame, 1), depth=1), frame.transform(lambda d: labelled_vectors(d, 1)))).first().accuracy < 0.8
 
 
+def test_fits_at_once_do_not_disturb_each_other(spark):
+    """Every job in the pool has local properties of its own; many small grids all finish."""
+    from tidemark.sources.threads import own_properties
+
+    data = spark.createDataFrame([(float(k % 2), [float(k % 2), float(k)]) for k in range(12)], "label double, values array<double>")
+    train = labelled_vectors(data, 2)
+    for _ in range(20):
+        assert grid_search(train, train, impurities=("gini",), depths=(1, 2), bins=(4, 8)).count() == 4
+    spark.sparkContext.setLocalProperty("tidemark.test", "parent")
+    jobs = own_properties(spark, [lambda: spark.sparkContext.getLocalProperty("tidemark.test")] * 3)
+    assert [job() for job in jobs] == ["parent"] * 3
+
+
 def test_grid_search_is_the_whole_grid_in_order(rows):
     train, held_out, _ = key_split(labelled_vectors(rows, 4, keep=["id"]), "id")
     table = grid_search(train, held_out, depths=(1, 3), bins=(4, 32)).collect()
@@ -162,6 +175,7 @@ def test_sweep_and_outlier_report(rows):
     counts = report.label_counts.collect()
     assert sum(r.n for r in counts) == 300
     assert [r.cluster for r in counts] == sorted((r.cluster for r in counts), reverse=True)
+    report.release()
 
 
 @pytest.fixture(scope="module")
@@ -191,6 +205,12 @@ def test_recommendations(spark, counts):
         scores = [r.score for r in got if r.user == u]
         assert scores == sorted(scores, reverse=True)
     assert all(r.name == (f"n{r.item}" if r.item < 10 else None) for r in got)
+    new = recommend(model, users, 5, seen=counts).collect()
+    owned = {(r.user, r.item) for r in counts.collect()}
+    assert len(new) == 10 and not any((r.user, r.item) in owned for r in new)
+    every = {(r.user, r.item): r.score for r in recommend(model, users, 20).collect()}
+    best = sorted((s for (u, i), s in every.items() if u == 0 and (u, i) not in owned), reverse=True)[:5]
+    assert [r.score for r in sorted(new, key=lambda r: r["rank"]) if r.user == 0] == best
     factors = latent_factors(model).groupBy("side").agg(F.count("id").alias("n"), F.max(F.size("features")).alias("k"))
     assert {r.side: (r.n, r.k) for r in factors.collect()} == {"user": (30, 4), "item": (20, 4)}
     history = {r.item for r in history_names(counts, users, names).collect()}

@@ -47,16 +47,28 @@ def html_to_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(unescaped(F.regexp_replace(html, _TAG, " ")), _BLANKS, " "))
 
 
-def wiki_to_text(markup: Column, template_depth: int = 3) -> Column:
+def _nesting(markup: Column) -> Column:
+    """The deepest nesting of templates, from one pass over their braces."""
+    braces = F.regexp_extract_all(markup, F.lit(r"\{\{|\}\}"), F.lit(0))
+    none = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("most"))
+
+    def step(state: Column, brace: Column) -> Column:
+        depth = F.when(brace == "{{", state["depth"] + 1).otherwise(F.greatest(state["depth"] - 1, F.lit(0)))
+        return F.struct(depth.alias("depth"), F.greatest(state["most"], depth).alias("most"))
+
+    return F.aggregate(braces, none, step, lambda state: state["most"])
+
+
+def wiki_to_text(markup: Column) -> Column:
     """Readable text of wiki markup, on one line.
 
-    Templates and tables go, innermost first, down to ``template_depth``
-    levels of nesting; links keep their visible words.
+    Templates and tables go, innermost first, as deep as they are nested;
+    links keep their visible words.
     """
     for pattern in _HTML_BLOCKS:
         markup = F.regexp_replace(markup, pattern, " ")
-    for _ in range(template_depth):
-        markup = F.regexp_replace(markup, r"\{\{[^{}]*\}\}", " ")
+    levels = F.filter(F.sequence(F.lit(0), _nesting(markup)), lambda level: level > 0)
+    markup = F.aggregate(levels, markup, lambda rest, _: F.regexp_replace(rest, r"\{\{[^{}]*\}\}", " "))
     markup = F.regexp_replace(markup, r"(?s)\{\|.*?\|\}", " ")
     markup = F.regexp_replace(markup, r"\[\[(?:File|Image|Category):[^\[\]]*\]\]", " ")
     markup = F.regexp_replace(markup, r"\[\[(?:[^|\[\]]*\|)?([^|\[\]]*)\]\]", "$1")

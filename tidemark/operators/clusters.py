@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window, functions as F
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.scalars import euclidean, matrix_literal
 from ..functions.vectors import to_array, to_vector
 from ..sources.caching import kept
+from ..sources.threads import own_properties
 
 
 def fit_kmeans(
@@ -113,8 +114,8 @@ def sweep_cluster_counts(
     """
     with kept(df.select("features")) as vectors:
         with ThreadPool(min(parallelism, len(counts))) as pool:
-            fit = inheritable_thread_target(df.sparkSession)(lambda k: fit_kmeans(vectors, k, seed))
-            models = pool.map(fit, counts, chunksize=1)
+            fits = own_properties(df.sparkSession, [partial(fit_kmeans, vectors, k, seed) for k in counts])
+            models = pool.map(lambda fit: fit(), fits, chunksize=1)
         scored = vectors
         for i, model in enumerate(models):
             scored = assign_clusters(scored, model).withColumnsRenamed({"cluster": f"_c{i}", "distance": f"_d{i}"})

@@ -16,10 +16,10 @@ from ..functions.vectors import sparse_parts
 from .ranking import top_per_group
 from .reshaping import explode_array
 
-# The Gramian of the matrix is held on the driver: columns squared doubles.
-GRAMIAN_COLUMNS = 8_000
-# The terms and idf of a document-term matrix go to every task.
-VOCABULARY_TERMS = 200_000
+# Rows of V that become a frame at a time.
+V_BLOCK_ROWS = 4_096
+# Cells of a dense block of documents by their terms.
+BLOCK_CELLS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -35,26 +35,23 @@ class Decomposition:
 
     def term_weights(self, spark: SparkSession) -> DataFrame:
         """(concept, term_id, weight), the entries of V."""
-        terms, concepts = self.v.shape
-        frame = pd.DataFrame(
-            {
-                "concept": np.tile(np.arange(concepts, dtype="int32"), terms),
-                "term_id": np.repeat(np.arange(terms, dtype="int64"), concepts),
-                "weight": self.v.reshape(-1),
-            }
-        )
-        return spark.createDataFrame(frame, "concept INT, term_id BIGINT, weight DOUBLE")
+        rows = None
+        for start in range(0, max(len(self.v), 1), V_BLOCK_ROWS):
+            block = self.v[start : start + V_BLOCK_ROWS]
+            frame = pd.DataFrame({"term_id": np.arange(start, start + len(block), dtype="int64"), "weights": block.tolist()})
+            made = spark.createDataFrame(frame, "term_id BIGINT, weights ARRAY<DOUBLE>")
+            rows = made if rows is None else rows.unionByName(made)
+        return rows.select(F.posexplode("weights").alias("concept", "weight"), "term_id").select("concept", "term_id", "weight")
 
 
 def document_vectors(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", min_tokens: int = 2) -> DataFrame:
     """(key, weights): one sparse TF-IDF row per document, nothing shuffled.
 
-    ``vocab`` may hold up to ``VOCABULARY_TERMS`` terms.  Documents with too
-    few tokens get an all-zero row.
+    The vocabulary, a word and a number per term, goes to the driver and to
+    every task: V of a decomposition, which follows, is ``k`` times as large.
+    Documents with too few tokens get an all-zero row.
     """
-    entries = vocab.orderBy("term_id").select("term", "idf").limit(VOCABULARY_TERMS + 1).collect()
-    if len(entries) > VOCABULARY_TERMS:
-        raise ValueError(f"more than {VOCABULARY_TERMS} terms; build the vocabulary with num_terms")
+    entries = vocab.orderBy("term_id").select("term", "idf").collect()
     counter = CountVectorizerModel.from_vocabulary(
         [e.term for e in entries], inputCol="_tokens", outputCol="_counts"
     )
@@ -78,12 +75,8 @@ def _row_matrix(vectors: DataFrame, column: str) -> RowMatrix:
 
 
 def gramian(vectors: DataFrame, column: str = "weights") -> np.ndarray:
-    """A'A, summed over all rows by a tree of partial sums."""
-    matrix = _row_matrix(vectors, column)
-    columns = matrix.numCols()
-    if columns > GRAMIAN_COLUMNS:
-        raise ValueError(f"{columns} columns; at most {GRAMIAN_COLUMNS} fit the Gramian on the driver")
-    return matrix.computeGramianMatrix().toArray()
+    """A'A, columns squared doubles on the driver, summed over all rows by a tree of partial sums."""
+    return _row_matrix(vectors, column).computeGramianMatrix().toArray()
 
 
 def gramian_entries(vectors: DataFrame, column: str = "weights") -> DataFrame:
@@ -105,18 +98,19 @@ def truncated_svd(
     k: int,
     column: str = "weights",
     r_cond: float = 1e-9,
-    method: str = "gramian",
+    method: str = "spark",
 ) -> Decomposition:
     """The ``k`` largest singular values above ``r_cond`` times the largest.
 
-    ``gramian`` makes one pass and solves a columns-by-columns problem on the
-    driver; as that works on squares, values below about 1e-7 of the largest
-    are dropped as unresolvable.  ``iterative`` lets Spark run one job per
-    solver step, which is slower but takes more columns and resolves smaller
-    values.  Each concept is signed so that its largest term weight is
-    positive.
+    ``spark`` is Spark's own solver: distributed products with the rows, one
+    job per step, or a local solve where ``k`` is more than half of at most
+    15,000 columns.  V, columns by ``k`` doubles, is on the driver in the end.
+    ``gramian`` is an explicit choice for narrow matrices: it makes one pass and
+    solves a columns-by-columns problem on the driver; as that works on
+    squares, values below about 1e-7 of the largest are noise, and dropped.
+    Each concept is signed so that its largest term weight is positive.
     """
-    if method == "iterative":
+    if method == "spark":
         matrix = _row_matrix(vectors, column)
         found = matrix.computeSVD(min(k, matrix.numCols()), computeU=False, rCond=r_cond)
         return Decomposition(np.asarray(found.s.toArray()), _with_fixed_signs(found.V.toArray()))
@@ -136,6 +130,25 @@ def _projection(vectors: DataFrame, v: np.ndarray, sigma: np.ndarray):
     return vectors.sparkSession.sparkContext.broadcast(np.asarray(v) / np.asarray(sigma))
 
 
+def _products(indices: pd.Series, values: pd.Series, by_term: np.ndarray) -> np.ndarray:
+    """Rows times ``by_term``, by dense products of blocks of rows and the terms they have."""
+    sizes = indices.map(len).to_numpy()
+    out = np.zeros((len(sizes), by_term.shape[1]))
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(sizes):
+        taken = np.arange(1, len(sizes) - start + 1) * (ends[start:] - ends[start] + sizes[start])
+        stop = start + max(1, int(np.searchsorted(taken, BLOCK_CELLS)))
+        some = slice(start, stop)
+        if sizes[some].any():
+            terms, place = np.unique(np.concatenate(indices.iloc[some].to_list()), return_inverse=True)
+            block = np.zeros((stop - start, len(terms)))
+            block[np.repeat(np.arange(stop - start), sizes[some]), place] = np.concatenate(values.iloc[some].to_list())
+            out[some] = block @ by_term[terms.astype(int)]
+        start = stop
+    return out
+
+
 def document_weights(
     vectors: DataFrame, v: np.ndarray, sigma: np.ndarray, key: str = "doc_id", column: str = "weights"
 ) -> DataFrame:
@@ -148,8 +161,7 @@ def document_weights(
 
     @F.pandas_udf("array<double>")
     def project(indices: pd.Series, values: pd.Series) -> pd.Series:
-        by_term = projection.value
-        return pd.Series([w @ by_term[i] for i, w in zip(indices, values)], dtype=object)
+        return pd.Series(list(_products(indices, values, projection.value)), dtype=object)
 
     indices, values = sparse_parts(F.col(column))
     filled = vectors.select(key, indices.alias("_i"), values.alias("_w"))
@@ -178,21 +190,19 @@ def heaviest_documents(
     def best(batches):
         by_term = projection.value
         concepts = by_term.shape[1]
-        kept = [(np.empty(0), np.empty(0)) for _ in range(concepts)]
+        keys = weights = None
         for batch in batches:
-            batch = batch.sort_values("key", kind="stable")
-            keys = batch["key"].to_numpy()
-            weights = np.stack([w @ by_term[i] for i, w in zip(batch["i"], batch["w"])])
-            for c in range(concepts):
-                old_keys, old_weights = kept[c]
-                good = weights[:, c] >= old_weights[-1] if len(old_weights) >= n else slice(None)
-                all_keys = np.concatenate([old_keys, keys[good]]) if len(old_keys) else keys[good]
-                all_weights = np.concatenate([old_weights, weights[good, c]])
-                by_key = np.argsort(all_keys, kind="stable")
-                order = by_key[np.argsort(-all_weights[by_key], kind="stable")][:n]
-                kept[c] = (all_keys[order], all_weights[order])
-        for c, (keys, weights) in enumerate(kept):
-            yield pd.DataFrame({key: keys, "concept": np.int32(c), "weight": weights})
+            if not len(batch):
+                continue
+            new = _products(batch["i"], batch["w"], by_term)
+            own = np.repeat(batch["key"].to_numpy()[:, None], concepts, axis=1)
+            keys = own if keys is None else np.concatenate([keys, own])
+            weights = new if weights is None else np.concatenate([weights, new])
+            order = np.lexsort((keys, -weights), axis=0)[:n]
+            keys, weights = np.take_along_axis(keys, order, 0), np.take_along_axis(weights, order, 0)
+        if keys is not None:
+            concept = np.tile(np.arange(concepts, dtype=np.int32), len(keys))
+            yield pd.DataFrame({key: keys.ravel(), "concept": concept, "weight": weights.ravel()})
 
     types = {f.name: f.dataType.simpleString() for f in vectors.schema}
     return rows.mapInPandas(best, f"{key} {types[key]}, concept INT, weight DOUBLE")

@@ -52,8 +52,8 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``lookup`` to ``left`` on one column, whatever the key skew.
 
-    A small lookup is broadcast: ``max_rows`` is a bound known beforehand, and
-    without one the rows are counted and measured.  A larger lookup is
+    A small lookup is broadcast, after its rows were counted and measured:
+    ``max_rows``, if given, is the bound they are held to.  A larger lookup is
     shuffled, and only hot keys are salted.  They are given as ``hot``, or
     found by reading the keys of ``left`` once more; with ``costly_left`` the
     left rows are checkpointed first, so that they are not computed twice.
@@ -64,8 +64,8 @@ def lookup_join(
     per salt.  Which keys count as hot changes only the spread of the work,
     never the result.  ``how`` may be inner, left, left_semi or left_anti.
     """
-    small = max_rows <= BROADCAST_ROWS if max_rows is not None else is_small(lookup)
-    if small:
+    bound = BROADCAST_ROWS if max_rows is None else min(max_rows, BROADCAST_ROWS)
+    if is_small(lookup, bound):
         return left.join(F.broadcast(lookup), on, how)
 
     if hot is None:

@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..sources.scratch import checkpointed
 
 
+# Rows that one task may number.
+WINDOW_ROWS = 100_000
+
+
 def top_per_group(df: DataFrame, group: str, n: int, order: Sequence[Column | str], rank: str = "rank") -> DataFrame:
     """The first ``n`` rows of each group, ranked from 1.
 
@@ -29,11 +33,12 @@ def nth_largest(df: DataFrame, column: str, n: int) -> DataFrame:
 def dense_ids(df: DataFrame, order: Sequence[Column | str], name: str = "id", max_rows: int | None = None) -> DataFrame:
     """Number rows 0, 1, 2, ... in a stated order.
 
-    A frame of at most ``max_rows`` rows is numbered in one window.  Any other
-    is range-sorted; each row's place inside its partition is then moved by
+    A frame that is found to have at most ``max_rows`` rows, and no more than
+    ``WINDOW_ROWS``, is numbered in one window.  Any other is range-sorted; each row's place inside its partition is then moved by
     the row count of the partitions before it, so no task sees all rows.
     """
-    if max_rows is not None:
+    bound = min(max_rows or 0, WINDOW_ROWS)
+    if bound and df.limit(bound + 1).count() <= bound:
         return df.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
     place = F.monotonically_increasing_id()
     placed = checkpointed(df.orderBy(*order).withColumn("_place", place))

@@ -47,7 +47,7 @@ def fit_concepts(
     num_terms: int = 1500,
     key: str = "doc_id",
     r_cond: float = 1e-9,
-    method: str = "gramian",
+    method: str = "spark",
 ) -> ConceptModel:
     """Fit on (key, tokens) rows, one row per document.
 

@@ -14,6 +14,9 @@ from ..operators.profiling import score_stats, value_histogram
 
 @dataclass(frozen=True)
 class LinkageReport:
+    """The tables; ``release`` frees the kept pairs."""
+
+    pairs: DataFrame
     match_counts: DataFrame
     all_stats: DataFrame
     match_stats: DataFrame
@@ -21,15 +24,15 @@ class LinkageReport:
     contrast: DataFrame
     cutoffs: DataFrame
 
+    def release(self) -> None:
+        self.pairs.unpersist()
 
-def linkage_report(lines: DataFrame, cutoffs: Sequence[float] = (4.0, 2.0), id_type: str = "int") -> LinkageReport:
-    """All tables of the analysis.
 
-    Each table reads the lines again; persist them, or the parsed pairs, when
-    several tables are wanted and the input is slow.
-    """
-    pairs = parse_comparisons(lines, id_type=id_type)
+def linkage_report(lines: DataFrame, cutoffs: Sequence[float] = (4.0, 2.0), id_type: str = "int") -> LinkageReport:
+    """All tables of the analysis; the parsed pairs are kept in memory or on disk for them."""
+    pairs = parse_comparisons(lines, id_type=id_type).persist()
     return LinkageReport(
+        pairs=pairs,
         match_counts=value_histogram(pairs, "matched"),
         all_stats=score_stats(pairs),
         match_stats=score_stats(pairs.filter("matched")),
