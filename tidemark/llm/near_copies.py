@@ -145,10 +145,14 @@ def signatures(docs: DataFrame, text: str, steps, carry: list[str]) -> DataFrame
     return map_blocks(docs, text, make, "node bigint, bands array<bigint>", carry)
 
 
-def _pairs_of(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs a < b, rows of crowds) of (bucket, node, support, bands, band); only buckets of two or more nodes count."""
-    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    met = checkpointed(buckets.join(sizes, "bucket"))
+def _met(rows: DataFrame) -> DataFrame:
+    """The rows of buckets of two or more nodes, with n, their number."""
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return checkpointed(rows.join(sizes, "bucket"))
+
+
+def _pairs_of(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(candidate pairs a < b, rows of crowds) of (bucket, node, n, support, ...)."""
     few = met.filter(F.col("n") <= CROWD).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
     few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode(F.filter("all", lambda b: b > F.col("a"))).alias("b"))
     crowd = met.filter(F.col("n") > CROWD)
@@ -160,21 +164,16 @@ def _pairs_of(buckets: DataFrame) -> tuple[DataFrame, DataFrame]:
 def candidates(nodes: DataFrame) -> DataFrame:
     """Distinct pairs of nodes to verify."""
     rows = nodes.select("node", "bands", F.posexplode("bands").alias("band", "bucket"))
-    rows = rows.select("bucket", "node", "bands", "band")
-    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    support = rows.select("bucket", "node").join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("support"))
-    pairs = []
-    level = rows.join(support, "node")
-    for step in (1, 2, 3):
-        found, crowd = _pairs_of(level)
-        pairs.append(found)
-        if step == 3 or crowd.isEmpty():
+    second, third = (F.get("bands", (F.col("band") + k) % BANDS) for k in (1, 2))
+    met = _met(rows.select("bucket", "node", second.alias("second"), third.alias("third")))
+    support = met.groupBy("node").agg(F.sum("n").alias("support"))
+    out, crowd = _pairs_of(met.join(support, "node"))
+    for finer in ("second", "third"):
+        if crowd.isEmpty():
             break
-        following = F.get("bands", (F.col("band") + step) % BANDS)
-        level = crowd.select(F.xxhash64("bucket", following).alias("bucket"), "node", "bands", "band", "support")
-    out = pairs[0]
-    for more in pairs[1:]:
-        out = out.unionByName(more)
+        met = _met(crowd.drop("n").withColumn("bucket", F.xxhash64("bucket", finer)))
+        found, crowd = _pairs_of(met)
+        out = out.unionByName(found)
     return out.distinct()
 
 
@@ -256,7 +255,8 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     member = signed.select("doc_id", "text_key", "node").join(found.join(degree, "node"), "node", "left")
     member = checkpointed(member.withColumn("class", F.coalesce("class", "node")))
-    least = member.groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    # a table of its own, so that the join can split a common class
+    least = checkpointed(member.groupBy("class").agg(F.min("doc_id").alias("class_id")))
     out = member.join(least, "class")
     return out.select("doc_id", "text_key", "class", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
