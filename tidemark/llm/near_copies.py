@@ -10,8 +10,9 @@ similarity of at least ``SIMILAR`` are linked.  Classes are connected components
 
 Texts of equal shingles are one node from the start.  A band's bucket of up to
 ``CROWD`` nodes compares all of them.  A larger one compares every node with the
-bucket's most central one (whose buckets are the largest in all), and all nodes
-meet again in finer buckets, of two and of three bands.
+bucket's most central node (whose buckets are the largest in all) and with
+another central node, a different one in each band; and all nodes meet again in
+finer buckets, of two and of three bands.
 
 Defined cases: texts without words (null, empty, marks only) are copies of equal
 texts only; repeated rows are copies; null ids are rows like others, and a class
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.llm.blocks import WORD_BYTES, Block, blocks, map_blocks, mix, text_bytes
 from tidemark.llm.sampling import Sampler, count_terms
@@ -39,7 +40,7 @@ BANDS, ROWS = 20, 4
 FEATURES = 1 << 20
 IDF_SHARE = 0.25
 IDF_STEPS = 16
-CROWD = 24
+CROWD = 64
 _CHUNK = 1 << 12
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -156,7 +157,10 @@ def _pairs_of(met: DataFrame) -> tuple[DataFrame, DataFrame]:
     few = met.filter(F.col("n") <= CROWD).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
     few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode(F.filter("all", lambda b: b > F.col("a"))).alias("b"))
     crowd = met.filter(F.col("n") > CROWD)
-    centre = crowd.groupBy("bucket").agg(F.max_by("node", F.struct("support", "node")).alias("centre"))
+    # each band takes the most central node and one more, of another place in each
+    order = Window.partitionBy("bucket").orderBy(F.desc("support"), "node")
+    centre = crowd.select("bucket", "node", "support", "band").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= BANDS + 1)
+    centre = centre.filter((F.col("place") == 1) | (F.col("place") == F.col("band") + 2)).select("bucket", F.col("node").alias("centre"))
     star = crowd.join(centre, "bucket").filter("node != centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
     return few.unionByName(star), crowd
 
@@ -165,7 +169,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
     """Distinct pairs of nodes to verify."""
     rows = nodes.select("node", "bands", F.posexplode("bands").alias("band", "bucket"))
     second, third = (F.get("bands", (F.col("band") + k) % BANDS) for k in (1, 2))
-    met = _met(rows.select("bucket", "node", second.alias("second"), third.alias("third")))
+    met = _met(rows.select("bucket", "node", "band", second.alias("second"), third.alias("third")))
     support = met.groupBy("node").agg(F.sum("n").alias("support"))
     out, crowd = _pairs_of(met.join(support, "node"))
     for finer in ("second", "third"):
