@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 #: Documents of a block at most.
 BLOCK_DOCS = 1 << 12
 
