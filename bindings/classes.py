@@ -194,6 +194,26 @@ def forest_shape(spark, folder):
     )
 
 
+def forest_full(spark, folder):
+    """A forest of full size on categorical features: one known class per row, and better than the largest class.
+
+    The class of one vector must be that of its row in the table.
+    """
+    rows = _part_vectors(spark, folder).persist()
+    model = fit_forest(rows, bins=300, depth=30)
+    scored = predict(model, rows, "p_partkey", "features")
+    first = scored.orderBy("p_partkey").select("prediction", to_array(F.col("features")).alias("values")).first()
+    same = predict_one(model, first["values"]) == first["prediction"]
+    largest = class_priors(rows).agg(F.max("share")).scalar()
+    labels = rows.select(F.col("label").alias("prediction")).distinct().withColumn("_known", F.lit(True))
+    rows.unpersist()
+    checked = scored.join(labels, "prediction", "left")
+    return checked.agg(
+        F.count_distinct("p_partkey").alias("n"), F.bool_and(F.coalesce("_known", F.lit(False))).alias("known"),
+        (F.avg((F.col("label") == F.col("prediction")).cast("double")) > largest).alias("better"), F.lit(same).alias("same"),
+    )
+
+
 def single_predict(spark, folder):
     """The class a tree gives the mean vector of the whole table."""
     rows = _vectors(spark, folder)
@@ -223,6 +243,7 @@ QUERIES = {
     "grid_categorical": grid_categorical,
     "forest_fit": forest_fit,
     "forest_shape": forest_shape,
+    "forest_full": forest_full,
     "single_predict": single_predict,
 }
 
@@ -273,5 +294,6 @@ ORACLE = {
     "tree_beats_guess": "SELECT count(*) AS n, true AS better FROM embeddings",
     "grid_settings": "SELECT impurity, depth, bins FROM (VALUES ('gini'), ('entropy')) a(impurity) "
     "CROSS JOIN (VALUES (1), (20)) b(depth) CROSS JOIN (VALUES (10), (300)) c(bins)",
+    "forest_full": "SELECT count(*) AS n, true AS known, true AS better, true AS same FROM part",
     "forest_shape": "SELECT count(*) AS n, count(DISTINCT vec_id) AS ids, true AS known FROM embeddings",
 }

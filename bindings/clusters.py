@@ -90,6 +90,16 @@ def kmeans_fit(spark, folder):
     return cluster_label_counts(assign_clusters(rows, fit_kmeans(rows)))
 
 
+def kmeans_means(spark, folder):
+    """Whether the centres of a fit that ran until nothing moved are the means of their rows."""
+    rows = with_features(embeddings(spark, folder))
+    model = fit_kmeans(rows, 10, iterations=300, tolerance=0.0)
+    means = class_means(assign_clusters(rows, model).select("cluster", "values"), "cluster")
+    both = cluster_centers(rows, model).join(means.withColumnRenamed("center", "mean"), "cluster")
+    gap = F.aggregate(F.zip_with("center", "mean", lambda c, m: F.abs(c - m)), F.lit(0.0), lambda most, g: F.greatest(most, g))
+    return both.agg(F.count(F.lit(1)).alias("clusters"), (F.max(gap) < 1e-6).alias("means"))
+
+
 def kmeans_shape(spark, folder):
     """Whether every row is assigned to the centre nearest to it."""
     rows = with_features(embeddings(spark, folder))
@@ -139,6 +149,7 @@ QUERIES = {
     "distance_anomalies": distance_anomalies,
     "lloyd_step": lloyd_step,
     "kmeans_fit": kmeans_fit,
+    "kmeans_means": kmeans_means,
     "kmeans_shape": kmeans_shape,
     "kmeans_totals": kmeans_totals,
     "cluster_centers": centers,
@@ -168,5 +179,6 @@ far AS (
 near AS (SELECT vec_id, arg_min(c, q) AS c FROM far GROUP BY vec_id)
 SELECT CAST(c AS INTEGER) AS cluster, CAST(d - 1 AS INTEGER) AS dim, round(avg(v), 6) AS value
 FROM e JOIN near USING (vec_id) GROUP BY c, d""",
+    "kmeans_means": "SELECT CAST(10 AS BIGINT) AS clusters, true AS means",
     "kmeans_shape": "SELECT count(*) AS n, true AS nearest FROM embeddings",
 }

@@ -235,6 +235,26 @@ def svd_energy(spark, folder):
     return rounded(values.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("energy")), "energy", places=4)
 
 
+def svd_rebuild(spark, folder):
+    """A'A put together again from all singular values and V."""
+    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
+    svd = truncated_svd(rows, 64)
+    v, sigma = svd.term_weights(spark), svd.singular_values(spark)
+    left = v.join(sigma, "concept").select("concept", F.col("term_id").alias("i"), (F.col("weight") * F.pow("sigma", F.lit(2))).alias("_left"))
+    cells = left.join(v.select("concept", F.col("term_id").alias("j"), "weight"), "concept").filter("i <= j")
+    return rounded(cells.groupBy("i", "j").agg(F.sum(F.col("_left") * F.col("weight")).alias("value")), "value", places=4)
+
+
+def svd_rebuild_rows(spark, folder):
+    """The vectors put together again from U, the singular values and V."""
+    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
+    svd = truncated_svd(rows, 64)
+    u = document_weights(rows, svd.v, svd.sigma, "vec_id").join(svd.singular_values(spark), "concept")
+    v = svd.term_weights(spark).select("concept", "term_id", F.col("weight").alias("_v"))
+    value = F.sum(F.col("weight") * F.col("sigma") * F.col("_v")).alias("value")
+    return rounded(u.join(v, "concept").groupBy("vec_id", "term_id").agg(value), "value", places=4)
+
+
 def svd_methods(spark, folder):
     """Largest difference between the two ways to the same singular values."""
     rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
@@ -373,6 +393,8 @@ QUERIES = {
     "tfidf_full": tfidf_full,
     "svd_energy": svd_energy,
     "svd_methods": svd_methods,
+    "svd_rebuild": svd_rebuild,
+    "svd_rebuild_rows": svd_rebuild_rows,
     "term_gramian": term_gramian,
     "lsa_energy": lsa_energy,
     "lsa_singular_values": lsa_singular_values,
@@ -489,6 +511,11 @@ ORACLE = {
     "tfidf_full": f"WITH {_weights_sql(10**12)} SELECT doc_id, count(*) AS terms, round(sum(weight), 6) AS weight "
     "FROM w GROUP BY doc_id",
     "svd_energy": "SELECT round(sum(v * v), 4) AS energy FROM (SELECT CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)",
+    "svd_rebuild": "WITH e AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS v, "
+    "CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS d FROM embeddings) SELECT a.d AS i, b.d AS j, "
+    "round(sum(a.v * b.v), 4) AS value FROM e a JOIN e b USING (vec_id) WHERE a.d <= b.d GROUP BY a.d, b.d",
+    "svd_rebuild_rows": "SELECT vec_id, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS term_id, "
+    "round(CAST(unnest(embedding) AS DOUBLE), 4) AS value FROM embeddings",
     "svd_methods": "SELECT count(*) AS n, true AS same FROM (SELECT label FROM embeddings GROUP BY label "
     "ORDER BY label LIMIT 5)",
     "term_gramian": f"WITH {_weights_sql(GRAMIAN_TERMS)}, "
