@@ -19,7 +19,7 @@ from tidemark.llm import decontaminate, language, mixing, near_copies, surrogate
 from tidemark.sources.scratch import scratch_path
 
 #: Share of a document's trigrams that its leading language must account for.
-LANGUAGE_SCORE = 0.3
+LANGUAGE_SCORE = 0.1
 #: Key of the surrogates' hash; set your own where surrogates must not be guessable.
 SURROGATE_KEY = "corpus"
 
