@@ -162,30 +162,27 @@ def _pairs_of(met: DataFrame) -> tuple[DataFrame, DataFrame]:
     centre = crowd.select("bucket", "node", "support", "band").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= BANDS + 1)
     centre = centre.filter((F.col("place") == 1) | (F.col("place") == F.col("band") + 2)).select("bucket", F.col("node").alias("centre"))
     star = crowd.join(centre, "bucket").filter("node != centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    return few.unionByName(star), crowd
+    return few, star, crowd
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs of nodes to verify."""
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs of nodes to verify: those with a centre of a crowd, and those of small buckets."""
     rows = nodes.select("node", "bands", F.posexplode("bands").alias("band", "bucket"))
     second, third = (F.get("bands", (F.col("band") + k) % BANDS) for k in (1, 2))
     met = _met(rows.select("bucket", "node", "band", second.alias("second"), third.alias("third")))
     support = met.groupBy("node").agg(F.sum("n").alias("support"))
-    out, crowd = _pairs_of(met.join(support, "node"))
+    few, star, crowd = _pairs_of(met.join(support, "node"))
     for finer in ("second", "third"):
         if crowd.isEmpty():
             break
         met = _met(crowd.drop("n").withColumn("bucket", F.xxhash64("bucket", finer)))
-        found, crowd = _pairs_of(met)
-        out = out.unionByName(found)
-    return out.distinct()
+        more, centred, crowd = _pairs_of(met)
+        few, star = few.unionByName(more), star.unionByName(centred)
+    return checkpointed(star.distinct()), checkpointed(few.distinct())
 
 
-def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, steps) -> DataFrame:
-    """(a, b) of generalised Jaccard similarity ``SIMILAR`` or more, from the whole texts.
-
-    Texts of nodes in pairs are joined to them compressed.
-    """
+def packed_texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(node, packed): the compressed texts of the nodes in pairs."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node")
     raw = text_bytes(text)
     texts = docs.select(F.xxhash64(raw).alias("text_key"), raw.alias("raw")).join(used.select("text_key", "node"), "text_key")
@@ -197,7 +194,11 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str, steps
             yield pa.RecordBatch.from_pydict({"node": batch.column(0), "packed": pa.array(packed, pa.binary())})
 
     packed = texts.select("node", "raw").mapInArrow(press, "node bigint, packed binary")
-    packed = checkpointed(packed.groupBy("node").agg(F.first("packed").alias("packed")))
+    return checkpointed(packed.groupBy("node").agg(F.first("packed").alias("packed")))
+
+
+def verify(pairs: DataFrame, packed: DataFrame, steps) -> DataFrame:
+    """(a, b) of generalised Jaccard similarity ``SIMILAR`` or more, from the whole texts."""
     both = pairs.join(packed.toDF("b", "packed_b"), "b").join(packed.toDF("a", "packed_a"), "a")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +247,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_key, class, class_id, n_links): class_id is the least id of the class, n_links the links of the text's node."""
+    """(doc_id, text_key, class, class_id): class_id is the least id of the class."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("raw", text_bytes("text"))
     frequency = document_frequencies(rows, "text")
     steps = docs.sparkSession.sparkContext.broadcast(idf_steps(frequency, rows.count()))
@@ -254,15 +255,21 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     signed = signatures(keyed, "raw", steps, ["doc_id", "text_key"])
     signed = checkpointed(signed.withColumn("node", F.coalesce("node", F.xxhash64("text_key", F.lit("no words")))))
     nodes = checkpointed(signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
-    links = checkpointed(verify(checkpointed(candidates(nodes)), nodes, rows, "text", steps))
-    found = components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
-    member = signed.select("doc_id", "text_key", "node").join(found.join(degree, "node"), "node", "left")
+    star, few = candidates(nodes)
+    packed = packed_texts(star.unionByName(few), nodes, rows, "text")
+    links = checkpointed(verify(star, packed, steps))
+    if not links.isEmpty():
+        # a pair that centres connect already cannot change the classes
+        known = components(links)
+        few = few.join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left")
+        few = few.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    found = components(checkpointed(links.unionByName(verify(few, packed, steps))))
+    member = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
     member = checkpointed(member.withColumn("class", F.coalesce("class", "node")))
     # a table of its own, so that the join can split a common class
     least = checkpointed(member.groupBy("class").agg(F.min("doc_id").alias("class_id")))
     out = member.join(least, "class")
-    return out.select("doc_id", "text_key", "class", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    return out.select("doc_id", "text_key", "class", "class_id")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
