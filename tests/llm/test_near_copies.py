@@ -68,6 +68,27 @@ def test_against_all_pairs(spark):
     assert by_id(nc.classes(docs)) == exact(rows, steps)
 
 
+def drifting(draw, size, breaks=(), same=200, own=60, step=20):
+    """Texts that share words but are near only to the next one; after ``breaks`` to none."""
+    shared = " ".join(f"both{draw.randrange(10**6)}" for _ in range(same))
+    words = [f"d{draw.randrange(10**6)}" for _ in range(own + step * size + 200 * len(breaks))]
+    at = 0
+    for k in range(size):
+        at += 200 if k in breaks else step
+        yield f"{shared} {' '.join(words[at - step : at - step + own])}"
+
+
+def test_a_crowd_that_drifts_against_all_pairs(spark):
+    draw = random.Random(5)
+    rows = list(enumerate(drifting(draw, 240, breaks=(60, 61, 160))))
+    draw.shuffle(rows)
+    docs = awkward(spark, rows)
+    steps = nc.idf_steps(nc.document_frequencies(docs, "text"), len(rows))
+    want = exact(rows, steps)
+    assert len(set(want.values())) == 4
+    assert by_id(nc.classes(docs)) == want
+
+
 def test_document_frequencies_are_of_all_documents(spark):
     rows = corpus()
     total = nc.document_frequencies(awkward(spark, rows), "text")

@@ -8,11 +8,10 @@ all documents have, in ``IDF_STEPS`` steps.  Samples are grouped into bands;
 documents that agree in a band are candidates, and those of a generalised Jaccard
 similarity of at least ``SIMILAR`` are linked.  Classes are connected components.
 
-Texts of equal shingles are one node from the start.  A band's bucket of up to
-``CROWD`` nodes compares all of them.  A larger one compares every node with the
-bucket's most central node (whose buckets are the largest in all) and with
-another central node, a different one in each band; and all nodes meet again in
-finer buckets, of two and of three bands.
+Texts of equal shingles are one node from the start.  Any two nodes that share a
+band's bucket are compared, unless they are in one class already.  In a bucket of
+more than ``CROWD`` nodes central nodes come first, so that most others are in
+their class before they would be compared (``link_crowds``).
 
 Defined cases: texts without words (null, empty, marks only) are copies of equal
 texts only; repeated rows are copies; null ids are rows like others, and a class
@@ -41,6 +40,10 @@ FEATURES = 1 << 20
 IDF_SHARE = 0.25
 IDF_STEPS = 16
 CROWD = 64
+#: So many times as many centres in each round of a crowd.
+MORE = 8
+#: So many links are joined to classes by the driver; more by Spark, with equal results.
+FEW_LINKS = 1 << 16
 _CHUNK = 1 << 12
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -146,44 +149,65 @@ def signatures(docs: DataFrame, text: str, steps, carry: list[str]) -> DataFrame
     return map_blocks(docs, text, make, "node bigint, bands array<bigint>", carry)
 
 
-def _met(rows: DataFrame) -> DataFrame:
-    """The rows of buckets of two or more nodes, with n, their number."""
+def met_buckets(nodes: DataFrame) -> DataFrame:
+    """(bucket, node, band, n): the rows of buckets of two or more nodes, with n, their number."""
+    rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return checkpointed(rows.join(sizes, "bucket"))
 
 
-def _pairs_of(met: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(candidate pairs a < b, rows of crowds) of (bucket, node, n, support, ...)."""
-    few = met.filter(F.col("n") <= CROWD).groupBy("bucket").agg(F.array_sort(F.collect_list("node")).alias("all"))
-    few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode(F.filter("all", lambda b: b > F.col("a"))).alias("b"))
+def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: DataFrame, steps) -> DataFrame:
+    """``label`` after all links within the buckets of more than ``CROWD`` nodes.
+
+    In rounds, centres are compared with every node of their buckets that is in
+    another class: of each bucket the most supported nodes outside its largest
+    class that have not been centres, one at first and ``MORE`` times as many in
+    each round.  A bucket is done when all nodes outside its largest class have been
+    centres: of any two of its nodes, both are then in one class or one has been
+    compared with the other.
+    """
     crowd = met.filter(F.col("n") > CROWD)
-    # each band takes the most central node and one more, of another place in each
-    order = Window.partitionBy("bucket").orderBy(F.desc("support"), "node")
-    centre = crowd.select("bucket", "node", "support", "band").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= BANDS + 1)
-    centre = centre.filter((F.col("place") == 1) | (F.col("place") == F.col("band") + 2)).select("bucket", F.col("node").alias("centre"))
-    star = crowd.join(centre, "bucket").filter("node != centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    return few, star, crowd
-
-
-def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs of nodes to verify: those with a centre of a crowd, and those of small buckets."""
-    rows = nodes.select("node", "bands", F.posexplode("bands").alias("band", "bucket"))
-    second, third = (F.get("bands", (F.col("band") + k) % BANDS) for k in (1, 2))
-    met = _met(rows.select("bucket", "node", "band", second.alias("second"), third.alias("third")))
-    support = met.groupBy("node").agg(F.sum("n").alias("support"))
-    few, star, crowd = _pairs_of(met.join(support, "node"))
-    for finer in ("second", "third"):
-        if crowd.isEmpty():
-            break
-        met = _met(crowd.drop("n").withColumn("bucket", F.xxhash64("bucket", finer)))
-        more, centred, crowd = _pairs_of(met)
-        few, star = few.unionByName(more), star.unionByName(centred)
-    return checkpointed(star.distinct()), checkpointed(few.distinct())
-
-
-def packed_texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(node, packed): the compressed texts of the nodes in pairs."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node")
+    if crowd.isEmpty():
+        return label
+    support = crowd.groupBy("node").agg(F.sum("n").alias("support"))
+    crowd = checkpointed(crowd.drop("n").join(support.join(nodes.select("node", "bands"), "node"), "node"))
+    tried = None
+    most = 1
+    while True:
+        now = label if tried is None else label.join(tried.withColumn("tried", F.lit(True)), "node", "left")
+        now = now.select("node", "class", (F.lit(False) if tried is None else F.col("tried").isNotNull()).alias("tried"))
+        rows = checkpointed(crowd.join(now, "node"))
+        sizes = rows.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class"))["class"].alias("largest"))
+        order = Window.partitionBy("bucket").orderBy(F.desc("support"), "node")
+        rest = rows.filter("not tried").select("bucket", "node", "support", "class").join(largest, "bucket").filter("class != largest")
+        centres = rest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).select("node").distinct()
+        centres = checkpointed(centres)
+        if centres.isEmpty():
+            return label
+        ours = rows.join(centres, "node", "left_semi").select("bucket", F.col("node").alias("centre"), F.col("class").alias("c"), F.col("bands").alias("b"))
+        # two nodes meet only in the first of the buckets that they share
+        first = F.array_position(F.zip_with("bands", "b", lambda x, y: x == y), True) == F.col("band") + 1
+        pairs = rows.filter("not tried").join(ours, "bucket").filter((F.col("class") != F.col("c")) & first)
+        pairs = checkpointed(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
+        label = merged(label, checkpointed(verify(pairs, packed, steps)))
+        tried = centres if tried is None else checkpointed(tried.unionByName(centres))
+        most *= MORE
+
+
+def small_pairs(met: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct pairs a < b, of different classes, that share a bucket of up to ``CROWD`` nodes."""
+    rows = met.filter(F.col("n") <= CROWD).join(label, "node")
+    one = F.struct("node", "class")
+    few = rows.groupBy("bucket").agg(F.array_sort(F.collect_list(one)).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
+    few = few.filter("low < high").select(F.explode("all").alias("x"), "all")
+    others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")))
+    return checkpointed(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct())
+
+
+def packed_texts(used: DataFrame, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(node, packed): the compressed texts of the nodes of ``used``."""
+    used = used.join(nodes.select("node", "text_key"), "node")
     raw = text_bytes(text)
     texts = docs.select(F.xxhash64(raw).alias("text_key"), raw.alias("raw")).join(used.select("text_key", "node"), "text_key")
 
@@ -246,6 +270,36 @@ def components(links: DataFrame) -> DataFrame:
             return label.toDF("node", "class")
 
 
+def joined_here(links: DataFrame) -> DataFrame:
+    """What ``components`` finds, as (class, new), of few links by the driver itself."""
+    table = links.toArrow()
+    least: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (up := least.setdefault(x, x)) != x:
+            least[x] = x = least[up]
+        return x
+
+    for a, b in zip(table.column("a").to_pylist(), table.column("b").to_pylist(), strict=True):
+        a, b = top(a), top(b)
+        least[max(a, b)] = min(a, b)
+    found = {"class": pa.array(list(least), pa.int64()), "new": pa.array([top(x) for x in list(least)], pa.int64())}
+    return links.sparkSession.createDataFrame(pa.table(found))
+
+
+def merged(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``label`` (node, class) with the classes joined that ``links`` connect; a class is named by its least node."""
+    if links.isEmpty():
+        return label
+    between = links.join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b").filter("ca != cb")
+    between = checkpointed(between.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+    if between.count() <= FEW_LINKS:
+        new = joined_here(between)
+    else:
+        new = components(between).toDF("class", "new")
+    return checkpointed(label.join(new, "class", "left").select("node", F.coalesce("new", "class").alias("class")))
+
+
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_key, class, class_id): class_id is the least id of the class."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("raw", text_bytes("text"))
@@ -255,15 +309,11 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     signed = signatures(keyed, "raw", steps, ["doc_id", "text_key"])
     signed = checkpointed(signed.withColumn("node", F.coalesce("node", F.xxhash64("text_key", F.lit("no words")))))
     nodes = checkpointed(signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
-    star, few = candidates(nodes)
-    packed = packed_texts(star.unionByName(few), nodes, rows, "text")
-    links = checkpointed(verify(star, packed, steps))
-    if not links.isEmpty():
-        # a pair that centres connect already cannot change the classes
-        known = components(links)
-        few = few.join(known.toDF("a", "ca"), "a", "left").join(known.toDF("b", "cb"), "b", "left")
-        few = few.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-    found = components(checkpointed(links.unionByName(verify(few, packed, steps))))
+    met = met_buckets(nodes)
+    used = checkpointed(met.select("node").distinct())
+    packed = packed_texts(used, nodes, rows, "text")
+    label = link_crowds(met, nodes, used.select("node", F.col("node").alias("class")), packed, steps)
+    found = merged(label, checkpointed(verify(small_pairs(met, label), packed, steps)))
     member = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
     member = checkpointed(member.withColumn("class", F.coalesce("class", "node")))
     # a table of its own, so that the join can split a common class
