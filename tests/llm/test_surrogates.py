@@ -52,6 +52,19 @@ def test_distinct_values_stay_distinct(spark):
     assert len(set(got)) == 400 and not set(got) & {t for _, t in rows}
 
 
+def test_forms_of_few_values(spark):
+    blank, short = "-" * 40, [f"{'_' * 34}{k}" for k in range(10)]
+    rows = [(0, f'"{blank}"'), *((k + 1, f"'{s}'") for k, s in enumerate(short))]
+    found = replaced(spark, rows[:3])
+    assert found[0].text == rows[0][1] and found[0].n_mentions == 0 and found[1].n_mentions == 1
+    # ten secrets of one digit have no ten surrogates of their form; cards and addresses are lengthened alike
+    values = [("secret", s, "") for s in short] + [("card", str(k), "") for k in range(10)] + [("ip", "1.2.3.4", "")]
+    frame = spark.createDataFrame(values, "kind string, value string, script string")
+    table = surrogates.surrogate_table(frame, "k", attempts=2).collect()
+    new = [(r.kind, r.surrogate) for r in table]
+    assert len(set(new)) == 21 and not set(new) & {v[:2] for v in values}
+
+
 def test_awkward_rows(spark):
     docs = awkward(spark)
     found = surrogates.replace(docs, "k")

@@ -33,7 +33,7 @@ IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 PHONE = r"(?<![\p{L}\d+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|\(\d{3}\) ?\d{3}[ .-]\d{4})(?![\p{L}\d])"
 NATIONAL = r"(?<![\p{L}\d-])\d{3}-\d{2}-\d{4}(?![\p{L}\d-])"
 CARD = r"(?<![\p{L}\d])\d(?:[ -]?\d){12,18}(?![\p{L}\d])"
-SECRET = r"(?<=[\"'])[0-9A-Za-z_-]{32,}(?=[\"'])"
+SECRET = r"(?<=[\"'])(?=[_-]*[0-9A-Za-z])[0-9A-Za-z_-]{32,}(?=[\"'])"
 PATTERN = "|".join((SECRET, EMAIL, PHONE, NATIONAL, IP, CARD, NAME))
 #: What every mention has; texts without it are not searched further.
 HINT = rf"[@\d]|(?:{_TITLES})|[\"'][0-9A-Za-z_-]{{32}}"
@@ -82,7 +82,7 @@ def _new_name(kind: Column, script: Column, hexes: Column, attempt: Column) -> C
         starts, middles = F.array(*map(F.lit, onsets)), F.array(*map(F.lit, vowels))
         part = F.concat(*[F.concat(F.get(starts, _number(hexes, 1 + 12 * k, 16)), F.get(middles, _number(hexes, 7 + 12 * k, 8))) for k in range(3)])
         more = F.concat(F.get(starts, _number(hexes, 61, 16)), F.get(middles, _number(hexes, 67, 8)))
-        part = F.concat(part, F.repeat(more, F.least(attempt, F.lit(6)).cast("int")))
+        part = F.concat(part, F.repeat(more, attempt.cast("int")))
         ending = F.when(kind == "given_male", given[0]).when(kind == "given_female", given[1]).otherwise(family)
         out = F.when(script == name, F.concat(part, ending)).otherwise(out)
     return out
@@ -117,41 +117,48 @@ def _split_mentions(mention: Column) -> Column:
     return F.when(mention.rlike(f"^(?:{_TITLES})\\.? ") & (whole == "secret"), names).otherwise(plain)
 
 
-def _surrogate(key: str) -> Column:
-    """The surrogate of (kind, value, script) at an attempt, in the form of ``value``."""
+def _surrogate(key: str, attempts: int) -> Column:
+    """The surrogate of (kind, value, script) at an attempt, in the form of ``value``; after ``attempts`` longer than it."""
     hexes = _digest(key, F.col("kind"), F.col("value"), F.col("attempt"))
+    beyond = F.least(F.greatest(F.col("attempt") - attempts, F.lit(0)) * 3, F.lit(60)).cast("int")
+    letters, digits = (F.substring(f(F.reverse(hexes)), F.lit(1), beyond) for f in (_letters, _digits))
     local = F.substring_index("value", "@", 1)
     extra = F.substring(_letters(F.reverse(hexes)), F.lit(1), F.least(F.col("attempt") * 3, F.lit(60)).cast("int"))
     email = F.concat(_like(local, hexes), extra, F.lit("@"), F.lit("example."), F.get(F.array(F.lit("com"), F.lit("org"), F.lit("net")), _number(hexes, 100, 3)))
     ip = F.concat_ws(".", (_number(hexes, 1, 223) + 1).cast("string"), *[_number(hexes, 7 * k + 7, 256).cast("string") for k in range(3)])
+    wide = F.concat(F.lit("fd00"), *[F.concat(F.lit(":"), F.substring(hexes, 1 + 4 * k, 4)) for k in range(7)])
+    ip = F.when(beyond > 0, wide).otherwise(ip)
     # a leading country code stays: the digits that make the number longer than ten
     code = F.greatest(F.length("value") - 11, F.lit(0))
     phone = F.when(F.col("value").startswith("+"), F.concat(F.expr("substring(value, 1, greatest(length(value) - 11, 0) + 1)"), _like(F.substring(F.col("value"), code + 2, F.lit(40)), hexes))).otherwise(_like(F.col("value"), hexes))
     return (
         F.when(F.col("kind") == "email", email)
         .when(F.col("kind") == "ip", ip)
-        .when(F.col("kind") == "phone", phone)
-        .when(F.col("kind").isin("card", "national"), _like(F.col("value"), hexes))
-        .when((F.col("kind") == "secret") & F.col("value").rlike("^[0-9a-f]+$"), F.substring(F.repeat(hexes, F.ceil(F.length("value") / 128).cast("int")), F.lit(1), F.length("value")))
-        .when(F.col("kind") == "secret", _like(F.col("value"), hexes))
+        .when(F.col("kind") == "phone", F.concat(phone, digits))
+        .when(F.col("kind").isin("card", "national"), F.concat(_like(F.col("value"), hexes), digits))
+        .when((F.col("kind") == "secret") & F.col("value").rlike("^[0-9a-f]+$"), F.substring(F.repeat(hexes, F.ceil((F.length("value") + beyond) / 128).cast("int")), F.lit(1), F.length("value") + beyond))
+        .when(F.col("kind") == "secret", F.concat(_like(F.col("value"), hexes), letters))
         .otherwise(_new_name(F.col("kind"), F.col("script"), hexes, F.col("attempt")))
     )
 
 
 def surrogate_table(values: DataFrame, key: str, attempts: int = 30) -> DataFrame:
-    """(kind, value, surrogate) for distinct (kind, value, script), all distinct per kind and none a value itself."""
-    table = checkpointed(values.distinct().withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key)))
+    """(kind, value, surrogate) for distinct (kind, value, script), all distinct per kind and none a value itself.
+
+    What still clashes after ``attempts`` in its own form gets a longer surrogate,
+    which grows with each further attempt until none clash.
+    """
+    table = checkpointed(values.distinct().withColumn("attempt", F.lit(0)).withColumn("surrogate", _surrogate(key, attempts)))
     real = table.select("kind", F.col("value").alias("surrogate")).distinct().withColumn("real", F.lit(True))
     settle = Window.partitionBy("kind", "surrogate").orderBy("attempt", "value")
-    for _ in range(attempts):
+    while True:
         # a surrogate's clashes are few, as the hash spreads them
         judged = table.withColumn("place", F.row_number().over(settle)).join(real, ["kind", "surrogate"], "left")
         judged = judged.withColumn("again", (F.col("place") > 1) | F.col("real").isNotNull())
         if judged.filter("again").isEmpty():
             return table.select("kind", "value", "surrogate")
         judged = judged.withColumn("attempt", F.col("attempt") + F.col("again").cast("int"))
-        table = checkpointed(judged.select("kind", "value", "script", "attempt").withColumn("surrogate", _surrogate(key)))
-    raise ValueError("surrogates still clash; their forms have too few values")
+        table = checkpointed(judged.select("kind", "value", "script", "attempt").withColumn("surrogate", _surrogate(key, attempts)))
 
 
 def _in_form(mention: Column, parts: Column) -> Column:
@@ -168,6 +175,8 @@ def _in_form(mention: Column, parts: Column) -> Column:
         ),
         "",
     )
+    had = F.length(F.regexp_replace(mention, r"[^\d]", ""))
+    spread = F.concat(spread, F.substring(digits, had + 1, F.length(digits)))
     shout = F.when(mention == F.upper(mention), F.upper(first["surrogate"])).otherwise(first["surrogate"])
     words = F.split(mention, " ")
 
