@@ -19,6 +19,8 @@ BLOCK_DOCS = 1 << 12
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+#: In place of ``LOWER``, where case counts.
+AS_IS = np.arange(256, dtype=np.uint8)
 
 #: Bytes of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]`` after lower-casing A-Z.
 WORD_BYTES = np.zeros(256, bool)
@@ -60,8 +62,8 @@ def _powers_to(n: int) -> np.ndarray:
     return _powers
 
 
-def _hash_piece(raw: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    low = LOWER[raw]
+def _hash_piece(raw: np.ndarray, kinds: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    low = fold[raw]
     inside = kinds[low]
     edge = np.diff(inside.astype(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -74,18 +76,20 @@ def _hash_piece(raw: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(np.add.reduceat(value, first) + lens.astype(np.uint64)), starts, ends
 
 
-def hash_tokens(data: bytes, kinds: np.ndarray, piece: int = 2 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def hash_tokens(
+    data: bytes, kinds: np.ndarray, piece: int = 2 << 20, fold: np.ndarray = LOWER
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(64-bit hashes, starts, ends) of the maximal runs of bytes in ``kinds``, A-Z lower-cased."""
     raw = np.frombuffer(data, np.uint8)
     if len(raw) <= piece:
-        return _hash_piece(raw, kinds)
+        return _hash_piece(raw, kinds, fold)
     parts, at = [], 0
-    outside = ~kinds[LOWER]
+    outside = ~kinds[fold]
     while at < len(raw):
         to = min(len(raw), at + piece)
         while to < len(raw) and not outside[raw[to]]:
             to += 1
-        h, s, e = _hash_piece(raw[at:to], kinds)
+        h, s, e = _hash_piece(raw[at:to], kinds, fold)
         parts.append((h, s + at, e + at))
         at = to
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
@@ -104,9 +108,9 @@ class Block:
     def __len__(self) -> int:
         return len(self.texts)
 
-    def tokens(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def tokens(self, kinds: np.ndarray, fold: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(hashes, starts, ends, document) of all tokens, in order."""
-        h, s, e = hash_tokens(self.data, kinds)
+        h, s, e = hash_tokens(self.data, kinds, fold=fold)
         return h, s, e, np.searchsorted(self.ends, s, side="right")
 
 
