@@ -68,6 +68,7 @@ def test_one_word_again_and_again(spark):
 @pytest.mark.parametrize("crowd", [0, 2])
 def test_crowds_take_the_other_path(spark, monkeypatch, crowd):
     monkeypatch.setattr(rp, "CROWD", crowd)
+    monkeypatch.setattr(rp, "HELD_WINDOWS", 50 if crowd else 1 << 20)
     rows = sharing(11)
     assert answers(awkward(spark, rows)) == brute(rows)
 
@@ -99,10 +100,13 @@ def test_factors_are_the_longest_from_their_source():
     """A factor goes on as far as its source does; windows across its end are found as well."""
     a, b = [b"a%d" % k for k in range(30)], [b"b%d" % k for k in range(30)]
     passages = [a, b, a[:20] + [b"-"] * 3, a[10:25] + b[3:25], a[17:30] + b[:13]]
-    joined = a[20:30] + b[:10]
-    passages.append(joined)  # has a window that no factor of passage 4 holds whole
-    block = rp.ReferenceBlock([b"\n".join(p) for p in passages], np.zeros(6, np.int64), np.array([1, 2, 3, 4, 9, 5]))
+    passages.append(a[20:30] + b[:10])  # has a window that no factor of passage 4 holds whole
+    numbers = {w: k for k, w in enumerate(a + b + [b"-"])}
+    names = [rp.gram_ranks(np.array([numbers[w] for w in p], np.uint64), 13).tobytes() for p in passages]
+    block = rp.ReferenceBlock(names, np.zeros(6, np.int64), np.array([1, 2, 3, 4, 9, 5]))
     assert sorted(block.factors()) == [(2, 0, 20), (3, 0, 15), (3, 15, 37), (4, 0, 13), (4, 3, 23), (4, 13, 26)]
+    alone = rp.ReferenceBlock(names, np.arange(6), np.array([1, 2, 3, 4, 9, 5]))
+    assert not list(alone.factors()) and all(len(x) == 0 for x in alone.spans())
 
 
 def test_equal_numbers_of_texts_are_numbered_anew(spark, monkeypatch):

@@ -12,12 +12,16 @@ copies as a whole.  Where a text can match at all is found first:
 
 1. Of each window the ``ANCHOR`` words of least rank are its anchor.  Equal windows
    have equal anchors, so a window whose anchor occurs in one document only is unique.
-2. Anchors of two documents or more are dealt by rank, with the words of all their
-   windows.  What a task reads of them, a megabyte of whole ranks at a time, is a
-   reference block: its windows are indexed and the passages in it are parsed
-   against it.  As an anchor's windows are all in one block, blocks need not meet.
-3. An anchor that more than ``CROWD`` texts share is dealt by whole windows instead:
-   Spark finds the least id of each, so no task gathers a crowd.
+2. Anchors of two documents or more are dealt by rank, with names of all their
+   windows.  What a task reads of them, some whole ranks at a time, is a reference
+   block: its windows are indexed and the passages in it are parsed against it.  As
+   an anchor's windows are all in one block, blocks need not meet.
+3. An anchor that more than ``CROWD`` texts share is dealt by whole windows instead,
+   and a task deals a window only while no text of smaller id had it there, so a
+   crowd is a few rows a task.
+
+A window's name is a 64-bit hash of its words, and counts only within equal
+64-bit ranks of the anchor in it.
 
 Defined cases: null and empty texts have no words; a document with a null id is
 neither smaller nor larger than another, so nothing of it is removed and it is
@@ -29,6 +33,7 @@ texts are handled whole, in pieces where they are ranked.  Other columns are not
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 from itertools import count
 
@@ -39,7 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.blocks import AS_IS, VISIBLE_BYTES, Block, blocks, bounds, mix, text_bytes
 from tidemark.operators.lookups import lookup_join
-from tidemark.sources.scratch import checkpointed
+from tidemark.sources.scratch import checkpointed, scratch_path
 
 WINDOW = 13
 ANCHOR = 5
@@ -47,8 +52,10 @@ ANCHOR = 5
 CROWD = 4_000
 #: Words ranked at once.
 PIECE = 1 << 20
-#: Bytes of a reference block; whole ranks only.
-BLOCK = 1 << 20
+#: Windows of a reference block, about; whole ranks only.
+BLOCK = 1 << 17
+#: Windows of crowds that a task remembers.
+HELD_WINDOWS = 1 << 20
 #: Bytes of text for each part of the table of texts.
 PART_BYTES = 64 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -89,10 +96,11 @@ def anchors(words: np.ndarray, doc: np.ndarray, window: int = WINDOW, anchor: in
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct texts (t, least, copies, packed), laid out by t, and rows (doc_id, t) of all documents.
+def _texts(docs: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct texts (t, least, copies, packed), and rows (doc_id, t) of all documents.
 
-    Copies are dropped in the task that reads them, so a crowd of them is a row a
+    The texts are a table in buckets of t, so that joins by t leave them where they
+    are.  Copies are dropped in the task that reads them, so a crowd of them is a row a
     task.  Should two texts get one number t, all are numbered anew.
     """
     size = docs.select(F.octet_length("text").cast("bigint").alias("n")).agg(F.sum("n")).first()[0] or 0
@@ -127,7 +135,9 @@ def _texts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         texts = dealt.repartition(parts, "t").groupBy("t").agg(
             F.min("least").alias("least"), F.sum("copies").alias("copies"), first.alias("packed"), F.min("name").alias("name"), F.max("name").alias("other")
         )
-        texts = checkpointed(texts)
+        path = scratch_path(docs.sparkSession, table)
+        texts.write.bucketBy(parts, "t").option("path", path).option("compression", "none").mode("overwrite").saveAsTable(table)
+        texts = docs.sparkSession.table(table)
         if texts.filter("name != other").isEmpty():
             return texts.drop("name", "other"), rows.select("doc_id", "t")
 
@@ -163,140 +173,147 @@ def _anchor_rows(texts: DataFrame, placed: bool) -> DataFrame:
     return used.mapInArrow(task, kind)
 
 
-def _passages(texts: DataFrame, by_text: DataFrame) -> DataFrame:
-    """(route, crowd, least, t, first, words) of shared anchors: the words of all windows of one, joined by line ends.
+def _passages(texts: DataFrame, shared: DataFrame) -> DataFrame:
+    """(route, least, t, first, last, names): passages to parse, and spans without names that are known to be duplicates.
 
-    In a crowd it is a row a window instead, dealt by the window and without words.
+    A passage is the windows of a shared anchor, as 64-bit names, dealt by the
+    anchor's rank.  In a crowd each window is a passage, dealt by itself; one that
+    the task has met in a text of smaller id is a duplicate already.
     """
+    by_text = shared.groupBy("t").agg(F.collect_list(F.struct("place", "rank")).alias("at"))
     both = texts.select("t", "least", "packed").join(by_text, "t")
-    both = both.select("t", "least", F.col("at.place").alias("place"), F.col("at.rank").alias("rank"), F.col("at.crowd").alias("crowd"), "packed")
-    names = ["route", "crowd", "least", "t", "first", "words"]
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+    both = both.select("t", "least", F.col("at.place").alias("place"), F.col("at.rank").alias("rank"), "packed")
+    names = ["route", "least", "t", "first", "last", "names"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lows: dict[int, int] = {}
         for batch in batches:
-            t, least = (batch.column(k).to_pylist() for k in (0, 1))
+            t, least = (batch.column(k).to_numpy() for k in (0, 1))
             for block in _unpacked(batch):
-                hashes, starts, ends, doc = block.tokens(VISIBLE_BYTES, AS_IS)
-                begin = np.searchsorted(doc, np.arange(len(block)))
-                out: list[tuple] = []
-                for k in range(len(block)):
-                    row = block.first + k
-                    place, rank = (np.asarray(batch.column(c)[row].values) for c in (2, 3))
-                    first = begin[k] + (place >> 8) - (place >> 4 & 15)
-                    last = begin[k] + (place >> 8) - (place & 15)
-                    crowd = np.asarray(batch.column(4)[row].values.to_numpy(zero_copy_only=False))
-                    for a, b, r in zip(first[~crowd].tolist(), last[~crowd].tolist(), rank[~crowd].tolist(), strict=True):
-                        stop = b + WINDOW - 1
-                        text = block.data[starts[a] : ends[stop]]
-                        out.append((r, False, least[row], t[row], a - begin[k], b"\n".join(text.split())))
-                    for a, b, r in zip(first[crowd].tolist(), last[crowd].tolist(), rank[crowd].tolist(), strict=True):
-                        whole = gram_ranks(hashes[a : b + WINDOW], WINDOW)
-                        route = mix(whole ^ mix(np.full(len(whole), r, np.int64).view(np.uint64))).view(np.int64).tolist()
-                        out += [(w, True, least[row], t[row], a - begin[k] + i, None) for i, w in enumerate(route)]
-                    if len(out) > 20_000:
-                        yield _rows(out)
-                        out = []
-                if out:
-                    yield _rows(out)
-
-    def _rows(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-    return both.mapInArrow(task, "route bigint, crowd boolean, least bigint, t bigint, first bigint, words binary")
+                hashes, _, _, doc = block.tokens(VISIBLE_BYTES, AS_IS)
+                window = mix(gram_ranks(hashes, WINDOW))
+                rows = slice(block.first, block.first + len(block))
+                places, ranks = (batch.column(c)[rows] for c in (2, 3))
+                doc_of = np.repeat(np.arange(len(block)), places.value_lengths().to_numpy())
+                place, rank = places.flatten().to_numpy(), ranks.flatten().to_numpy()
+                begin = np.searchsorted(doc, doc_of)
+                where = begin + (place >> 9)
+                first, last = where - (place >> 5 & 15), where - (place >> 1 & 15)
+                crowd = (place & 1).astype(bool)
+                for some in (np.flatnonzero(~crowd), np.flatnonzero(crowd)):
+                    size = last[some] - first[some] + 1
+                    at = np.repeat(first[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                    owner = doc_of[some] + block.first
+                    if len(some) and not crowd[some[0]]:
+                        yield as_batch(rank[some], least[owner], t[owner], (first - begin)[some], size, window[at])
+                    elif len(some):
+                        route = mix(window[at] ^ mix(np.repeat(rank[some], size).view(np.uint64)))
+                        owner = np.repeat(owner, size)
+                        known = np.array([not met(lows, r, low) for r, low in zip(route.tolist(), least[owner].tolist(), strict=True)])
+                        word = at - np.repeat(begin[some], size)
+                        yield as_batch(
+                            np.where(known, t[owner], route.view(np.int64)), least[owner], t[owner], word, (~known).astype(np.int64), window[at][~known], word + WINDOW
+                        )
+
+    def met(lows: dict[int, int], route: int, least: int) -> bool:
+        """Whether a window has to be dealt: no text of smaller id had it here."""
+        low = lows.get(route)
+        if low is not None and low < least:
+            return False
+        if len(lows) > HELD_WINDOWS:
+            lows.clear()
+        lows[route] = least
+        return True
+
+    def as_batch(route, least, t, first, size, window, last=None) -> pa.RecordBatch:
+        ends = np.concatenate([[0], np.cumsum(8 * size)]).astype(np.int32)
+        named = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(window.tobytes())])
+        last = np.zeros(len(size), np.int64) if last is None else last
+        return pa.RecordBatch.from_arrays([pa.array(route), pa.array(least), pa.array(t), pa.array(first), pa.array(last), named], names)
+
+    return both.mapInArrow(task, "route bigint, least bigint, t bigint, first bigint, last bigint, names binary")
 
 
 class ReferenceBlock:
-    """Passages of many texts, with an index of their windows: the occurrence in the text of least id."""
+    """Passages of many texts as names of windows, and an index of them: where in the text of least id each occurs."""
 
     def __init__(self, passages: list[bytes], route: np.ndarray, least: np.ndarray):
-        block = Block(0, passages)
-        self.words, _, _, self.passage = block.tokens(VISIBLE_BYTES, AS_IS)
-        name = gram_ranks(self.words, WINDOW)
-        self.start = np.flatnonzero(self.passage[: len(name)] == self.passage[WINDOW - 1 :])
-        owner = self.passage[self.start]
-        name = mix(name[self.start] ^ mix(route[owner].view(np.uint64)))
-        own = least[owner]
-        order = np.lexsort((own, name))
+        self.names = np.frombuffer(b"".join(passages), np.uint64)
+        size = np.fromiter((len(p) // 8 for p in passages), np.int64, len(passages))
+        self.first = np.cumsum(size) - size
+        self.passage = np.repeat(np.arange(len(passages)), size)
+        self.names = mix(self.names ^ mix(np.repeat(route.view(np.uint64), size)))
+        own = np.repeat(least, size)
+        order = np.lexsort((own, self.names))
         head = np.zeros(len(order), bool)
-        head[bounds(name[order])] = True
+        head[bounds(self.names[order])] = True
         source = np.empty(len(order), np.int64)
-        source[order] = self.start[order][np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
-        #: By word, where the window that begins there occurs in a text of smaller id; else -1.
-        self.source = np.full(len(self.words), -1)
-        earlier = least[self.passage[source]] < own
-        self.source[self.start[earlier]] = source[earlier]
+        source[order] = order[np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))]
+        #: By window, where it occurs in a text of smaller id; else -1.
+        self.source = np.where(own[source] < own, source, -1)
 
     def factors(self) -> Iterator[tuple[int, int, int]]:
         """(passage, first, last word) of the factors of a window or more, and of windows that factors' ends cut.
 
-        From the present word a factor follows its source as far as both go on
+        From the present window a factor follows its source as far as both go on
         alike; parsing goes on after it, and windows across its end are looked up.
         """
-        source, passage, words = self.source, self.passage, self.words
+        names, passage, source = self.names, self.passage, self.source
+        alike = np.zeros(len(names) + 1, bool)
+        alike[1:-1] = passage[1:] == passage[:-1]
         hits = np.flatnonzero(source >= 0)
         k = 0
         while k < len(hits):
-            at = int(hits[k])
-            own, there = passage[at], int(source[at])
-            stop, end = at + WINDOW, there + WINDOW
-            while stop < len(words) and passage[stop] == own and end < len(words) and passage[end] == passage[there] and words[stop] == words[end]:
-                stop, end = stop + 1, end + 1
-            first = int(np.searchsorted(passage, own))
-            yield int(own), at - first, stop - first
-            # windows inside the factor are known; the next to look up is the first that its end cuts
-            k = int(np.searchsorted(hits, stop - WINDOW + 1))
+            at, follow = int(hits[k]), int(source[hits[k]])
+            own, stop = int(passage[at]), k + 1
+            while stop < len(hits) and hits[stop] == at + stop - k and passage[hits[stop]] == own:
+                follows = follow + stop - k
+                if not alike[follows] or names[follows] != names[hits[stop]]:
+                    break
+                stop += 1
+            begin = at - int(self.first[own])
+            yield own, begin, begin + stop - k - 1 + WINDOW
+            k = stop
 
     def spans(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         return tuple(np.array(x, np.int64) for x in zip(*self.factors(), strict=True)) or (np.zeros(0, np.int64),) * 3
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
-    """Rows of whole routes, about ``BLOCK`` bytes at a time."""
+    """Rows of whole routes, about ``BLOCK`` windows at a time."""
     held, size = [], 0
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if size > BLOCK and row[0] != held[-1][0]:
+            if size > 8 * BLOCK and row[0] != held[-1][0]:
                 yield held
                 held, size = [], 0
             held.append(row)
-            size += len(row[-1])
+            size += len(row[-1]) + 8
     if held:
         yield held
 
 
 def _parsed(passages: DataFrame) -> DataFrame:
-    """(t, first, last): duplicate spans of words found in reference blocks."""
+    """(t, first, last): duplicate spans of words."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _chunks(batches):
-            route, least, t, first = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:4])
+            route, least, t, first, last = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:5])
             which, begin, end = ReferenceBlock([r[-1] for r in rows], route, least).spans()
-            yield pa.RecordBatch.from_pydict({"t": t[which], "first": first[which] + begin, "last": first[which] + end})
-
-    own = passages.filter("not crowd").select("route", "least", "t", "first", "words")
-    return own.repartition("route").sortWithinPartitions("route").mapInArrow(task, "t bigint, first bigint, last bigint")
-
+            known = np.array([not r[-1] for r in rows])
+            found = {"t": t[which], "first": first[which] + begin, "last": first[which] + end}
+            old = {"t": t[known], "first": first[known], "last": last[known]}
+            yield pa.RecordBatch.from_pydict({c: np.concatenate([found[c], old[c]]) for c in found})
 
-def _crowded(passages: DataFrame) -> DataFrame:
-    """The same of windows in crowds: those that a text of smaller id has."""
-    own = checkpointed(passages.filter("crowd").select("route", "least", "t", "first"))
-    met = own.groupBy("route").agg(F.min("least").alias("low"), F.max("least").alias("high"), F.count(F.lit(1)).alias("n")).filter("low < high")
-    met = checkpointed(met)
-    hot = met.filter(F.col("n") * 1000 >= own.count()).select("route")
-    found = lookup_join(own, met.select("route", "low"), "route", hot=hot).filter("low < least")
-    return found.select("t", "first", (F.col("first") + WINDOW).alias("last"))
+    return passages.repartition("route").sortWithinPartitions("route").mapInArrow(task, "t bigint, first bigint, last bigint")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(t, first, last): spans of words, overlapping ones included, that are in a text of smaller id."""
     met = _anchor_rows(texts, placed=False).groupBy("rank").agg(F.min("least").alias("low"), F.max("least").alias("high"), F.count(F.lit(1)).alias("n"))
-    met = checkpointed(met.filter("low < high").select("rank", (F.col("n") > CROWD).alias("crowd")))
-    shared = _anchor_rows(texts, placed=True).join(met, "rank").select("t", "place", "rank", "crowd")
-    passages = _passages(texts, checkpointed(shared.groupBy("t").agg(F.collect_list(F.struct("place", "rank", "crowd")).alias("at"))))
-    if met.filter("crowd").isEmpty():
-        return _parsed(passages)
-    return _parsed(passages).unionByName(_crowded(passages))
+    met = checkpointed(met.filter("low < high").select("rank", (F.col("n") > CROWD).cast("bigint").alias("crowd")))
+    shared = _anchor_rows(texts, placed=True).join(met, "rank").select("t", (F.col("place") * 2 + F.col("crowd")).alias("place"), "rank")
+    return _parsed(_passages(texts, shared))
 
 
 def _judged_texts(texts: DataFrame, with_text: bool) -> DataFrame:
@@ -331,9 +348,13 @@ def _judged_texts(texts: DataFrame, with_text: bool) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) per document, and kept: the words that stay, joined by spaces."""
-    texts, rows = _texts(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
-    found = _judged_texts(texts, with_text)
-    found = checkpointed(found if with_text else found.drop("whole", "kept"))
+    spark, table = docs.sparkSession, f"relative_parse_{uuid.uuid4().hex}"
+    try:
+        texts, rows = _texts(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), table)
+        found = _judged_texts(texts, with_text)
+        found = checkpointed(found if with_text else found.drop("whole", "kept"))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # its files stay in the shared folder, like checkpoints
     hot = found.filter(F.col("copies") * 1000 >= rows.count()).select("t")
     both = lookup_join(rows, found, "t", hot=hot, salt_by=["doc_id"])
     # a copy of a text with a smaller id goes whole, if it has a window
