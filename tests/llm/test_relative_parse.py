@@ -69,7 +69,8 @@ def test_one_word_again_and_again(spark):
 def test_crowds_take_the_other_path(spark, monkeypatch, crowd):
     monkeypatch.setattr(rp, "CROWD", crowd)
     monkeypatch.setattr(rp, "HELD_WINDOWS", 50 if crowd else 1 << 20)
-    rows = sharing(11)
+    again = [(200 + k, " ".join(["a b"] * (20 + k % 3) + [f"end{k}"])) for k in range(12)]
+    rows = sharing(11) + again
     assert answers(awkward(spark, rows)) == brute(rows)
 
 

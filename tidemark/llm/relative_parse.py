@@ -174,16 +174,17 @@ def _anchor_rows(texts: DataFrame, placed: bool) -> DataFrame:
 
 
 def _passages(texts: DataFrame, shared: DataFrame) -> DataFrame:
-    """(route, least, t, first, last, names): passages to parse, and spans without names that are known to be duplicates.
+    """(route, least, t, first, last, names, also): passages to parse, and spans without names that are known to be duplicates.
 
     A passage is the windows of a shared anchor, as 64-bit names, dealt by the
-    anchor's rank.  In a crowd each window is a passage, dealt by itself; one that
-    the task has met in a text of smaller id is a duplicate already.
+    anchor's rank.  In a crowd each window is a passage, dealt by itself, once a
+    text, with the words (``also``) at which the text has it again; one that the
+    task has met in a text of smaller id is a duplicate already.
     """
     by_text = shared.groupBy("t").agg(F.collect_list(F.struct("place", "rank")).alias("at"))
     both = texts.select("t", "least", "packed").join(by_text, "t")
     both = both.select("t", "least", F.col("at.place").alias("place"), F.col("at.rank").alias("rank"), "packed")
-    names = ["route", "least", "t", "first", "last", "names"]
+    names = ["route", "least", "t", "first", "last", "names", "also"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lows: dict[int, int] = {}
@@ -200,20 +201,35 @@ def _passages(texts: DataFrame, shared: DataFrame) -> DataFrame:
                 where = begin + (place >> 9)
                 first, last = where - (place >> 5 & 15), where - (place >> 1 & 15)
                 crowd = (place & 1).astype(bool)
-                for some in (np.flatnonzero(~crowd), np.flatnonzero(crowd)):
-                    size = last[some] - first[some] + 1
-                    at = np.repeat(first[some] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                    owner = doc_of[some] + block.first
-                    if len(some) and not crowd[some[0]]:
-                        yield as_batch(rank[some], least[owner], t[owner], (first - begin)[some], size, window[at])
-                    elif len(some):
-                        route = mix(window[at] ^ mix(np.repeat(rank[some], size).view(np.uint64)))
-                        owner = np.repeat(owner, size)
-                        known = np.array([not met(lows, r, low) for r, low in zip(route.tolist(), least[owner].tolist(), strict=True)])
-                        word = at - np.repeat(begin[some], size)
-                        yield as_batch(
-                            np.where(known, t[owner], route.view(np.int64)), least[owner], t[owner], word, (~known).astype(np.int64), window[at][~known], word + WINDOW
-                        )
+                size = last - first + 1
+                quiet = np.flatnonzero(~crowd)
+                owner = doc_of[quiet] + block.first
+                yield as_batch(rank[quiet], least[owner], t[owner], (first - begin)[quiet], size[quiet], window[from_to(first[quiet], size[quiet])])
+                if not crowd.any():
+                    continue
+                at = from_to(first[crowd], size[crowd])
+                route = mix(window[at] ^ mix(np.repeat(rank[crowd], size[crowd]).view(np.uint64)))
+                owner, word = np.repeat(doc_of[crowd] + block.first, size[crowd]), at - np.repeat(begin[crowd], size[crowd])
+                order = np.lexsort((word, route, owner))
+                route, owner, word, at = route[order], owner[order], word[order], at[order]
+                head = np.ones(len(order), bool)
+                head[1:] = (route[1:] != route[:-1]) | (owner[1:] != owner[:-1])
+                deal = np.array([met(lows, r, low) for r, low in zip(route[head].tolist(), least[owner[head]].tolist(), strict=True)])
+                dealt = deal[np.cumsum(head) - 1]
+                one, others = head & dealt, ~head & dealt
+                more = np.bincount((np.cumsum(one) - 1)[others], minlength=one.sum())
+                mine = owner[one]
+                yield as_batch(route[one].view(np.int64), least[mine], t[mine], word[one], np.ones(len(mine), np.int64), window[at[one]], None, more, word[others])
+                mine, word = owner[~dealt], word[~dealt]
+                order = np.lexsort((word, mine))
+                mine, word = mine[order], word[order]
+                new = np.ones(len(mine), bool)
+                new[1:] = (mine[1:] != mine[:-1]) | (word[1:] > word[:-1] + WINDOW)
+                mine, stop = mine[new], word[np.append(np.flatnonzero(new)[1:], len(word)) - 1] + WINDOW if len(word) else word
+                yield as_batch(t[mine], least[mine], t[mine], word[new], np.zeros(len(mine), np.int64), window[:0], stop)
+
+    def from_to(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
     def met(lows: dict[int, int], route: int, least: int) -> bool:
         """Whether a window has to be dealt: no text of smaller id had it here."""
@@ -225,13 +241,16 @@ def _passages(texts: DataFrame, shared: DataFrame) -> DataFrame:
         lows[route] = least
         return True
 
-    def as_batch(route, least, t, first, size, window, last=None) -> pa.RecordBatch:
+    def lists(size: np.ndarray, values: np.ndarray) -> pa.Array:
         ends = np.concatenate([[0], np.cumsum(8 * size)]).astype(np.int32)
-        named = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(window.tobytes())])
-        last = np.zeros(len(size), np.int64) if last is None else last
-        return pa.RecordBatch.from_arrays([pa.array(route), pa.array(least), pa.array(t), pa.array(first), pa.array(last), named], names)
+        return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(ends), pa.py_buffer(values.tobytes())])
 
-    return both.mapInArrow(task, "route bigint, least bigint, t bigint, first bigint, last bigint, names binary")
+    def as_batch(route, least, t, first, size, window, last=None, more=None, also=None) -> pa.RecordBatch:
+        none = np.zeros(len(size), np.int64)
+        columns = [pa.array(x) for x in (route, least, t, first, none if last is None else last)]
+        return pa.RecordBatch.from_arrays([*columns, lists(size, window), lists(none, none[:0]) if more is None else lists(more, also)], names)
+
+    return both.mapInArrow(task, "route bigint, least bigint, t bigint, first bigint, last bigint, names binary, also binary")
 
 
 class ReferenceBlock:
@@ -288,7 +307,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
                 yield held
                 held, size = [], 0
             held.append(row)
-            size += len(row[-1]) + 8
+            size += len(row[-1]) + len(row[-2]) + 8
     if held:
         yield held
 
@@ -299,11 +318,13 @@ def _parsed(passages: DataFrame) -> DataFrame:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _chunks(batches):
             route, least, t, first, last = (np.array(x, np.int64) for x in list(zip(*rows, strict=True))[:5])
-            which, begin, end = ReferenceBlock([r[-1] for r in rows], route, least).spans()
-            known = np.array([not r[-1] for r in rows])
-            found = {"t": t[which], "first": first[which] + begin, "last": first[which] + end}
-            old = {"t": t[known], "first": first[known], "last": last[known]}
-            yield pa.RecordBatch.from_pydict({c: np.concatenate([found[c], old[c]]) for c in found})
+            which, begin, end = ReferenceBlock([r[5] for r in rows], route, least).spans()
+            again = [np.frombuffer(rows[k][6], np.int64) for k in which.tolist()]
+            by = which.repeat([len(x) for x in again])
+            again = np.concatenate([*again, which[:0]])
+            known = np.array([not r[5] for r in rows])
+            parts = [(t[which], first[which] + begin, first[which] + end), (t[by], again, again + WINDOW), (t[known], first[known], last[known])]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], ["t", "first", "last"])
 
     return passages.repartition("route").sortWithinPartitions("route").mapInArrow(task, "t bigint, first bigint, last bigint")
 
