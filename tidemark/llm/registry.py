@@ -1,6 +1,6 @@
 """The queries of this subpackage and their expected results in SQL."""
 
-from tidemark.llm import decontaminate, filter_audit, fingerprint, language, mixing, near_copies, perplexity, quality, relative_parse, repeats, surrogates, url_filter
+from tidemark.llm import collocations, decontaminate, filter_audit, fingerprint, language, mixing, near_copies, perplexity, quality, relative_parse, repeats, surrogates, url_filter
 
 QUERIES = {
     "op1_url_filter": url_filter.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_mixing": mixing.query,
     "op10_near_copies": near_copies.query,
     "op11_filter_audit": filter_audit.query,
+    "op12_collocations": collocations.query,
     "op13_relative_parse": relative_parse.query,
 }
 
@@ -21,5 +22,6 @@ ORACLE = {
     "op2_decontaminate": decontaminate.ORACLE,
     "op9_mixing": mixing.ORACLE,
     "op11_filter_audit": filter_audit.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     "op13_relative_parse": relative_parse.ORACLE,
 }
