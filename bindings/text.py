@@ -7,14 +7,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.stopwords import STOP_WORDS
 from tidemark.functions.vectors import to_vector
 from tidemark.operators.concepts import (
-    document_vectors,
-    document_weights,
+    document_rows,
     gramian_entries,
     heaviest_documents,
+    project,
     top_documents,
     top_terms,
     truncated_svd,
 )
+from tidemark.operators.sparse_rows import as_doubles, as_packed, matrix_rows, transposed_times
 from tidemark.operators.lookups import exclude_terms, lookup_join
 from tidemark.operators.partition_map import map_with_setup
 from tidemark.operators.profiling import distinct_count
@@ -49,7 +50,7 @@ from tidemark.sources import (
 from .common import documents, embeddings, rounded
 
 NUM_TERMS = 1500
-GRAMIAN_TERMS = 200
+GRAMIAN_TERMS = 1500
 CONCEPTS = 20
 
 
@@ -228,38 +229,45 @@ def tfidf_full(spark, folder):
     return rounded(totals, "weight")
 
 
+def _vectors(spark: SparkSession, folder: str) -> DataFrame:
+    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
+    return checkpointed(matrix_rows(rows, "vec_id", "weights"))
+
+
 def svd_energy(spark, folder):
     """The squares of all singular values add up to those of all entries."""
-    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
-    values = truncated_svd(rows, 64).singular_values(spark)
+    values = truncated_svd(_vectors(spark, folder), 64, "vec_id").singular_values(spark)
     return rounded(values.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("energy")), "energy", places=4)
 
 
 def svd_rebuild(spark, folder):
     """A'A put together again from all singular values and V."""
-    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
-    svd = truncated_svd(rows, 64)
-    v, sigma = svd.term_weights(spark), svd.singular_values(spark)
+    svd = truncated_svd(_vectors(spark, folder), 64, "vec_id")
+    v, sigma = svd.term_weights(), svd.singular_values(spark)
     left = v.join(sigma, "concept").select("concept", F.col("term_id").alias("i"), (F.col("weight") * F.pow("sigma", F.lit(2))).alias("_left"))
     cells = left.join(v.select("concept", F.col("term_id").alias("j"), "weight"), "concept").filter("i <= j")
     return rounded(cells.groupBy("i", "j").agg(F.sum(F.col("_left") * F.col("weight")).alias("value")), "value", places=4)
 
 
-def svd_rebuild_rows(spark, folder):
+def svd_rebuild_rows(spark, folder, method="auto"):
     """The vectors put together again from U, the singular values and V."""
-    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
-    svd = truncated_svd(rows, 64)
-    u = document_weights(rows, svd.v, svd.sigma, "vec_id").join(svd.singular_values(spark), "concept")
-    v = svd.term_weights(spark).select("concept", "term_id", F.col("weight").alias("_v"))
+    svd = truncated_svd(_vectors(spark, folder), 64, "vec_id", method=method)
+    u = svd.document_weights().join(svd.singular_values(spark), "concept")
+    v = svd.term_weights().select("concept", "term_id", F.col("weight").alias("_v"))
     value = F.sum(F.col("weight") * F.col("sigma") * F.col("_v")).alias("value")
     return rounded(u.join(v, "concept").groupBy("vec_id", "term_id").agg(value), "value", places=4)
 
 
+def svd_rebuild_blocks(spark, folder):
+    """The same, where V is never a table."""
+    return svd_rebuild_rows(spark, folder, "blocks")
+
+
 def svd_methods(spark, folder):
     """Largest difference between the two ways to the same singular values."""
-    rows = embeddings(spark, folder).select("vec_id", to_vector(F.col("values")).alias("weights"))
-    one = truncated_svd(rows, 5).singular_values(spark)
-    other = truncated_svd(rows, 5, method="gramian").singular_values(spark).withColumnRenamed("sigma", "_other")
+    rows = _vectors(spark, folder)
+    one = truncated_svd(rows, 5, "vec_id").singular_values(spark)
+    other = truncated_svd(rows, 5, "vec_id", method="blocks").singular_values(spark).withColumnRenamed("sigma", "_other")
     gap = F.max(F.abs(F.col("sigma") - F.col("_other")))
     return one.join(other, "concept").agg(F.count(F.lit(1)).alias("n"), (gap < 1e-6).alias("same"))
 
@@ -268,72 +276,114 @@ def term_gramian(spark, folder):
     """Sums over documents of weight products, for each pair of terms."""
     docs = _tokens(spark, folder)
     vocab = vocabulary(document_terms(docs), GRAMIAN_TERMS)
-    return rounded(gramian_entries(document_vectors(docs, vocab)), "value")
+    return rounded(gramian_entries(document_rows(docs, vocab, max_terms=GRAMIAN_TERMS), vocab.count()), "value")
+
+
+def matrix_entries(spark, folder):
+    """The document rows over the whole vocabulary: terms, total weight and first term of each."""
+    docs = _tokens(spark, folder)
+    rows = document_rows(docs, vocabulary(document_terms(docs)))
+    total = F.aggregate("weights", F.lit(0.0), lambda a, x: a + x)
+    found = rows.select("doc_id", F.size("terms").cast("bigint").alias("terms"), F.get("terms", F.lit(0)).alias("first"), total.alias("weight"))
+    return rounded(found, "weight")
 
 
 def lsa_energy(spark, folder):
     """Energy of all concepts of the document-term matrix."""
-    model = fit_concepts(_tokens(spark, folder), NUM_TERMS, NUM_TERMS)
-    values = model.singular_values()
-    model.release()
+    values = fit_concepts(_tokens(spark, folder), NUM_TERMS, NUM_TERMS).singular_values()
     return rounded(values.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("energy")), "energy", places=4)
 
 
 def lsa_singular_values(spark, folder):
-    model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
-    model.release()
-    return model.singular_values()
+    return fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS).singular_values()
 
 
 def lsa_sigma_order(spark, folder):
     """How many singular values there are, and whether each is positive and none larger than the one before."""
-    model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
-    model.release()
-    values = model.singular_values()
-    previous = values.select((F.col("concept") + 1).alias("concept"), F.col("sigma").alias("_before"))
-    ordered = F.bool_and((F.col("sigma") > 0) & (F.coalesce("_before", "sigma") >= F.col("sigma")))
-    return values.join(previous, "concept", "left").agg(F.count("sigma").alias("n"), ordered.alias("ordered"))
+    values = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS).singular_values()
+    return values.agg(F.count("sigma").alias("n"), _ordered(values).alias("ordered"))
+
+
+def _ordered(values: DataFrame):
+    """Whether each value is positive and none larger than the one before; for (concept, sigma) rows."""
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("concept", "sigma"))), lambda x: x["sigma"])
+    return F.forall(listed, lambda x: x > 0) & (listed == F.reverse(F.array_sort(listed)))
 
 
 def lsa_top_terms(spark, folder):
-    model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
-    model.release()
-    return model.top_terms(10)
+    return fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS).top_terms(10)
 
 
 def lsa_top_docs(spark, folder):
     docs = _tokens(spark, folder, "source")
-    model = fit_concepts(docs, CONCEPTS, NUM_TERMS)
-    model.release()
-    return model.top_documents(docs, 10, "source")
+    return fit_concepts(docs, CONCEPTS, NUM_TERMS).top_documents(docs, 10, "source")
 
 
 def lsa_shape(spark, folder):
     """Per concept: length of its document column, and its ranked documents."""
-    model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
-    model.release()
-    weights = document_weights(model.vectors, model.svd.v, model.svd.sigma)
+    weights = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS).svd.document_weights()
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
     return weights.groupBy("concept").agg(F.round(length, 6).alias("length"), F.count("doc_id").alias("documents"))
 
 
 def lsa_term_weights(spark, folder):
     """Per concept: length of its term column, and how many terms it has."""
-    model = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS)
-    model.release()
-    weights = model.svd.term_weights(spark)
+    weights = fit_concepts(_tokens(spark, folder), CONCEPTS, NUM_TERMS).svd.term_weights()
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")))
     return weights.groupBy("concept").agg(F.round(length, 6).alias("length"), F.count("term_id").alias("terms"))
 
 
+def _svd_checks(model, key: str = "doc_id") -> DataFrame:
+    """Per concept: lengths of u and v, and of A'u - sigma v and A v - sigma u in parts of the largest value."""
+    svd, spark = model.svd, model.rows.sparkSession
+    documents = checkpointed(svd.documents)
+    back = transposed_times(model.rows.join(documents, key)).select("term_id", F.col("vector").alias("_back"))
+    there = project(model.rows, svd.terms, svd.sigma, key).select(key, F.col("vector").alias("_there"))
+    values = spark.createDataFrame([(i, float(s), float(s / svd.sigma[0])) for i, s in enumerate(svd.sigma)], "concept INT, sigma DOUBLE, share DOUBLE")
+
+    def squares(frame: DataFrame, left: str, right: str, scale) -> DataFrame:
+        both = frame.select(F.posexplode(F.arrays_zip(as_doubles(left).alias("x"), as_doubles(right).alias("y"))).alias("concept", "_p"))
+        gap = F.col("_p.x") - scale * F.col("_p.y")
+        sums = both.join(F.broadcast(values), "concept").groupBy("concept")
+        return sums.agg(F.sum(F.pow("_p.y", F.lit(2))).alias("length"), F.sum(gap * gap).alias("gap"))
+
+    v = squares(svd.terms.join(back, "term_id"), "_back", "vector", F.col("sigma")).toDF("concept", "v", "v_gap")
+    u = squares(documents.join(there, key), "_there", "vector", F.lit(1.0)).toDF("concept", "u", "u_gap")
+    both = values.join(v, "concept").join(u, "concept")
+    return both.select(
+        "concept",
+        "sigma",
+        F.round(F.sqrt("u"), 6).alias("u_length"),
+        F.round(F.sqrt("v"), 6).alias("v_length"),
+        (F.sqrt("v_gap") / F.col("sigma") * F.col("share")).alias("v_gap"),
+        (F.sqrt("u_gap") * F.col("share")).alias("u_gap"),
+    )
+
+
+def _svd_report(model, places: int) -> DataFrame:
+    """One row: how many concepts, whether in order, largest misses; the energy that is left beside the matrix's own."""
+    checks = checkpointed(_svd_checks(model))
+    whole = model.rows.agg(F.sum(F.aggregate("weights", F.lit(0.0), lambda a, x: a + x * x)).alias("energy"))
+    found = checks.agg(
+        F.count("concept").alias("n"),
+        _ordered(checks).alias("ordered"),
+        F.round(F.max(F.abs(F.col("u_length") - 1)), places).alias("u_miss"),
+        F.round(F.max(F.abs(F.col("v_length") - 1)), places).alias("v_miss"),
+        F.round(F.max("u_gap"), places).alias("u_gap"),
+        F.round(F.max("v_gap"), places).alias("v_gap"),
+        (F.sum(F.col("sigma") * F.col("sigma"))).alias("_energy"),
+    )
+    return found.join(whole).select("n", "ordered", "u_miss", "v_miss", "u_gap", "v_gap", (F.col("_energy") <= F.col("energy") * (1 + 1e-9)).alias("within"), F.round("energy", 4).alias("energy"))
+
+
 def svd_1000(spark, folder):
-    """Up to 1000 concepts: singular value, and length of the document column."""
-    model = fit_concepts(_tokens(spark, folder), 1000, NUM_TERMS)
-    model.release()
-    weights = document_weights(model.vectors, model.svd.v, model.svd.sigma)
-    length = F.round(F.sqrt(F.sum(F.col("weight") * F.col("weight"))), 6)
-    lengths = weights.groupBy("concept").agg(length.alias("length"))
-    return lengths.join(F.broadcast(model.singular_values()), "concept")
+    """Up to 1000 concepts of 1500 terms: the triples satisfy A v = sigma u and A'u = sigma v."""
+    return _svd_report(fit_concepts(_tokens(spark, folder), 1000, NUM_TERMS), 5).drop("n")  # the rank, if below 1000
+
+
+def svd_full(spark, folder):
+    """Concepts of the whole vocabulary, with V in blocks and never a table."""
+    return _svd_report(fit_concepts(_tokens(spark, folder), CONCEPTS, None, method="blocks", passes=12, tolerance=1e-6), 2)
 
 
 LANGUAGES = ["de", "en", "es", "fr"]
@@ -357,20 +407,23 @@ def given_top_terms(spark, folder):
     return rounded(top_terms(v, vocab, 10), "weight", places=5)
 
 
-def given_top_docs(spark, folder):
+def given_top_docs(spark, folder, method="auto"):
     """The ten documents that weigh most in each language's direction."""
-    import numpy as np
-
     docs, vocab, sums = _language_concepts(spark, folder)
-    v = np.zeros((NUM_TERMS, len(LANGUAGES)))
-    for row in sums.collect():
-        v[row["term_id"], row["concept"]] = row["weight"]
-    sigma = np.sqrt((v**2).sum(axis=0))
-    weights = heaviest_documents(document_vectors(docs, vocab), v, sigma, 10)
+    weight = [F.sum(F.when(F.col("concept") == c, F.col("weight")).otherwise(0.0)) for c in range(len(LANGUAGES))]
+    terms = checkpointed(sums.groupBy("term_id").agg(F.array(*weight).alias("w")).select("term_id", "w", as_packed("w").alias("vector")))
+    sigma = terms.select(*[F.sqrt(F.sum(F.pow(F.col("w")[c], F.lit(2)))) for c in range(len(LANGUAGES))]).first()
+    rows = document_rows(docs, vocab, max_terms=NUM_TERMS)
+    weights = heaviest_documents(project(rows, terms.drop("w"), list(sigma), method=method), 10)
     best = top_documents(weights, docs, 10, title="lang")
     return rounded(best.select("concept", "rank", "weight"), "weight", places=5)
 
 
+def given_top_docs_blocks(spark, folder):
+    """The same, with V joined by blocks of terms."""
+    return given_top_docs(spark, folder, "blocks")
+
+
 QUERIES = {
     "text_roundtrip": text_roundtrip,
     "numeric_csv_scan": numeric_csv_scan,
@@ -395,6 +448,8 @@ QUERIES = {
     "svd_methods": svd_methods,
     "svd_rebuild": svd_rebuild,
     "svd_rebuild_rows": svd_rebuild_rows,
+    "svd_rebuild_blocks": svd_rebuild_blocks,
+    "matrix_entries": matrix_entries,
     "term_gramian": term_gramian,
     "lsa_energy": lsa_energy,
     "lsa_singular_values": lsa_singular_values,
@@ -404,8 +459,10 @@ QUERIES = {
     "lsa_shape": lsa_shape,
     "lsa_term_weights": lsa_term_weights,
     "svd_1000": svd_1000,
+    "svd_full": svd_full,
     "given_top_terms": given_top_terms,
     "given_top_docs": given_top_docs,
+    "given_top_docs_blocks": given_top_docs_blocks,
 }
 
 _WORDS = ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS)
@@ -538,3 +595,12 @@ ORACLE = {
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY concept ORDER BY weight DESC, doc_id) AS rank FROM u) "
     "SELECT concept, CAST(rank AS INTEGER) AS rank, round(weight, 5) AS weight FROM ranked WHERE rank <= 10",
 }
+ORACLE["svd_rebuild_blocks"] = ORACLE["svd_rebuild_rows"]
+ORACLE["given_top_docs_blocks"] = ORACLE["given_top_docs"]
+ORACLE["matrix_entries"] = (
+    f"WITH {_weights_sql(10**12)} SELECT d.doc_id, count(w.term_id) AS terms, min(w.term_id) AS first, "
+    "round(coalesce(sum(weight), 0), 6) AS weight FROM documents d LEFT JOIN w USING (doc_id) GROUP BY d.doc_id"
+)
+_REPORT = "true AS ordered, 0.0::DOUBLE AS u_miss, 0.0::DOUBLE AS v_miss, 0.0::DOUBLE AS u_gap, 0.0::DOUBLE AS v_gap, true AS within"
+ORACLE["svd_1000"] = f"WITH {_TOP} SELECT {_REPORT}, round(sum(weight * weight), 4) AS energy FROM w"
+ORACLE["svd_full"] = f"WITH {_weights_sql(10**12)} SELECT CAST({CONCEPTS} AS BIGINT) AS n, {_REPORT}, round(sum(weight * weight), 4) AS energy FROM w"

@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 from tidemark.functions.stopwords import STOP_WORDS
 from tidemark.functions.text import html_to_text, wiki_to_text
 from tidemark.operators import terms as T
+from tidemark.operators import sparse_rows
+from tidemark.operators.reshaping import term_map
 from tidemark.operators.concepts import (
-    document_vectors,
-    document_weights,
-    gramian,
+    document_rows,
     gramian_entries,
     heaviest_documents,
+    project,
     top_documents,
     top_terms,
     truncated_svd,
+    vector_entries,
 )
-from tidemark.operators.reshaping import term_map
+from tidemark.sources import checkpointed
 from tidemark.plans.latent_concepts import fit_concepts
 from tidemark.sources import load_table
 
@@ -128,11 +130,23 @@ def test_exclude_terms_from_a_table(docs, spark):
 
 
 def dense(docs, vocab):
-    rows = document_vectors(docs, vocab).orderBy("doc_id").collect()
-    return [r.doc_id for r in rows], np.array([r.weights.toArray() for r in rows])
+    rows = document_rows(docs, vocab).orderBy("doc_id").collect()
+    out = np.zeros((len(rows), vocab.count()))
+    for place, r in enumerate(rows):
+        assert list(r.terms) == sorted(r.terms)
+        out[place, list(r.terms)] = r.weights
+    return [r.doc_id for r in rows], out
+
+
+def entries(frame, ids, key="doc_id"):
+    found = frame.collect()
+    out = np.zeros((len(ids), 1 + max(r.concept for r in found)))
+    for r in found:
+        out[ids.index(r[key]), r.concept] = r.weight
+    return out
 
 
-def test_vectors_agree_with_the_long_form(docs):
+def test_rows_agree_with_the_long_form(docs):
     tokens = T.document_tokens(docs)
     tf = T.term_frequency(tokens)
     vocab = T.vocabulary(tf, 4)
@@ -141,33 +155,70 @@ def test_vectors_agree_with_the_long_form(docs):
     for r in T.tfidf(tf, vocab, max_terms=4).collect():
         expected[ids.index(r.doc_id), r.term_id] = r.weight
     np.testing.assert_allclose(matrix, expected, atol=1e-12)
-    np.testing.assert_allclose(gramian(document_vectors(tokens, vocab)), expected.T @ expected, atol=1e-12)
-    cells = gramian_entries(document_vectors(tokens, vocab)).collect()
+    assert len(ids) == docs.count()
+    cells = gramian_entries(document_rows(tokens, vocab)).collect()
     assert len(cells) == 10 and all(c.i <= c.j for c in cells)
+    for c in cells:
+        assert c.value == pytest.approx((expected.T @ expected)[c.i, c.j], abs=1e-12)
 
 
-@pytest.mark.parametrize("method", ["gramian", "spark"])
+@pytest.mark.parametrize("method", ["table", "blocks"])
 def test_svd_rebuilds_the_matrix(docs, method):
     tokens = T.document_tokens(docs)
     vocab = T.vocabulary(T.term_frequency(tokens), 6)
     ids, matrix = dense(tokens, vocab)
-    vectors = document_vectors(tokens, vocab)
-    svd = truncated_svd(vectors, 3, method=method)
+    rows = document_rows(tokens, vocab)
+    svd = truncated_svd(rows, 3, method=method)
     reference = np.linalg.svd(matrix, compute_uv=False)
     np.testing.assert_allclose(svd.sigma, reference[: len(svd.sigma)], atol=1e-8)
-    assert all(svd.v[np.abs(svd.v[:, c]).argmax(), c] > 0 for c in range(svd.v.shape[1]))
-    full = truncated_svd(vectors, 100, r_cond=1e-6)
+    v = entries(svd.term_weights(), list(range(6)), "term_id")
+    assert all(v[np.abs(v[:, c]).argmax(), c] > 0 for c in range(v.shape[1]))
+    full = truncated_svd(rows, 100, r_cond=1e-6, method=method)
     assert len(full.sigma) == np.linalg.matrix_rank(matrix)
-    u = np.zeros((len(ids), len(full.sigma)))
-    for r in document_weights(vectors, full.v, full.sigma).collect():
-        u[ids.index(r.doc_id), r.concept] = r.weight
-    np.testing.assert_allclose(u @ np.diag(full.sigma) @ full.v.T, matrix, atol=1e-7)
+    u, v = entries(full.document_weights(), ids), entries(full.term_weights(), list(range(6)), "term_id")
+    np.testing.assert_allclose(u @ np.diag(full.sigma) @ v.T, matrix, atol=1e-7)
+
+
+def random_rows(spark, m=300, n=400, seed=0):
+    """Sparse rows whose singular values fall slowly, some rows without entries."""
+    draw = np.random.default_rng(seed)
+    full = (draw.standard_normal((m, 30)) * np.geomspace(5, 0.5, 30)) @ draw.standard_normal((30, n)) + draw.standard_normal((m, n))
+    full *= draw.random((m, n)) < 0.2
+    full[::50] = 0
+    rows = [(int(k), [int(j) for j in np.flatnonzero(r)], [float(x) for x in r[r != 0]]) for k, r in enumerate(full)]
+    return spark.createDataFrame(rows, "doc_id bigint, terms array<bigint>, weights array<double>").repartition(5), full
+
+
+@pytest.mark.parametrize("method", ["table", "blocks"])
+def test_iterated_svd_finds_the_leading_values(spark, method, monkeypatch):
+    monkeypatch.setattr(sparse_rows, "COLUMN_BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(sparse_rows, "HELD_BYTES", 50_000)
+    rows, full = random_rows(spark)
+    reference = np.linalg.svd(full, compute_uv=False)
+    svd = truncated_svd(checkpointed(rows), 6, method=method, terms=400)
+    np.testing.assert_allclose(svd.sigma, reference[:6], rtol=1e-6)
+    u, v = entries(svd.document_weights(), list(range(300))), entries(svd.term_weights(), list(range(400)), "term_id")
+    np.testing.assert_allclose(u.T @ u, np.eye(6), atol=1e-8)
+    np.testing.assert_allclose(v.T @ v, np.eye(6), atol=1e-8)
+    np.testing.assert_allclose(full.T @ u, v * svd.sigma, atol=1e-2 * reference[0])
+
+
+def test_projections_of_a_given_v_are_equal_both_ways(spark, monkeypatch):
+    monkeypatch.setattr(sparse_rows, "COLUMN_BLOCK_BYTES", 2_000)
+    rows, full = random_rows(spark, 60, 50)
+    v = np.random.default_rng(5).standard_normal((50, 4))
+    v[40:] = 0
+    frame = spark.createDataFrame([(j, v[j].tolist()) for j in range(40)], "term_id bigint, w array<double>").select("term_id", sparse_rows.as_packed("w").alias("vector"))
+    sigma = np.array([1.0, 2.0, 3.0, 4.0])
+    for method in ("table", "blocks"):
+        found = entries(vector_entries(project(rows, frame, sigma, method=method), "doc_id"), list(range(60)))
+        np.testing.assert_allclose(found, full @ v / sigma, atol=1e-9)
 
 
 def test_top_terms_and_documents(docs):
     model = fit_concepts(T.document_tokens(docs, keep=["text"]), 2, 6)
-    v = model.svd.v
     terms = model.vocab.orderBy("term_id").collect()
+    v = entries(model.svd.term_weights(), list(range(len(terms))), "term_id")
     got = {(r.concept, r.rank): (r.term, r.weight) for r in model.top_terms(3).collect()}
     for c in range(2):
         order = np.argsort(-v[:, c], kind="stable")[:3]
@@ -177,23 +228,29 @@ def test_top_terms_and_documents(docs):
     assert {(r.concept, r.rank) for r in best} == {(c, k) for c in range(2) for k in (1, 2)}
     assert all(r.text == TEXTS[r.doc_id] for r in best)
     assert model.singular_values().count() == 2
-    model.release()
+
+
+def test_nothing_stays_cached(docs, spark):
+    kept = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before = kept()
+    model = fit_concepts(T.document_tokens(docs, keep=["text"]), 2, 6)
+    model.top_documents(docs, 2, "text").collect()
+    assert kept() == before
 
 
 @pytest.mark.parametrize("n", [1, 3, 100])
 def test_heaviest_documents_are_the_top_of_all_weights(spark, n):
     docs = load_table(spark, "/root/testdata/sf0.001", "documents").repartition(5, "doc_id")
     tokens = T.document_tokens(docs)
-    vectors = document_vectors(tokens, T.vocabulary(T.term_frequency(tokens), 50)).persist()
-    svd = truncated_svd(vectors, 4)
+    rows = checkpointed(document_rows(tokens, T.vocabulary(T.term_frequency(tokens), 50)))
+    svd = truncated_svd(rows, 4)
+    documents = checkpointed(svd.documents)
     titles = docs.select("doc_id", F.col("source").alias("title"))
-    every = document_weights(vectors, svd.v, svd.sigma)
-    some = heaviest_documents(vectors, svd.v, svd.sigma, n)
-    one = {(r.concept, r.rank): r.doc_id for r in top_documents(every, titles, n).collect()}
+    some = heaviest_documents(documents, n)
+    one = {(r.concept, r.rank): r.doc_id for r in top_documents(vector_entries(documents, "doc_id"), titles, n).collect()}
     other = {(r.concept, r.rank): r.doc_id for r in top_documents(some, titles, n).collect()}
-    assert one == other and len(one) == 4 * min(n, vectors.count())
-    assert some.count() <= 5 * 4 * n
-    vectors.unpersist()
+    assert one == other and len(one) == 4 * min(n, rows.count())
+    assert some.count() <= documents.rdd.getNumPartitions() * 4 * n
 
 
 def test_ties_in_top_tables_go_to_the_lower_id(spark):

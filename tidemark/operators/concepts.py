@@ -1,211 +1,287 @@
-"""Latent concepts: document-term matrix, truncated SVD, top terms and documents."""
+"""Latent concepts: document-term matrix, truncated SVD, top terms and documents.
+
+The SVD is that of a randomised range: a few vectors more than concepts are
+multiplied by A and A' in turn until their singular values stand, each time made
+orthogonal by a QR factorisation of tall matrices.  A pass costs the same whatever
+the number of concepts asked of it, and no step is of columns times columns.  Where
+the vectors as a table of all columns are small they go to the tasks; else they stay
+a frame, and products are joins by blocks of columns.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Interaction
-from pyspark.ml.linalg import Vectors
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.vectors import sparse_parts
+from ..sources.scratch import checkpointed
 from .ranking import top_per_group
 from .reshaping import explode_array
+from .sparse_rows import as_doubles, matrix_of, matrix_rows, r_factor, sketched, times_frame, times_table, transposed_times, turned
+from .terms import term_frequency, tfidf
 
-# Rows of V that become a frame at a time.
-V_BLOCK_ROWS = 4_096
-# Cells of a dense block of documents by their terms.
-BLOCK_CELLS = 1 << 20
+# Bytes of a table of all columns that may go to the driver and to every task.
+TABLE_BYTES = 64 << 20
+# Rows of a table that become a frame at a time.
+TABLE_ROWS = 4_096
+SEED = 20240229
+# Blocks of columns that are kept from pass to pass.
+KEPT_BLOCKS = 6
 
 
 @dataclass(frozen=True)
 class Decomposition:
-    """A ~ U S V': singular values and V; U is derived per document."""
+    """A ~ U S V': singular values, and the rows of V (term_id, vector) and U (key, vector) as frames."""
 
     sigma: np.ndarray
-    v: np.ndarray
+    terms: DataFrame
+    documents: DataFrame
+    key: str
 
     def singular_values(self, spark: SparkSession) -> DataFrame:
         rows = [(i, float(s)) for i, s in enumerate(self.sigma)]
         return spark.createDataFrame(rows, "concept INT, sigma DOUBLE")
 
-    def term_weights(self, spark: SparkSession) -> DataFrame:
+    def term_weights(self) -> DataFrame:
         """(concept, term_id, weight), the entries of V."""
-        rows = None
-        for start in range(0, max(len(self.v), 1), V_BLOCK_ROWS):
-            block = self.v[start : start + V_BLOCK_ROWS]
-            frame = pd.DataFrame({"term_id": np.arange(start, start + len(block), dtype="int64"), "weights": block.tolist()})
-            made = spark.createDataFrame(frame, "term_id BIGINT, weights ARRAY<DOUBLE>")
-            rows = made if rows is None else rows.unionByName(made)
-        return rows.select(F.posexplode("weights").alias("concept", "weight"), "term_id").select("concept", "term_id", "weight")
+        rows = self.terms.select("term_id", as_doubles("vector").alias("_w"))
+        return explode_array(rows, "_w", "concept", "weight", "term_id").select("concept", "term_id", "weight")
+
+    def document_weights(self) -> DataFrame:
+        """(key, concept, weight), the entries of U."""
+        return vector_entries(self.documents, self.key)
+
 
+def vector_entries(rows: DataFrame, key: str) -> DataFrame:
+    """(key, concept, weight) of (key, vector)."""
+    return explode_array(rows.select(key, as_doubles("vector").alias("_w")), "_w", "concept", "weight", key)
 
-def document_vectors(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", min_tokens: int = 2) -> DataFrame:
-    """(key, weights): one sparse TF-IDF row per document, nothing shuffled.
 
-    The vocabulary, a word and a number per term, goes to the driver and to
-    every task: V of a decomposition, which follows, is ``k`` times as large.
-    Documents with too few tokens get an all-zero row.
+def document_rows(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", min_tokens: int = 2, max_terms: int | None = None) -> DataFrame:
+    """(key, terms, weights): one sparse TF-IDF row per document, terms in order.
+
+    Term numbers and inverse frequencies are joined to the counts, so the
+    vocabulary may be of any size.  Documents with too few tokens, or without a
+    term of the vocabulary, have empty rows.
     """
-    entries = vocab.orderBy("term_id").select("term", "idf").collect()
-    counter = CountVectorizerModel.from_vocabulary(
-        [e.term for e in entries], inputCol="_tokens", outputCol="_counts"
-    )
-    by_length = Interaction(inputCols=["_inverse_total", "_counts"], outputCol="_shares")
-    by_idf = ElementwiseProduct(
-        scalingVec=Vectors.dense([float(e.idf) for e in entries]), inputCol="_shares", outputCol="weights"
-    )
-    total = F.size("tokens")
-    enough = total >= min_tokens
-    none = F.array().cast("array<string>")
-    prepared = docs.select(
-        key,
-        F.when(enough, F.col("tokens")).otherwise(none).alias("_tokens"),
-        F.when(enough, 1.0 / total).otherwise(0.0).alias("_inverse_total"),
-    )
-    return by_idf.transform(by_length.transform(counter.transform(prepared))).select(key, "weights")
+    entries = tfidf(term_frequency(docs, key, min_tokens), vocab, key, max_terms)
+    listed = entries.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("_e"))
+    both = docs.select(key).join(listed, key, "left")
+    terms = F.coalesce(F.col("_e.term_id"), F.array().cast("array<bigint>"))
+    weights = F.coalesce(F.col("_e.weight"), F.array().cast("array<double>"))
+    return both.select(key, terms.alias("terms"), weights.alias("weights"))
+
+
+def _as_rows(rows: DataFrame, key: str, column: str) -> DataFrame:
+    return rows.select(key, "terms", "weights") if "terms" in rows.columns else matrix_rows(rows, key, column)
 
 
-def _row_matrix(vectors: DataFrame, column: str) -> RowMatrix:
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(vectors.select(column), column))
+def column_count(rows: DataFrame) -> int:
+    """One more than the largest column number."""
+    return int(rows.agg(F.max(F.array_max("terms"))).first()[0] or -1) + 1
 
 
-def gramian(vectors: DataFrame, column: str = "weights") -> np.ndarray:
-    """A'A, columns squared doubles on the driver, summed over all rows by a tree of partial sums."""
-    return _row_matrix(vectors, column).computeGramianMatrix().toArray()
+def gramian_entries(rows: DataFrame, terms: int | None = None, key: str = "doc_id", column: str = "weights") -> DataFrame:
+    """(i, j, value) of A'A for i <= j; sums of each row's products, added up per i in tasks and then by Spark."""
+    rows = _as_rows(rows, key, column)
+    terms = terms or column_count(rows)
+    sums = transposed_times(times_table(rows, key, np.eye(terms)))
+    filled = _numbers(rows.sparkSession, terms).join(sums, "term_id", "left")
+    values = filled.select(F.col("term_id").cast("int").alias("i"), F.coalesce("vector", F.lit(np.zeros(terms).tobytes())).alias("vector"))
+    cells = explode_array(values.select("i", as_doubles("vector").alias("_v")), "_v", "j", "value", "i")
+    return cells.filter("i <= j").select("i", F.col("j").cast("int").alias("j"), "value")
 
 
-def gramian_entries(vectors: DataFrame, column: str = "weights") -> DataFrame:
-    """(i, j, value) of A'A for i <= j."""
-    full = gramian(vectors, column)
-    i, j = np.triu_indices(full.shape[0])
-    frame = pd.DataFrame({"i": i.astype("int32"), "j": j.astype("int32"), "value": full[i, j]})
-    return vectors.sparkSession.createDataFrame(frame, "i INT, j INT, value DOUBLE")
+def _numbers(spark: SparkSession, n: int) -> DataFrame:
+    return spark.range(n).withColumnRenamed("id", "term_id")
 
 
-def _with_fixed_signs(v: np.ndarray) -> np.ndarray:
-    largest = np.abs(v).argmax(axis=0)
-    signs = np.sign(v[largest, np.arange(v.shape[1])])
-    return v * np.where(signs == 0, 1.0, signs)
+def _frame_of(spark: SparkSession, table: np.ndarray) -> DataFrame:
+    """(term_id, vector) of a small table."""
+    made = None
+    for start in range(0, max(len(table), 1), TABLE_ROWS):
+        part = table[start : start + TABLE_ROWS]
+        columns = {"term_id": pa.array(np.arange(start, start + len(part))), "vector": pa.array([r.tobytes() for r in part], pa.binary())}
+        frame = spark.createDataFrame(pa.table(columns))
+        made = frame if made is None else made.unionByName(frame)
+    return made
+
+
+def _table_of(vectors: DataFrame, terms: int) -> np.ndarray:
+    """The table of a frame (term_id, vector) of checked size; columns without a vector are zero."""
+    found = vectors.select("term_id", "vector").toArrow()
+    part = matrix_of(found.column("vector").combine_chunks())
+    table = np.zeros((terms, part.shape[1]))
+    table[found.column("term_id").to_numpy()] = part
+    return table
+
+
+def _signs(terms: DataFrame) -> np.ndarray:
+    """Per concept, the sign of its largest term weight, and +1 for none."""
+
+    def largest(batches):
+        best = None
+        for batch in batches:
+            part = matrix_of(batch.column(0))
+            if len(part):
+                part = part if best is None else np.concatenate([best[None], part])
+                best = part[np.abs(part).argmax(axis=0), np.arange(part.shape[1])]
+        if best is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(best))), pa.array(best)], ["concept", "weight"])
+
+    found = terms.select("vector").mapInArrow(largest, "concept bigint, weight double")
+    found = found.groupBy("concept").agg(F.max_by("weight", F.abs("weight")).alias("weight")).orderBy("concept").toArrow()
+    return np.where(found.column("weight").to_numpy() < 0, -1.0, 1.0)
+
+
+def width_for(k: int, terms: int) -> int:
+    """Vectors used for ``k`` concepts: some more, or all columns where these are hardly more."""
+    width = k + max(20, min(3 * k + 20, 200))
+    return terms if 2 * width >= terms else width
 
 
 def truncated_svd(
-    vectors: DataFrame,
+    rows: DataFrame,
     k: int,
+    key: str = "doc_id",
     column: str = "weights",
     r_cond: float = 1e-9,
-    method: str = "spark",
+    method: str = "auto",
+    terms: int | None = None,
+    passes: int = 40,
+    tolerance: float = 1e-8,
 ) -> Decomposition:
-    """The ``k`` largest singular values above ``r_cond`` times the largest.
-
-    ``spark`` is Spark's own solver: distributed products with the rows, one
-    job per step, or a local solve where ``k`` is more than half of at most
-    15,000 columns.  V, columns by ``k`` doubles, is on the driver in the end.
-    ``gramian`` is an explicit choice for narrow matrices: it makes one pass and
-    solves a columns-by-columns problem on the driver; as that works on
-    squares, values below about 1e-7 of the largest are noise, and dropped.
-    Each concept is signed so that its largest term weight is positive.
+    """The ``k`` largest singular values above ``r_cond`` times the largest, with U and V.
+
+    ``rows`` is (key, terms, weights), or has a vector ``column``; it is read once a
+    pass, so keep it.  Passes end when none of the ``k`` values changes by more than
+    ``tolerance`` times the largest.  With about as many vectors as columns there
+    is one pass, and the result is exact.  ``method`` is ``table`` or ``blocks`` (see
+    the module), or ``auto``: table if that has at most ``TABLE_BYTES``.  Each
+    concept is signed so that its largest term weight is positive.
     """
-    if method == "spark":
-        matrix = _row_matrix(vectors, column)
-        found = matrix.computeSVD(min(k, matrix.numCols()), computeU=False, rCond=r_cond)
-        return Decomposition(np.asarray(found.s.toArray()), _with_fixed_signs(found.V.toArray()))
-    if method != "gramian":
+    rows = _as_rows(rows, key, column)
+    terms = column_count(rows) if terms is None else terms
+    width = width_for(min(k, terms), terms)
+    if method == "auto":
+        method = "table" if terms * width * 8 <= TABLE_BYTES else "blocks"
+    if method == "table":
+        return _svd_by_table(rows, k, key, r_cond, terms, width, passes, tolerance)
+    if method != "blocks":
         raise ValueError(f"unknown method: {method}")
-    values, columns = np.linalg.eigh(gramian(vectors, column))
-    order = np.argsort(values)[::-1][:k]
-    sigma = np.sqrt(np.clip(values[order], 0.0, None))
-    # Below this the squares drown in rounding error and hold no value.
-    resolution = np.sqrt(len(values) * np.finfo(float).eps)
-    kept = sigma > max(r_cond, resolution) * sigma[0] if len(sigma) else sigma > 0
-    return Decomposition(sigma[kept], _with_fixed_signs(columns[:, order][:, kept]))
-
-
-def _projection(vectors: DataFrame, v: np.ndarray, sigma: np.ndarray):
-    """V S^-1, terms by concepts, as a value shared by all tasks."""
-    return vectors.sparkSession.sparkContext.broadcast(np.asarray(v) / np.asarray(sigma))
-
-
-def _products(indices: pd.Series, values: pd.Series, by_term: np.ndarray) -> np.ndarray:
-    """Rows times ``by_term``, by dense products of blocks of rows and the terms they have."""
-    sizes = indices.map(len).to_numpy()
-    out = np.zeros((len(sizes), by_term.shape[1]))
-    ends = np.cumsum(sizes)
-    start = 0
-    while start < len(sizes):
-        taken = np.arange(1, len(sizes) - start + 1) * (ends[start:] - ends[start] + sizes[start])
-        stop = start + max(1, int(np.searchsorted(taken, BLOCK_CELLS)))
-        some = slice(start, stop)
-        if sizes[some].any():
-            terms, place = np.unique(np.concatenate(indices.iloc[some].to_list()), return_inverse=True)
-            block = np.zeros((stop - start, len(terms)))
-            block[np.repeat(np.arange(stop - start), sizes[some]), place] = np.concatenate(values.iloc[some].to_list())
-            out[some] = block @ by_term[terms.astype(int)]
-        start = stop
-    return out
-
-
-def document_weights(
-    vectors: DataFrame, v: np.ndarray, sigma: np.ndarray, key: str = "doc_id", column: str = "weights"
-) -> DataFrame:
-    """(key, concept, weight), the entries of U = A V S^-1.
-
-    Each document's row is multiplied in place, so ids stay with their rows
-    and nothing is shuffled; only V, terms by concepts, goes to the tasks.
-    """
-    projection = _projection(vectors, v, sigma)
+    return _svd_by_blocks(rows, k, key, r_cond, width, passes, tolerance)
 
-    @F.pandas_udf("array<double>")
-    def project(indices: pd.Series, values: pd.Series) -> pd.Series:
-        return pd.Series(list(_products(indices, values, projection.value)), dtype=object)
 
-    indices, values = sparse_parts(F.col(column))
-    filled = vectors.select(key, indices.alias("_i"), values.alias("_w"))
-    projected = filled.select(key, project("_i", "_w").alias("_u"))
-    return explode_array(projected, "_u", "concept", "weight", key)
+def _stands(values: np.ndarray, before: np.ndarray | None, k: int, tolerance: float) -> bool:
+    if before is None or len(values) != len(before):
+        return False
+    return bool(np.abs(values[:k] - before[:k]).max(initial=0) <= tolerance * values.max(initial=0))
 
 
-def heaviest_documents(
-    vectors: DataFrame,
-    v: np.ndarray,
-    sigma: np.ndarray,
-    n: int,
-    key: str = "doc_id",
-    column: str = "weights",
-) -> DataFrame:
-    """The rows of ``document_weights`` that can be among the top ``n``.
+def _leading_basis(rows, k, key, terms, width, passes, tolerance) -> np.ndarray:
+    """Orthogonal columns that span the leading right singular vectors.
 
-    Each task keeps its own ``n`` best documents per concept while it reads,
-    so the documents-by-concepts table is never written out or sorted.  Equal
+    Each pass multiplies the newest columns by A'A; the values are those of A'A
+    within all columns so far, of which the best are kept when they get many.
+    """
+    new = np.linalg.qr(np.random.default_rng(SEED).standard_normal((terms, width)))[0]
+    basis = image = np.zeros((terms, 0))
+    before = None
+    for _ in range(passes):
+        image = np.concatenate([image, _table_of(transposed_times(times_table(rows, key, new)), terms)], axis=1)
+        basis = np.concatenate([basis, new], axis=1)
+        squares, turn = np.linalg.eigh(basis.T @ image)
+        best = turn[:, ::-1][:, :width]
+        values = np.sqrt(np.clip(squares[::-1], 0, None))[:width]
+        if _stands(values, before, k, tolerance):
+            break
+        before = values
+        new = image[:, -new.shape[1] :]
+        if basis.shape[1] + width > min(terms, KEPT_BLOCKS * width):
+            basis, image = basis @ best, image @ best
+            new = image
+        for _ in range(2):  # once more for the rounding of the first
+            new = new - basis @ (basis.T @ new)
+            new = np.linalg.qr(new)[0]
+    return basis @ turn[:, ::-1][:, :width] if basis.shape[1] == len(turn) else basis
+
+
+def _svd_by_table(rows, k, key, r_cond, terms, width, passes, tolerance) -> Decomposition:
+    basis = np.eye(terms) if width >= terms else _leading_basis(rows, k, key, terms, width, passes, tolerance)
+    r = r_factor(times_table(rows, key, basis))
+    _, sigma, turn = np.linalg.svd(r if len(r) else np.zeros((1, basis.shape[1])), full_matrices=False)
+    kept = (sigma > r_cond * sigma.max(initial=0))[:k]
+    sigma = sigma[:k][kept]
+    v = basis @ turn[:k][kept].T
+    v *= np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0) if v.size else 1.0
+    return Decomposition(sigma, _frame_of(rows.sparkSession, v), times_table(rows, key, v / sigma).select(key, "vector"), key)
+
+
+def _svd_by_blocks(rows, k, key, r_cond, width, passes, tolerance) -> Decomposition:
+    image = checkpointed(transposed_times(sketched(rows, width)))
+    before = None
+    for last in range(passes, 0, -1):
+        _, size, turn = np.linalg.svd(r_factor(image), full_matrices=False)
+        some = size > 1e-12 * size.max(initial=0)
+        basis = checkpointed(turned(image, "vector", turn[some].T / size[some], ["term_id"]))
+        product = checkpointed(times_frame(rows, key, basis, int(some.sum())))
+        _, sigma, turn = np.linalg.svd(r_factor(product), full_matrices=False)
+        if last == 1 or _stands(sigma, before, k, tolerance) or int(some.sum()) < width:
+            break
+        before = sigma
+        image = checkpointed(transposed_times(product))
+    kept = (sigma > r_cond * sigma.max(initial=0))[:k]
+    sigma, turn = sigma[:k][kept], turn[:k][kept].T
+    signs = _signs(turned(basis, "vector", turn, ["term_id"]))
+    return Decomposition(sigma, turned(basis, "vector", turn * signs, ["term_id"]), turned(product, "vector", turn * signs / sigma, [key]), key)
+
+
+def project(rows: DataFrame, terms: DataFrame, sigma: np.ndarray, key: str = "doc_id", column: str = "weights", method: str = "auto") -> DataFrame:
+    """(key, vector): the rows of U = A V S^-1 for a given V (term_id, vector).
+
+    V goes to the tasks only if it was measured to have at most ``TABLE_BYTES``
+    (``method`` table), else it is joined by blocks of terms (blocks).
+    """
+    rows = _as_rows(rows, key, column)
+    width = len(sigma)
+    if method == "auto":
+        last = terms.agg(F.max("term_id")).first()[0]
+        method = "table" if ((last or 0) + 1) * width * 8 <= TABLE_BYTES else "blocks"
+    if method == "table":
+        size = max(column_count(rows), column_count(terms.select(F.array("term_id").alias("terms"))))
+        product = times_table(rows, key, _table_of(terms, size))
+    else:
+        product = times_frame(rows, key, terms, width)
+    return turned(product, "vector", np.diag(1 / np.asarray(sigma)), [key])
+
+
+def heaviest_documents(documents: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
+    """The entries of (key, vector) that can be among the top ``n`` of their concept.
+
+    Each task keeps its own ``n`` best documents per concept while it reads, so
+    the documents-by-concepts table is never written out or sorted.  Equal
     weights go to the lower key.
     """
-    projection = _projection(vectors, v, sigma)
-    indices, values = sparse_parts(F.col(column))
-    rows = vectors.select(F.col(key).alias("key"), indices.alias("i"), values.alias("w"))
 
     def best(batches):
-        by_term = projection.value
-        concepts = by_term.shape[1]
-        keys = weights = None
+        keys = weights = kind = None
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            new = _products(batch["i"], batch["w"], by_term)
-            own = np.repeat(batch["key"].to_numpy()[:, None], concepts, axis=1)
+            kind = batch.schema.field(0).type
+            new = matrix_of(batch.column(1))
+            own = np.repeat(batch.column(0).to_numpy(zero_copy_only=False)[:, None], new.shape[1], axis=1)
             keys = own if keys is None else np.concatenate([keys, own])
             weights = new if weights is None else np.concatenate([weights, new])
             order = np.lexsort((keys, -weights), axis=0)[:n]
             keys, weights = np.take_along_axis(keys, order, 0), np.take_along_axis(weights, order, 0)
         if keys is not None:
-            concept = np.tile(np.arange(concepts, dtype=np.int32), len(keys))
-            yield pd.DataFrame({key: keys.ravel(), "concept": concept, "weight": weights.ravel()})
+            concept = np.tile(np.arange(weights.shape[1], dtype=np.int32), len(keys))
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel(), kind), pa.array(concept), pa.array(weights.ravel())], [key, "concept", "weight"])
 
-    types = {f.name: f.dataType.simpleString() for f in vectors.schema}
-    return rows.mapInPandas(best, f"{key} {types[key]}, concept INT, weight DOUBLE")
+    return documents.select(key, "vector").mapInArrow(best, f"{key} {dict(documents.dtypes)[key]}, concept int, weight double")
 
 
 def top_terms(weights: DataFrame, vocab: DataFrame, n: int) -> DataFrame:

@@ -6,55 +6,43 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from ..operators.concepts import (
-    Decomposition,
-    document_vectors,
-    heaviest_documents,
-    top_documents,
-    top_terms,
-    truncated_svd,
-)
+from ..operators.concepts import Decomposition, document_rows, heaviest_documents, top_documents, top_terms, truncated_svd
 from ..operators.terms import document_terms, vocabulary
+from ..sources.scratch import checkpointed
 
 
 @dataclass(frozen=True)
 class ConceptModel:
-    """A fitted analysis.  ``release`` frees the kept document vectors."""
+    """A fitted analysis.  Its document rows are checkpointed, so nothing stays cached."""
 
     vocab: DataFrame
-    vectors: DataFrame
+    rows: DataFrame
     svd: Decomposition
     key: str
 
     def singular_values(self) -> DataFrame:
-        return self.svd.singular_values(self.vectors.sparkSession)
+        return self.svd.singular_values(self.rows.sparkSession)
 
     def top_terms(self, n: int) -> DataFrame:
-        weights = self.svd.term_weights(self.vectors.sparkSession)
-        return top_terms(weights, self.vocab, n)
+        return top_terms(self.svd.term_weights(), self.vocab, n)
 
     def top_documents(self, titles: DataFrame, n: int, title: str = "title") -> DataFrame:
-        weights = heaviest_documents(self.vectors, self.svd.v, self.svd.sigma, n, self.key)
-        return top_documents(weights, titles, n, self.key, title)
-
-    def release(self) -> None:
-        self.vectors.unpersist()
+        return top_documents(heaviest_documents(self.svd.documents, n, self.key), titles, n, self.key, title)
 
 
 def fit_concepts(
     docs: DataFrame,
     k: int,
-    num_terms: int = 1500,
+    num_terms: int | None = 1500,
     key: str = "doc_id",
     r_cond: float = 1e-9,
-    method: str = "spark",
+    **svd,
 ) -> ConceptModel:
-    """Fit on (key, tokens) rows, one row per document.
+    """Fit on (key, tokens) rows, one row per document; ``num_terms=None`` takes every term.
 
-    The text is read twice: once to count terms, once to build the sparse
-    rows, which are then kept in memory or on disk for all later steps.
+    The text is read twice: once to count terms, once to build the sparse rows.
+    ``svd`` are settings of ``truncated_svd``.
     """
-    vocab = vocabulary(document_terms(docs, key), num_terms)
-    vectors = document_vectors(docs, vocab, key).persist()
-    svd = truncated_svd(vectors, k, r_cond=r_cond, method=method)
-    return ConceptModel(vocab, vectors, svd, key)
+    vocab = checkpointed(vocabulary(document_terms(docs, key), num_terms))
+    rows = checkpointed(document_rows(docs, vocab, key, max_terms=num_terms))
+    return ConceptModel(vocab, rows, truncated_svd(rows, k, key, r_cond=r_cond, **svd), key)
