@@ -89,6 +89,41 @@ def test_a_crowd_that_drifts_against_all_pairs(spark):
     assert by_id(nc.classes(docs)) == want
 
 
+def variants(draw, size, words=120, most=0.3):
+    """Copies of one text, each with its own share of words replaced, dropped or added; some of them copied again."""
+    base = [f"w{draw.randrange(10**6)}" for _ in range(words)]
+    out = []
+    for _ in range(size):
+        text = list(draw.choice(out).split() if out and draw.random() < 0.2 else base)
+        for _ in range(int(draw.random() * most * words / 5)):
+            at = draw.randrange(len(text))
+            text[at : at + draw.randint(0, 2)] = [f"x{draw.randrange(10**6)}" for _ in range(draw.randint(0, 2))]
+        out.append(" ".join(text))
+    return out
+
+
+def test_a_crowd_of_variants_against_all_pairs(spark, monkeypatch):
+    seen = []
+    real = nc.verify
+    monkeypatch.setattr(nc, "CROWD", 8)
+    monkeypatch.setattr(nc, "verify", lambda pairs, *more: (seen.append(pairs.count()), real(pairs, *more))[1])
+    rows = list(enumerate(variants(random.Random(8), 300)))
+    docs = awkward(spark, rows)
+    steps = nc.idf_steps(nc.document_frequencies(docs, "text"), len(rows))
+    want = exact(rows, steps)
+    assert by_id(nc.classes(docs)) == want and 20 < len(set(want.values())) < 250
+    assert sum(seen) < 300 * 299 / 2 / 4, seen
+
+
+def test_rare_shingles_settle_pairs(spark):
+    terms = [(1, 10, 1.0), (1, 11, 3.0), (2, 10, 2.0), (2, 12, 2.0)] + [(n, 99, 6.0) for n in range(1, 80)]
+    shares, rows = nc.rare_shares(spark.createDataFrame(terms, "node bigint, term bigint, weight double"))
+    found = {r.node: (r.total, r.rare) for r in shares.collect()}
+    assert found[1] == (10.0, 4.0) and found[2] == (10.0, 4.0) and found[3] == (6.0, 0.0)
+    # shingle 11 is the rarest of 1 and more than a fifth of it, so 10 is not among its first
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, 10, False), (2, 10, True)]
+
+
 def test_document_frequencies_are_of_all_documents(spark):
     rows = corpus()
     total = nc.document_frequencies(awkward(spark, rows), "text")

@@ -9,9 +9,10 @@ documents that agree in a band are candidates, and those of a generalised Jaccar
 similarity of at least ``SIMILAR`` are linked.  Classes are connected components.
 
 Texts of equal shingles are one node from the start.  Any two nodes that share a
-band's bucket are compared, unless they are in one class already.  In a bucket of
-more than ``CROWD`` nodes central nodes come first, so that most others are in
-their class before they would be compared (``link_crowds``).
+band's bucket are compared, unless they are in one class already or cannot be near
+by their weights.  In a bucket of more than ``CROWD`` nodes a central node comes
+first, so that most others are in its class before they would be compared, and of
+the others those that share a rare shingle are compared (``link_crowds``).
 
 Defined cases: texts without words (null, empty, marks only) are copies of equal
 texts only; repeated rows are copies; null ids are rows like others, and a class
@@ -156,21 +157,70 @@ def met_buckets(nodes: DataFrame) -> DataFrame:
     return checkpointed(rows.join(sizes, "bucket"))
 
 
+def crowd_terms(nodes: DataFrame, packed: DataFrame, steps) -> DataFrame:
+    """(node, term, weight) of all shingles of the given nodes."""
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdDecompressor()
+        for batch in batches:
+            node = batch.column(0).to_numpy()
+            for block in blocks([tool.decompress(p) for p in batch.column(1).to_pylist()]):
+                doc, term, count = shingles(block)
+                weight = weights(term, count, steps.value)
+                yield pa.RecordBatch.from_pydict({"node": node[block.first + doc], "term": term.view(np.int64), "weight": weight})
+
+    return packed.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "packed").mapInArrow(spell, "node bigint, term bigint, weight double")
+
+
+def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, total, rare): weights of all shingles, and of those that at most ``CROWD`` nodes have; and the latter's rows.
+
+    The rows (node, term, first) say whether a shingle is among the node's rarest
+    that together exceed 1 - ``SIMILAR`` of its weight.
+    """
+    terms = checkpointed(terms)
+    few = checkpointed(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= CROWD))
+    total = terms.groupBy("node").agg(F.sum("weight").alias("total"))
+    order = Window.partitionBy("node").orderBy("n", "term").rowsBetween(Window.unboundedPreceding, -1)
+    rows = terms.join(few, "term").join(total, "node")
+    rows = rows.withColumn("before", F.coalesce(F.sum("weight").over(order), F.lit(0.0)))
+    rows = checkpointed(rows.select("node", "term", "n", "weight", (F.col("before") <= (1 - SIMILAR) * F.col("total") + 1e-9).alias("first")))
+    shares = total.join(rows.groupBy("node").agg(F.sum("weight").alias("rare")), "node", "left").withColumn("rare", F.coalesce("rare", F.lit(0.0)))
+    return checkpointed(shares), rows.filter("n > 1").select("node", "term", "first")
+
+
+def rare_pairs(rows: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct pairs a < b of different classes that share a shingle that is among the rarest of one of them."""
+    one = F.struct("node", "class", "first")
+    few = rows.join(label, "node").groupBy("term").agg(F.collect_list(one).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
+    few = few.filter("low < high").select(F.explode("all").alias("x"), "all")
+    others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")) & (y["first"] | F.col("x.first")))
+    return checkpointed(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct())
+
+
+def may_miss(x, y):
+    """The weight of a text of weight ``x`` that a near text of weight ``y`` can lack."""
+    return x - SIMILAR / (1 + SIMILAR) * (x + y)
+
+
 def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: DataFrame, steps) -> DataFrame:
     """``label`` after all links within the buckets of more than ``CROWD`` nodes.
 
-    In rounds, centres are compared with every node of their buckets that is in
-    another class: of each bucket the most supported nodes outside its largest
-    class that have not been centres, one at first and ``MORE`` times as many in
-    each round.  A bucket is done when all nodes outside its largest class have been
-    centres: of any two of its nodes, both are then in one class or one has been
-    compared with the other.
+    First the most supported node of each bucket, its centre, is compared with all
+    of it.  Then those that share a rare shingle are compared: a near text of weight
+    y lacks at most ``may_miss(x, y)`` of a text of weight x, so if the rare shingles of
+    either weigh more than that, near texts share one.  Rounds of centres are left for
+    pairs of which neither's do: of each bucket the most supported nodes outside its
+    largest class that have not been centres, ``MORE`` times as many in each round.  A
+    bucket is done when all nodes outside its largest class have been centres, or
+    have rare shingles enough for any partner.
     """
     crowd = met.filter(F.col("n") > CROWD)
     if crowd.isEmpty():
         return label
+    shares, rare = rare_shares(crowd_terms(crowd, packed, steps))
     support = crowd.groupBy("node").agg(F.sum("n").alias("support"))
-    crowd = checkpointed(crowd.drop("n").join(support.join(nodes.select("node", "bands"), "node"), "node"))
+    crowd = checkpointed(crowd.drop("n").join(support.join(nodes.select("node", "bands"), "node").join(shares, "node"), "node"))
     tried = None
     most = 1
     while True:
@@ -180,17 +230,28 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
         sizes = rows.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class"))["class"].alias("largest"))
         order = Window.partitionBy("bucket").orderBy(F.desc("support"), "node")
-        rest = rows.filter("not tried").select("bucket", "node", "support", "class").join(largest, "bucket").filter("class != largest")
+        rest = rows.filter("not tried").select("bucket", "node", "support", "class", "total", "rare").join(largest, "bucket").filter("class != largest")
+        if tried is not None:
+            rest = rest.filter(F.col("rare") <= (1 - SIMILAR) * F.col("total") + 1e-9)
         centres = rest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).select("node").distinct()
         centres = checkpointed(centres)
-        if centres.isEmpty():
+        if tried is not None and centres.isEmpty():
             return label
-        ours = rows.join(centres, "node", "left_semi").select("bucket", F.col("node").alias("centre"), F.col("class").alias("c"), F.col("bands").alias("b"))
+        own = [F.col(c).alias(n) for c, n in (("node", "centre"), ("class", "c"), ("bands", "b"), ("total", "centre_total"), ("rare", "centre_rare"))]
+        ours = rows.join(centres, "node", "left_semi").select("bucket", *own)
         # two nodes meet only in the first of the buckets that they share
         first = F.array_position(F.zip_with("bands", "b", lambda x, y: x == y), True) == F.col("band") + 1
-        pairs = rows.filter("not tried").join(ours, "bucket").filter((F.col("class") != F.col("c")) & first)
+        on = [F.col("l.bucket") == F.col("r.bucket"), F.col("class") != F.col("c"), first]
+        alike = (F.col("total") >= SIMILAR * F.col("centre_total") - 1e-9) & (F.col("centre_total") >= SIMILAR * F.col("total") - 1e-9)
+        on.append(alike)
+        if tried is not None:
+            on.append(F.col("rare") <= may_miss(F.col("total"), F.col("centre_total")) + 1e-9)
+            on.append(F.col("centre_rare") <= may_miss(F.col("centre_total"), F.col("total")) + 1e-9)
+        pairs = rows.filter("not tried").alias("l").join(ours.alias("r"), on)
         pairs = checkpointed(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
         label = merged(label, checkpointed(verify(pairs, packed, steps)))
+        if tried is None:
+            label = merged(label, checkpointed(verify(rare_pairs(rare, label), packed, steps)))
         tried = centres if tried is None else checkpointed(tried.unionByName(centres))
         most *= MORE
 
