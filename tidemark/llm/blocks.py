@@ -7,11 +7,13 @@ longest document and not the size of a partition.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BLOCK_BYTES = 1 << 18
 #: Documents of a block at most.
@@ -41,6 +43,20 @@ def make_room(df: DataFrame, *added: str) -> DataFrame:
     return df.select([df[c] for c in df.columns if c not in added])
 
 
+class Shared:
+    """A broadcast model whose class travels with it, so that tasks need no installed copy of the package."""
+
+    def __init__(self, spark: SparkSession, model):
+        self._data = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+        self._model = None
+
+    @property
+    def value(self):
+        if self._model is None:
+            self._model = pickle.loads(self._data.value)
+        return self._model
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     h = h ^ (h >> np.uint64(32))

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.blocks import WORD_BYTES, Block, hash_tokens, make_room, map_blocks, text_bytes
+from tidemark.llm.blocks import WORD_BYTES, Block, Shared, hash_tokens, make_room, map_blocks, text_bytes
 
 WINDOW = 13
 #: A document is contaminated if hit words are at least this share (1 / 20) of its words.
@@ -192,14 +192,14 @@ def scan(
     window: int = WINDOW,
     block_words: int = BLOCK_WORDS,
 ) -> DataFrame:
-    """``docs`` plus n_words, n_hit, hit_items (sorted) and hit_spans ([first, last) bytes of the UTF-8 text).
+    """``docs`` plus n_words, n_hit, hit_items (sorted) and hit_spans ([first, last) bytes of the UTF-8 text, and how many words that is).
 
     The documents are read once and never shuffled.  Each block of items is
     broadcast (its size is bounded by ``block_words``) and makes one more pass
     over the words inside the same tasks.
     """
     spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(a) for a in _automata(items, item_id, item_text, window, block_words)]
+    shared = [Shared(spark, a) for a in _automata(items, item_id, item_text, window, block_words)]
     docs = make_room(docs, "n_words", "n_hit", "hit_items", "hit_spans")
     own = docs.columns
 
@@ -226,14 +226,14 @@ def scan(
                 out["n_hit"].append(sum(b - a for a, b in merged))
                 out["hit_items"].append(sorted(names))
                 out["hit_spans"].append(
-                    [{"first": int(starts[mine][a] - at), "last": int(ends[mine][b - 1] - at)} for a, b in merged]
+                    [{"first": int(starts[mine][a] - at), "last": int(ends[mine][b - 1] - at), "words": b - a} for a, b in merged]
                 )
-            spans = pa.array(out["hit_spans"], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])))
+            spans = pa.array(out["hit_spans"], pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("words", pa.int64())])))
             return out | {"hit_items": pa.array(out["hit_items"], pa.list_(pa.string())), "hit_spans": spans}
 
         return step
 
-    schema = "n_words bigint, n_hit bigint, hit_items array<string>, hit_spans array<struct<first: bigint, last: bigint>>"
+    schema = "n_words bigint, n_hit bigint, hit_items array<string>, hit_spans array<struct<first: bigint, last: bigint, words: bigint>>"
     raw = "__text_bytes"
     renamed = docs.toDF(*[f"c{i}" for i in range(len(own))])
     renamed = renamed.withColumn(raw, text_bytes(f"c{own.index(text)}"))
@@ -246,10 +246,10 @@ def contaminated(n_words: str = "n_words", n_hit: str = "n_hit", parts: int = CO
     return (F.col(n_hit) > 0) & (F.col(n_hit) * parts >= F.col(n_words))
 
 
-def without_spans(text: str = "text", spans: str = "hit_spans", longer_than: int = 0):
-    """The text without hit spans of more than ``longer_than`` bytes; a column expression."""
+def without_spans(text: str = "text", spans: str = "hit_spans", words: int = 1):
+    """The text without hit spans of ``words`` words or more; a column expression."""
     raw = F.col(text).cast("binary")
-    long = F.filter(spans, lambda s: s["last"] - s["first"] > longer_than)
+    long = F.filter(spans, lambda s: s["words"] >= words)
     cuts = F.concat(F.array(F.lit(0).cast("long")), F.transform(long, lambda s: s["last"]))
     stops = F.concat(F.transform(long, lambda s: s["first"]), F.array(F.octet_length(raw).cast("long")))
     pieces = F.transform(

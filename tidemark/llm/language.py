@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.blocks import LOWER, Block, blocks, bounds, crc_share, make_room, map_blocks, text_bytes
+from tidemark.llm.blocks import LOWER, Block, Shared, blocks, bounds, crc_share, make_room, map_blocks, text_bytes
 
 UNDETERMINED = "und"
 #: A language joins a document's set if the log-likelihood gains this many times log(trigrams).
@@ -171,7 +171,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", penalty: float =
     docs = make_room(docs, "lang_pred", "score", "languages")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     renamed = docs.toDF(*held)
     source = renamed[held[own.index(text)]].cast("string")
     renamed = renamed.withColumn("__letter", F.coalesce(source.rlike(r"\p{L}"), F.lit(False)))

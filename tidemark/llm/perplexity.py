@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.blocks import VISIBLE_BYTES, Block, blocks, bounds, crc_share, make_room, map_blocks, text_bytes
+from tidemark.llm.blocks import VISIBLE_BYTES, Block, Shared, blocks, bounds, crc_share, make_room, map_blocks, text_bytes
 from tidemark.sources.scratch import checkpointed
 
 CLUSTERED = 1000
@@ -118,7 +118,7 @@ def sequence(block: Block, vocabulary: Vocabulary):
 def count_pairs(docs: DataFrame, text: str, vocabulary: Vocabulary) -> np.ndarray:
     """How often one symbol follows another; the matrix is bounded by the clustered vocabulary."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(vocabulary)
+    shared = Shared(spark, vocabulary)
     size = vocabulary.size
 
     def rows_of(total: np.ndarray) -> pa.RecordBatch:
@@ -262,7 +262,7 @@ def score(docs: DataFrame, model: Model, counts: DataFrame, text: str = "text")
     docs = make_room(docs, "n_tokens", "n_known", "base_score", "score")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     renamed = docs.toDF(*held).withColumn("__text_bytes", text_bytes(held[own.index(text)]))
 
     def make():

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.blocks import VISIBLE_BYTES, Block, bounds, crc_share, make_room, map_blocks, text_bytes
+from tidemark.llm.blocks import VISIBLE_BYTES, Block, Shared, bounds, crc_share, make_room, map_blocks, text_bytes
 
 #: Labelled documents that training reads at most, about.
 TRAINING_DOCUMENTS = 6_000
@@ -193,7 +193,7 @@ def score(docs: DataFrame, field: Field, text: str = "text") -> DataFrame:
     docs = make_room(docs, "quality_score", "good_lines")
     own = docs.columns
     held = [f"c{i}" for i in range(len(own))]
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = Shared(docs.sparkSession, field)
     renamed = docs.toDF(*held).withColumn("__text_bytes", text_bytes(held[own.index(text)]))
 
     def make():
