@@ -13,6 +13,8 @@ after the second; null ids sort last when one document of a class is chosen.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, language, mixing, near_copies, surrogates
@@ -20,16 +22,35 @@ from tidemark.sources.scratch import scratch_path
 
 #: Share of a document's trigrams that its leading language must account for.
 LANGUAGE_SCORE = 0.1
+#: Columns that stages read or change.
+READ = ("doc_id", "text", "lang", "source")
 #: Key of the surrogates' hash; set your own where surrogates must not be guessable.
 SURROGATE_KEY = "corpus"
 
 
+def _apart(docs: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``stage`` applied to ``docs`` with all columns that it does not read under reserved names, so that it replaces none."""
+    held = [c if c in READ else f"__own{i}" for i, c in enumerate(docs.columns)]
+    return stage(docs.toDF(*held)).select(*[F.col(h).alias(c) for h, c in zip(held, docs.columns, strict=True)])
+
+
+def _with_length(docs: DataFrame, before: DataFrame, changed: str) -> DataFrame:
+    """``docs`` with n_chars after the new text, where ``changed`` says so."""
+    if "n_chars" not in before.columns:
+        return docs
+    own = f"__own{before.columns.index('n_chars')}"
+    length = F.length("text").cast(dict(before.dtypes)["n_chars"])
+    return docs.withColumn(own, F.when(F.expr(changed), length).otherwise(F.col(own)))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the mixture model determines; it learns from all of them that state one."""
-    model = language.fit(docs)
-    found = language.predict(docs, model)
-    kept = (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LANGUAGE_SCORE)
-    return found.filter(kept).select(*docs.columns)
+
+    def stage(held: DataFrame) -> DataFrame:
+        found = language.predict(held, language.fit(held))
+        return found.filter((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LANGUAGE_SCORE))
+
+    return _apart(docs, stage)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,19 +59,21 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which benchmark windows cover less than the limit; they keep their texts whole."""
+    """Documents of which benchmark windows cover less than the limit, without spans of a whole window or more."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.scan(docs, items)
-    return found.filter(~decontaminate.contaminated()).select(*docs.columns)
+
+    def stage(held: DataFrame) -> DataFrame:
+        kept = decontaminate.scan(held, items).filter(~decontaminate.contaminated())
+        cut = F.exists("hit_spans", lambda s: s["words"] >= decontaminate.WINDOW).alias("__cut")
+        text = F.when(F.col("__cut"), decontaminate.without_spans(words=decontaminate.WINDOW)).otherwise(F.col("text"))
+        return _with_length(kept.select("*", cut).withColumn("text", text), docs, "__cut")
+
+    return _apart(docs, stage)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with surrogates in their texts; n_chars follows the new text."""
-    new = surrogates.replace(docs, SURROGATE_KEY)
-    if "n_chars" in docs.columns:
-        kind = dict(docs.dtypes)["n_chars"]
-        new = new.withColumn("n_chars", F.when(F.col("n_mentions") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return new.select(*docs.columns)
+    return _apart(docs, lambda held: _with_length(surrogates.replace(held, SURROGATE_KEY), docs, "n_mentions > 0"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
