@@ -117,7 +117,9 @@ def test_a_crowd_of_variants_against_all_pairs(spark, monkeypatch):
 
 def test_rare_shingles_settle_pairs(spark):
     terms = [(1, 10, 1.0), (1, 11, 3.0), (2, 10, 2.0), (2, 12, 2.0)] + [(n, 99, 6.0) for n in range(1, 80)]
-    shares, rows = nc.rare_shares(spark.createDataFrame(terms, "node bigint, term bigint, weight double"))
+    total = {n: sum(w for m, _, w in terms if m == n) for n, _, _ in terms}
+    terms = [(n, total[n], t, w) for n, t, w in terms]
+    shares, rows = nc.rare_shares(spark.createDataFrame(terms, "node bigint, total double, term bigint, weight double"))
     found = {r.node: (r.total, r.rare) for r in shares.collect()}
     assert found[1] == (10.0, 4.0) and found[2] == (10.0, 4.0) and found[3] == (6.0, 0.0)
     # shingle 11 is the rarest of 1 and more than a fifth of it, so 10 is not among its first

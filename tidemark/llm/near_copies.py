@@ -42,7 +42,7 @@ IDF_SHARE = 0.25
 IDF_STEPS = 16
 CROWD = 64
 #: So many times as many centres in each round of a crowd.
-MORE = 8
+MORE = 64
 #: So many links are joined to classes by the driver; more by Spark, with equal results.
 FEW_LINKS = 1 << 16
 _CHUNK = 1 << 12
@@ -158,7 +158,7 @@ def met_buckets(nodes: DataFrame) -> DataFrame:
 
 
 def crowd_terms(nodes: DataFrame, packed: DataFrame, steps) -> DataFrame:
-    """(node, term, weight) of all shingles of the given nodes."""
+    """(node, total, term, weight) of all shingles of the given nodes; total is the node's weight."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
@@ -167,9 +167,10 @@ def crowd_terms(nodes: DataFrame, packed: DataFrame, steps) -> DataFrame:
             for block in blocks([tool.decompress(p) for p in batch.column(1).to_pylist()]):
                 doc, term, count = shingles(block)
                 weight = weights(term, count, steps.value)
-                yield pa.RecordBatch.from_pydict({"node": node[block.first + doc], "term": term.view(np.int64), "weight": weight})
+                total = np.bincount(doc, weight, len(block))
+                yield pa.RecordBatch.from_pydict({"node": node[block.first + doc], "total": total[doc], "term": term.view(np.int64), "weight": weight})
 
-    return packed.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "packed").mapInArrow(spell, "node bigint, term bigint, weight double")
+    return packed.join(nodes.select("node").distinct(), "node", "left_semi").select("node", "packed").mapInArrow(spell, "node bigint, total double, term bigint, weight double")
 
 
 def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -179,14 +180,19 @@ def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     that together exceed 1 - ``SIMILAR`` of its weight.
     """
     terms = checkpointed(terms)
-    few = checkpointed(terms.groupBy("term").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= CROWD))
-    total = terms.groupBy("node").agg(F.sum("weight").alias("total"))
+    few = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight"))
+    few = checkpointed(few.filter(F.col("n") <= CROWD))
+    # shingles of one node need not meet it again
+    alone = few.filter("n = 1").groupBy("node").agg(F.sum("weight").alias("alone"))
+    nodes = terms.groupBy("node").agg(F.max("total").alias("total")).join(alone, "node", "left")
+    nodes = checkpointed(nodes.select("node", "total", F.coalesce("alone", F.lit(0.0)).alias("alone")))
+    rows = terms.drop("total").join(few.filter("n > 1").select("term", "n"), "term").join(nodes, "node")
     order = Window.partitionBy("node").orderBy("n", "term").rowsBetween(Window.unboundedPreceding, -1)
-    rows = terms.join(few, "term").join(total, "node")
-    rows = rows.withColumn("before", F.coalesce(F.sum("weight").over(order), F.lit(0.0)))
-    rows = checkpointed(rows.select("node", "term", "n", "weight", (F.col("before") <= (1 - SIMILAR) * F.col("total") + 1e-9).alias("first")))
-    shares = total.join(rows.groupBy("node").agg(F.sum("weight").alias("rare")), "node", "left").withColumn("rare", F.coalesce("rare", F.lit(0.0)))
-    return checkpointed(shares), rows.filter("n > 1").select("node", "term", "first")
+    before = F.col("alone") + F.coalesce(F.sum("weight").over(order), F.lit(0.0))
+    rows = checkpointed(rows.select("node", "term", "weight", (before <= (1 - SIMILAR) * F.col("total") + 1e-9).alias("first")))
+    shared = rows.groupBy("node").agg(F.sum("weight").alias("shared"))
+    shares = nodes.join(shared, "node", "left").select("node", "total", (F.col("alone") + F.coalesce("shared", F.lit(0.0))).alias("rare"))
+    return checkpointed(shares), rows.select("node", "term", "first")
 
 
 def rare_pairs(rows: DataFrame, label: DataFrame) -> DataFrame:
