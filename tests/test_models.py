@@ -10,7 +10,7 @@ from tidemark.operators import clusters as C
 from tidemark.operators import evaluation as E
 from tidemark.operators.parsing import with_features
 from tidemark.operators.partition_map import map_with_setup
-from tidemark.operators.ratings import fit_als, history_names, latent_factors, prepare_ratings, recommend, with_item_names
+from tidemark.operators.ratings import fit_als, history_names, latent_factors, normal_equation_gaps, prepare_ratings, recommend, with_item_names
 from tidemark.operators.sampling import key_split, random_split
 from tidemark.operators.trees import fit_forest, fit_tree, grid_search, labelled_vectors, predict, predict_one
 from tidemark.plans.classification import tree_report
@@ -217,6 +217,34 @@ def test_recommendations(spark, counts):
     assert history == {r.item for r in counts.filter("user in (0, 1) and item < 10").collect()}
 
 
+def test_normal_equations_against_numpy(spark, counts):
+    model = fit_als(counts, rank=3, reg=0.05)
+    p, q = ({r.id: np.array(r.features) for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    found = {r.user: r.gap for r in normal_equation_gaps(model, counts, 0.05).collect()}
+    assert set(found) == set(p)
+    wrong = {r.user: r.gap for r in normal_equation_gaps(model, counts, 1.0).collect()}
+    for u, gap in found.items():
+        mine = [(r.item, r.rating) for r in counts.collect() if r.user == u]
+        right = sum(x * q[i] for i, x in mine)
+        left = sum(np.outer(q[i], q[i]) for i, _ in mine) @ p[u] + 0.05 * len(mine) * p[u]
+        assert gap == pytest.approx(np.linalg.norm(left - right) / np.linalg.norm(right), abs=1e-6)
+        assert gap < 1e-3 < wrong[u]
+
+
+def test_a_user_with_most_items_asks_alone(spark, counts, monkeypatch):
+    from tidemark.operators import ratings
+
+    asked = []
+    real = ratings._best
+    monkeypatch.setattr(ratings, "_best", lambda model, users, n: (asked.append((n, users.count())), real(model, users, n))[1])
+    every = counts.select("item").distinct()
+    heavy = counts.unionByName(every.select(F.lit(0).alias("user"), "item", F.lit(1.0).cast("float").alias("rating")))
+    users = spark.createDataFrame([(0,), (1,), (2,), (999,)], "user INT")
+    found = recommend(fit_als(heavy, rank=3), users, 2, seen=heavy).collect()
+    assert sorted({r.user for r in found}) == [1, 2] and len(found) == 4
+    assert max(n for n, _ in asked) > 20 and [c for n, c in asked if n > 20] == [1]
+
+
 def test_scalar_expressions(spark):
     frame = spark.createDataFrame([("abc", "a,b,,", [0.0, 3.0]), ("a1", "x", [0.0, 0.0]), ("", "p,q", [1.0, 1.0])], "s STRING, l STRING, v ARRAY<DOUBLE>")
     got = frame.select(
