@@ -45,6 +45,9 @@ CROWD = 64
 MORE = 64
 #: So many links are joined to classes by the driver; more by Spark, with equal results.
 FEW_LINKS = 1 << 16
+#: Narrow rows, and pairs to be verified, that one task reads at least, where there are so many.
+TASK_ROWS = 1 << 15
+TASK_PAIRS = 1 << 12
 _CHUNK = 1 << 12
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -150,11 +153,21 @@ def signatures(docs: DataFrame, text: str, steps, carry: list[str]) -> DataFrame
     return map_blocks(docs, text, make, "node bigint, bands array<bigint>", carry)
 
 
+def settled(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` from a checkpoint, read by as many tasks as its rows ask for, or as wrote it, if fewer.
+
+    Few rows in many partitions would leave many files of almost nothing in each
+    later shuffle.
+    """
+    kept = checkpointed(df)
+    return kept.coalesce(1 + kept.count() // rows)
+
+
 def met_buckets(nodes: DataFrame) -> DataFrame:
     """(bucket, node, band, n): the rows of buckets of two or more nodes, with n, their number."""
     rows = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return checkpointed(rows.join(sizes, "bucket"))
+    return settled(rows.join(sizes, "bucket"))
 
 
 def crowd_terms(nodes: DataFrame, packed: DataFrame, steps) -> DataFrame:
@@ -179,20 +192,20 @@ def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     The rows (node, term, first) say whether a shingle is among the node's rarest
     that together exceed 1 - ``SIMILAR`` of its weight.
     """
-    terms = checkpointed(terms)
+    terms = settled(terms)
     few = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight"))
-    few = checkpointed(few.filter(F.col("n") <= CROWD))
+    few = settled(few.filter(F.col("n") <= CROWD))
     # shingles of one node need not meet it again
     alone = few.filter("n = 1").groupBy("node").agg(F.sum("weight").alias("alone"))
     nodes = terms.groupBy("node").agg(F.max("total").alias("total")).join(alone, "node", "left")
-    nodes = checkpointed(nodes.select("node", "total", F.coalesce("alone", F.lit(0.0)).alias("alone")))
+    nodes = settled(nodes.select("node", "total", F.coalesce("alone", F.lit(0.0)).alias("alone")))
     rows = terms.drop("total").join(few.filter("n > 1").select("term", "n"), "term").join(nodes, "node")
     order = Window.partitionBy("node").orderBy("n", "term").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("alone") + F.coalesce(F.sum("weight").over(order), F.lit(0.0))
-    rows = checkpointed(rows.select("node", "term", "weight", (before <= (1 - SIMILAR) * F.col("total") + 1e-9).alias("first")))
+    rows = settled(rows.select("node", "term", "weight", (before <= (1 - SIMILAR) * F.col("total") + 1e-9).alias("first")))
     shared = rows.groupBy("node").agg(F.sum("weight").alias("shared"))
     shares = nodes.join(shared, "node", "left").select("node", "total", (F.col("alone") + F.coalesce("shared", F.lit(0.0))).alias("rare"))
-    return checkpointed(shares), rows.select("node", "term", "first")
+    return settled(shares), rows.select("node", "term", "first")
 
 
 def rare_pairs(rows: DataFrame, label: DataFrame) -> DataFrame:
@@ -201,7 +214,7 @@ def rare_pairs(rows: DataFrame, label: DataFrame) -> DataFrame:
     few = rows.join(label, "node").groupBy("term").agg(F.collect_list(one).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
     few = few.filter("low < high").select(F.explode("all").alias("x"), "all")
     others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")) & (y["first"] | F.col("x.first")))
-    return checkpointed(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct())
+    return settled(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct(), TASK_PAIRS)
 
 
 def may_miss(x, y):
@@ -226,13 +239,13 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
         return label
     shares, rare = rare_shares(crowd_terms(crowd, packed, steps))
     support = crowd.groupBy("node").agg(F.sum("n").alias("support"))
-    crowd = checkpointed(crowd.drop("n").join(support.join(nodes.select("node", "bands"), "node").join(shares, "node"), "node"))
+    crowd = settled(crowd.drop("n").join(support.join(nodes.select("node", "bands"), "node").join(shares, "node"), "node"))
     tried = None
     most = 1
     while True:
         now = label if tried is None else label.join(tried.withColumn("tried", F.lit(True)), "node", "left")
         now = now.select("node", "class", (F.lit(False) if tried is None else F.col("tried").isNotNull()).alias("tried"))
-        rows = checkpointed(crowd.join(now, "node"))
+        rows = settled(crowd.join(now, "node"))
         sizes = rows.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "class"))["class"].alias("largest"))
         order = Window.partitionBy("bucket").orderBy(F.desc("support"), "node")
@@ -240,7 +253,7 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
         if tried is not None:
             rest = rest.filter(F.col("rare") <= (1 - SIMILAR) * F.col("total") + 1e-9)
         centres = rest.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most).select("node").distinct()
-        centres = checkpointed(centres)
+        centres = settled(centres)
         if tried is not None and centres.isEmpty():
             return label
         own = [F.col(c).alias(n) for c, n in (("node", "centre"), ("class", "c"), ("bands", "b"), ("total", "centre_total"), ("rare", "centre_rare"))]
@@ -254,11 +267,11 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
             on.append(F.col("rare") <= may_miss(F.col("total"), F.col("centre_total")) + 1e-9)
             on.append(F.col("centre_rare") <= may_miss(F.col("centre_total"), F.col("total")) + 1e-9)
         pairs = rows.filter("not tried").alias("l").join(ours.alias("r"), on)
-        pairs = checkpointed(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct())
-        label = merged(label, checkpointed(verify(pairs, packed, steps)))
+        pairs = settled(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), TASK_PAIRS)
+        label = merged(label, settled(verify(pairs, packed, steps)))
         if tried is None:
-            label = merged(label, checkpointed(verify(rare_pairs(rare, label), packed, steps)))
-        tried = centres if tried is None else checkpointed(tried.unionByName(centres))
+            label = merged(label, settled(verify(rare_pairs(rare, label), packed, steps)))
+        tried = centres if tried is None else settled(tried.unionByName(centres))
         most *= MORE
 
 
@@ -269,7 +282,7 @@ def small_pairs(met: DataFrame, label: DataFrame) -> DataFrame:
     few = rows.groupBy("bucket").agg(F.array_sort(F.collect_list(one)).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
     few = few.filter("low < high").select(F.explode("all").alias("x"), "all")
     others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")))
-    return checkpointed(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct())
+    return settled(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct(), TASK_PAIRS)
 
 
 def packed_texts(used: DataFrame, nodes: DataFrame, docs: DataFrame, text: str) -> DataFrame:
@@ -324,13 +337,13 @@ def verify(pairs: DataFrame, packed: DataFrame, steps) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, class): the least node of each connected component; labels spread along links and jump to their labels'."""
-    both = checkpointed(links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("l")).select("l.*"))
-    label = checkpointed(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("c")))
+    both = settled(links.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("l")).select("l.*"))
+    label = settled(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("c")))
     while True:
         near = both.join(label.toDF("v", "cv"), "v").groupBy("u").agg(F.min("cv").alias("m"))
         low = label.join(near, "u").select("u", F.least("c", "m").alias("c"), F.col("c").alias("was"))
         jump = low.join(label.toDF("c", "cc"), "c", "left").select("u", F.least("c", F.coalesce("cc", "c")).alias("c"), "was")
-        jump = checkpointed(jump)
+        jump = settled(jump)
         changed = not jump.filter("c != was").isEmpty()
         label = jump.drop("was")
         if not changed:
@@ -359,12 +372,12 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
     if links.isEmpty():
         return label
     between = links.join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b").filter("ca != cb")
-    between = checkpointed(between.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+    between = settled(between.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
     if between.count() <= FEW_LINKS:
         new = joined_here(between)
     else:
         new = components(between).toDF("class", "new")
-    return checkpointed(label.join(new, "class", "left").select("node", F.coalesce("new", "class").alias("class")))
+    return settled(label.join(new, "class", "left").select("node", F.coalesce("new", "class").alias("class")))
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -377,14 +390,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     signed = checkpointed(signed.withColumn("node", F.coalesce("node", F.xxhash64("text_key", F.lit("no words")))))
     nodes = checkpointed(signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
     met = met_buckets(nodes)
-    used = checkpointed(met.select("node").distinct())
+    used = settled(met.select("node").distinct())
     packed = packed_texts(used, nodes, rows, "text")
     label = link_crowds(met, nodes, used.select("node", F.col("node").alias("class")), packed, steps)
-    found = merged(label, checkpointed(verify(small_pairs(met, label), packed, steps)))
+    found = merged(label, settled(verify(small_pairs(met, label), packed, steps)))
     member = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
     member = checkpointed(member.withColumn("class", F.coalesce("class", "node")))
     # a table of its own, so that the join can split a common class
-    least = checkpointed(member.groupBy("class").agg(F.min("doc_id").alias("class_id")))
+    least = settled(member.groupBy("class").agg(F.min("doc_id").alias("class_id")))
     out = member.join(least, "class")
     return out.select("doc_id", "text_key", "class", "class_id")
 
