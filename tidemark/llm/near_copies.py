@@ -43,6 +43,8 @@ IDF_STEPS = 16
 CROWD = 64
 #: So many times as many centres in each round of a crowd.
 MORE = 64
+#: So many pairs of each class of a crowd are compared before all others.
+LIKELIEST = 4
 #: So many links are joined to classes by the driver; more by Spark, with equal results.
 FEW_LINKS = 1 << 16
 #: Narrow rows, and pairs to be verified, that one task reads at least, where there are so many.
@@ -208,13 +210,22 @@ def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     return settled(shares), rows.select("node", "term", "first")
 
 
-def rare_pairs(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of different classes that share a shingle that is among the rarest of one of them."""
+def rare_pairs(rows: DataFrame, label: DataFrame, best: int | None = None) -> DataFrame:
+    """Distinct pairs a < b of different classes that share a shingle that is among the rarest of one of them.
+
+    With ``best``, only so many of each class: those that share the most such shingles.
+    """
     one = F.struct("node", "class", "first")
     few = rows.join(label, "node").groupBy("term").agg(F.collect_list(one).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
     few = few.filter("low < high").select(F.explode("all").alias("x"), "all")
     others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")) & (y["first"] | F.col("x.first")))
-    return settled(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct(), TASK_PAIRS)
+    pairs = few.select("x", F.explode(others).alias("y")).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    if best is not None:
+        pairs = pairs.agg(F.count(F.lit(1)).alias("shared"), F.array(F.first("x.class"), F.first("y.class")).alias("both"))
+        order = Window.partitionBy("class").orderBy(F.desc("shared"), "a", "b")
+        ranked = pairs.select("a", "b", "shared", F.explode("both").alias("class")).withColumn("place", F.row_number().over(order))
+        pairs = ranked.filter(F.col("place") <= best).groupBy("a", "b")
+    return settled(pairs.agg(F.count(F.lit(1))).select("a", "b"), TASK_PAIRS)
 
 
 def may_miss(x, y):
@@ -226,7 +237,8 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
     """``label`` after all links within the buckets of more than ``CROWD`` nodes.
 
     First the most supported node of each bucket, its centre, is compared with all
-    of it.  Then those that share a rare shingle are compared: a near text of weight
+    of it.  Then those that share a rare shingle are compared, the likeliest of each
+    class first, and all that are in different classes after these: a near text of weight
     y lacks at most ``may_miss(x, y)`` of a text of weight x, so if the rare shingles of
     either weigh more than that, near texts share one.  Rounds of centres are left for
     pairs of which neither's do: of each bucket the most supported nodes outside its
@@ -270,7 +282,9 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
         pairs = settled(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), TASK_PAIRS)
         label = merged(label, settled(verify(pairs, packed, steps)))
         if tried is None:
-            label = merged(label, settled(verify(rare_pairs(rare, label), packed, steps)))
+            # a class that its likeliest pairs join needs none of its others
+            for best in (LIKELIEST, None):
+                label = merged(label, settled(verify(rare_pairs(rare, label, best), packed, steps)))
         tried = centres if tried is None else settled(tried.unionByName(centres))
         most *= MORE
 
