@@ -191,8 +191,8 @@ def crowd_terms(nodes: DataFrame, packed: DataFrame, steps) -> DataFrame:
 def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, total, rare): weights of all shingles, and of those that at most ``CROWD`` nodes have; and the latter's rows.
 
-    The rows (node, term, first) say whether a shingle is among the node's rarest
-    that together exceed 1 - ``SIMILAR`` of its weight.
+    The latter are one (node, terms) for each node; a term's ``first`` says whether it is
+    among the node's rarest that together exceed 1 - ``SIMILAR`` of its weight.
     """
     terms = settled(terms)
     few = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight"))
@@ -207,7 +207,8 @@ def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = settled(rows.select("node", "term", "weight", (before <= (1 - SIMILAR) * F.col("total") + 1e-9).alias("first")))
     shared = rows.groupBy("node").agg(F.sum("weight").alias("shared"))
     shares = nodes.join(shared, "node", "left").select("node", "total", (F.col("alone") + F.coalesce("shared", F.lit(0.0))).alias("rare"))
-    return settled(shares), rows.select("node", "term", "first")
+    listed = rows.groupBy("node").agg(F.collect_list(F.struct("term", "first")).alias("terms"))
+    return settled(shares), settled(listed)
 
 
 def rare_pairs(rows: DataFrame, label: DataFrame, best: int | None = None) -> DataFrame:
@@ -216,7 +217,8 @@ def rare_pairs(rows: DataFrame, label: DataFrame, best: int | None = None) -> Da
     With ``best``, only so many of each class: those that share the most such shingles.
     """
     one = F.struct("node", "class", "first")
-    few = rows.join(label, "node").groupBy("term").agg(F.collect_list(one).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
+    rows = rows.join(label, "node").select("node", "class", F.inline("terms"))
+    few = rows.groupBy("term").agg(F.collect_list(one).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
     few = few.filter("low < high").select(F.explode("all").alias("x"), "all")
     others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")) & (y["first"] | F.col("x.first")))
     pairs = few.select("x", F.explode(others).alias("y")).groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
