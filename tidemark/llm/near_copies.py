@@ -191,8 +191,8 @@ def crowd_terms(nodes: DataFrame, packed: DataFrame, steps) -> DataFrame:
 def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(node, total, rare): weights of all shingles, and of those that at most ``CROWD`` nodes have; and the latter's rows.
 
-    The latter are one (node, terms) for each node; a term's ``first`` says whether it is
-    among the node's rarest that together exceed 1 - ``SIMILAR`` of its weight.
+    The rows (node, term, first) say whether a shingle is among the node's rarest
+    that together exceed 1 - ``SIMILAR`` of its weight.
     """
     terms = settled(terms)
     few = terms.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"), F.min("weight").alias("weight"))
@@ -207,14 +207,13 @@ def rare_shares(terms: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = settled(rows.select("node", "term", "weight", (before <= (1 - SIMILAR) * F.col("total") + 1e-9).alias("first")))
     shared = rows.groupBy("node").agg(F.sum("weight").alias("shared"))
     shares = nodes.join(shared, "node", "left").select("node", "total", (F.col("alone") + F.coalesce("shared", F.lit(0.0))).alias("rare"))
-    listed = rows.groupBy("node").agg(F.collect_list(F.struct("term", "first")).alias("terms"))
-    return settled(shares), settled(listed)
+    return settled(shares), rows.select("node", "term", "first")
 
 
 def rare_pairs(rows: DataFrame, label: DataFrame, best: int | None = None) -> DataFrame:
     """Distinct pairs a < b of different classes that share a shingle that is among the rarest of one of them.
 
-    With ``best``, only so many of each class: those that share the most such shingles.
+    ``rows`` has (node, terms), terms being all of a node's (term, first) of ``rare_shares``.  With ``best``, only so many of each class: those that share the most such shingles.
     """
     one = F.struct("node", "class", "first")
     rows = rows.join(label, "node").select("node", "class", F.inline("terms"))
@@ -252,6 +251,7 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
     if crowd.isEmpty():
         return label
     shares, rare = rare_shares(crowd_terms(crowd, packed, steps))
+    rare = settled(rare.groupBy("node").agg(F.collect_list(F.struct("term", "first")).alias("terms")))
     support = crowd.groupBy("node").agg(F.sum("n").alias("support"))
     crowd = settled(crowd.drop("n").join(support.join(nodes.select("node", "bands"), "node").join(shares, "node"), "node"))
     tried = None
