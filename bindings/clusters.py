@@ -2,31 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.scalars import last_field
 from tidemark.operators.clusters import (
     assign_clusters,
     assign_to_centers,
+    center_rows,
     class_means,
     cluster_centers,
     cluster_label_counts,
     far_rows,
+    fit_from_centers,
     fit_kmeans,
     mean_distance,
     refine_centers,
     sweep_cluster_counts,
+    sweep_given_centers,
 )
 from tidemark.operators.parsing import parse_connections, with_features
 from tidemark.operators.profiling import value_histogram
 from tidemark.plans.outliers import outlier_report
 from tidemark.sources import load_table, spread_small_scan
+from tidemark.sources.caching import kept
 
 from .classes import NEAREST
 from .common import embeddings, rounded
 
+COUNTS = (5, 10, 15, 20, 25, 30, 35, 40)
+#: Rounds that SQL can follow.
+ROUNDS = 3
 
-def connection_lines(spark: SparkSession, folder: str) -> DataFrame:
+
+def connection_lines(spark: SparkSession, folder: str, where: Column | None = None) -> DataFrame:
     """Events as records: number, three words, two numbers, label."""
     fields = [
         F.col("value").cast("string"), F.date_format("ts", "yyyy-MM-dd"), F.col("props"),
@@ -34,6 +42,7 @@ def connection_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.get_json_object("props", "$.k"), F.col("event_type"),
     ]
     events = spread_small_scan(load_table(spark, folder, "events"), "event_id")
+    events = events if where is None else events.filter(where)
     return events.select(F.concat_ws(",", *fields).alias("value"))
 
 
@@ -140,6 +149,35 @@ def event_outliers(spark, folder):
     return outlier_report(rows, 150, 100).outliers.select("label", "cluster", "distance")
 
 
+def k_sweep_given(spark, folder):
+    """Mean distances after three rounds from the rows of the lowest ids, per number of clusters."""
+    rows = embeddings(spark, folder)
+    first = [r["values"] for r in rows.orderBy("vec_id").limit(max(COUNTS)).collect()]
+    return rounded(sweep_given_centers(rows, [first[:k] for k in COUNTS], ROUNDS, 0.0), "mean_distance")
+
+
+def centers_given(spark, folder):
+    """The numbers in the JSON of ten centres after three rounds."""
+    rows = embeddings(spark, folder)
+    first = [r["values"] for r in rows.orderBy("vec_id").limit(10).collect()]
+    table = center_rows(rows, fit_from_centers(rows, first, ROUNDS, 0.0))
+    read = table.select(F.from_json("json", "cluster INT, center ARRAY<DOUBLE>").alias("c"))
+    return rounded(read.select("c.cluster", F.posexplode("c.center").alias("dim", "value")), "value")
+
+
+def event_outliers_given(spark, folder):
+    """Events far from their centre among 150 clusters, after three rounds from the events of the lowest ids."""
+    events = load_table(spark, folder, "events")
+    ids = [r["event_id"] for r in events.select("event_id").orderBy("event_id").limit(150).collect()]
+    start = parse_connections(connection_lines(spark, folder, F.col("event_id") <= ids[-1])).select("values").collect()
+    start = sorted(r["values"] for r in start)
+    rows = parse_connections(connection_lines(spark, folder)).select("label", "values")
+    with kept(rows) as held:
+        centers = fit_from_centers(held, start, ROUNDS, 0.0)
+        far = far_rows(assign_to_centers(held, centers), 100).select("label", "distance").collect()
+    return rounded(spark.createDataFrame(far, "label STRING, distance DOUBLE"), "distance")
+
+
 QUERIES = {
     "last_field_histogram": last_field_histogram,
     "drop_columns_vectors": drop_columns_vectors,
@@ -156,9 +194,43 @@ QUERIES = {
     "k_sweep": k_sweep,
     "event_outliers": event_outliers,
     "event_outlier_shape": event_outlier_shape,
+    "k_sweep_given": k_sweep_given,
+    "cluster_centers_given": centers_given,
+    "event_outliers_given": event_outliers_given,
 }
 
+
+def _rounds(points: str, start: str, rounds: int) -> str:
+    """CTEs e (id, label, x), c0 (k, c, x), then per round n (k, id, near) and the moved centres."""
+    parts = [f"e AS ({points})", f"c0 AS ({start})"]
+    for i in range(rounds + 1):
+        parts.append(
+            f"n{i} AS (SELECT m.k, e.id, min({{'q': list_distance(e.x, m.x), 'c': m.c}}) AS near FROM e CROSS JOIN c{i} m GROUP BY m.k, e.id)"
+        )
+        parts.append(
+            f"""s{i} AS (SELECT k, c, list(v ORDER BY d) AS x FROM (
+  SELECT k, c, d, avg(v) AS v FROM (
+    SELECT n.k, n.near.c AS c, unnest(e.x) AS v, generate_subscripts(e.x, 1) AS d FROM n{i} n JOIN e USING (id)) GROUP BY k, c, d)
+  GROUP BY k, c),
+c{i + 1} AS (SELECT k, c, coalesce(s.x, m.x) AS x FROM c{i} m LEFT JOIN s{i} s USING (k, c))"""
+        )
+    return ",\n".join(parts)
+
+
+_EMBEDDED = "SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings"
+_LOWEST = "SELECT k, r AS c, x FROM (SELECT x, row_number() OVER (ORDER BY id) - 1 AS r FROM e) CROSS JOIN (VALUES {k}) t(k) WHERE r < k"
+_EVENTS = """SELECT event_id AS id, event_type AS label,
+  [value, CAST(user_id AS DOUBLE), CAST(json_extract_string(props, '$.k') AS DOUBLE)] AS x FROM events"""
+
 ORACLE = {
+    "k_sweep_given": f"WITH {_rounds(_EMBEDDED, _LOWEST.format(k=', '.join(f'({k})' for k in COUNTS)), ROUNDS)} "
+    f"SELECT k, round(avg(near.q), 6) AS mean_distance FROM n{ROUNDS} GROUP BY k",
+    "cluster_centers_given": f"WITH {_rounds(_EMBEDDED, _LOWEST.format(k='(10)'), ROUNDS)} "
+    "SELECT CAST(c AS INTEGER) AS cluster, CAST(d - 1 AS INTEGER) AS dim, round(v, 6) AS value "
+    f"FROM (SELECT c, unnest(x) AS v, generate_subscripts(x, 1) AS d FROM c{ROUNDS})",
+    "event_outliers_given": f"WITH {_rounds(_EVENTS, _LOWEST.format(k='(150)'), ROUNDS)} "
+    f"SELECT label, round(near.q, 6) AS distance FROM n{ROUNDS} JOIN e USING (id) "
+    f"WHERE near.q > (SELECT min(q) FROM (SELECT near.q AS q FROM n{ROUNDS} ORDER BY q DESC LIMIT 100))",
     "event_outlier_shape": "SELECT event_type AS label, count(*) AS n, true AS few FROM events GROUP BY event_type",
     "kmeans_totals": "SELECT label, count(*) AS n FROM embeddings GROUP BY label",
     "last_field_histogram": "SELECT event_type AS label, count(*) AS n FROM events GROUP BY event_type",

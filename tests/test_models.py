@@ -157,6 +157,20 @@ def test_refinement_is_one_average_per_round(rows):
     assert moved[3] == [1e6] * 4
 
 
+def test_fits_from_given_centers_follow_the_rounds(rows):
+    start = [r["values"] for r in rows.orderBy("id").limit(4).collect()] + [[1e6] * 4]
+    for rounds in (1, 3):
+        expected = C.refine_centers(rows, start, rounds)
+        found = C.fit_from_centers(rows, start, rounds, 0.0)
+        assert np.allclose(found, expected) and found[4] == [1e6] * 4
+    table = C.center_rows(rows, found).collect()
+    assert [r.center for r in table] == found and [r.cluster for r in table] == list(range(5))
+    swept = C.sweep_given_centers(rows, [start[:2], start], 3, 0.0).collect()
+    for r, first in zip(swept, (start[:2], start), strict=True):
+        near = C.assign_to_centers(rows, C.refine_centers(rows, first, 3))
+        assert r.k == len(first) and r.mean_distance == pytest.approx(C.mean_distance(near).first()[0])
+
+
 @pytest.mark.parametrize("n", [1, 5, 1000])
 def test_far_rows_are_strictly_beyond_the_nth(spark, n):
     random.seed(n)

@@ -10,6 +10,8 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.stat import Summarizer
+from pyspark.mllib.clustering import KMeans as Rounds, KMeansModel as Centers
+from pyspark.mllib.linalg import DenseVector
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.scalars import euclidean, matrix_literal
@@ -25,9 +27,28 @@ def fit_kmeans(
     return KMeans(k=k, seed=seed, maxIter=iterations, tol=tolerance).fit(df.select("features"))
 
 
+def fit_from_centers(
+    df: DataFrame, centers: Sequence[Sequence[float]], iterations: int = 20, tolerance: float = 1e-4, values: str = "values"
+) -> list[list[float]]:
+    """The centres of a fit that begins from given ones, at most ``iterations`` rounds later.
+
+    With a ``tolerance`` of 0 it ends early only when no centre moves.  A centre that
+    no row is nearest to stays where it is.
+    """
+    rows = df.select(F.col(values).cast("array<double>")).rdd.map(lambda row: DenseVector(row[0]))
+    start = Centers([DenseVector(c) for c in centers])
+    model = Rounds.train(rows, len(centers), iterations, epsilon=tolerance, initialModel=start)
+    return [[float(v) for v in c] for c in model.clusterCenters]
+
+
 def cluster_centers(df: DataFrame, model: KMeansModel) -> DataFrame:
     """(cluster, center, json), one row per cluster."""
-    rows = [(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())]
+    return center_rows(df, model.clusterCenters())
+
+
+def center_rows(df: DataFrame, centers: Sequence[Sequence[float]]) -> DataFrame:
+    """(cluster, center, json) of given centres, in the session of ``df``."""
+    rows = [(i, [float(v) for v in c]) for i, c in enumerate(centers)]
     centers = df.sparkSession.createDataFrame(rows, "cluster INT, center ARRAY<DOUBLE>")
     return centers.withColumn("json", F.to_json(F.struct("cluster", "center")))
 
@@ -123,6 +144,19 @@ def sweep_cluster_counts(
     return df.sparkSession.createDataFrame(list(zip(counts, means)), "k INT, mean_distance DOUBLE")
 
 
+def sweep_given_centers(
+    df: DataFrame, starts: Sequence[Sequence[Sequence[float]]], iterations: int = 20, tolerance: float = 1e-4, values: str = "values"
+) -> DataFrame:
+    """(k, mean_distance) of a fit from each of the given sets of centres; all are scored in one pass."""
+    with kept(df.select(values)) as rows:
+        scored = rows
+        for i, start in enumerate(starts):
+            near = assign_to_centers(scored, fit_from_centers(rows, start, iterations, tolerance, values), values)
+            scored = near.drop("cluster").withColumnRenamed("distance", f"_d{i}")
+        means = scored.agg(*[F.avg(f"_d{i}") for i in range(len(starts))]).first()
+    return df.sparkSession.createDataFrame([(len(c), m) for c, m in zip(starts, means)], "k INT, mean_distance DOUBLE")
+
+
 def far_rows(assigned: DataFrame, n: int = 100) -> DataFrame:
     """Rows farther from their centre than the n-th largest distance.
 
