@@ -30,6 +30,7 @@ def test_next_and_edited_against_brute_force(spark):
         got = {r.doc_id: r for r in fp.with_next(awkward(spark, rows), parts=parts).collect()}
         assert len(got) == len(rows)
         single = {r.doc_id: r.fingerprint for r in fp.fingerprints(awkward(spark, rows)).collect()}
+        changed = []
         for k, (i, t) in enumerate(order):
             t, (j, n) = t or "", order[(k + 1) % len(order)]
             half = len(t) // 2
@@ -39,6 +40,18 @@ def test_next_and_edited_against_brute_force(spark):
             assert r.fingerprint == single[i] == got[i].fingerprint
             share = np.mean([r.fingerprint[x : x + 4] == got[j].fingerprint[x : x + 4] for x in range(0, len(r.fingerprint), 4)])
             assert abs(r.near_next - share) < 1e-9
+            share = np.mean([r.fingerprint[x : x + 4] == r.edited_fingerprint[x : x + 4] for x in range(0, len(r.fingerprint), 4)])
+            assert abs(r.near_edited - share) < 1e-9
+            changed.append((i, edited))
+        again = {r.doc_id: r.fingerprint for r in fp.fingerprints(awkward(spark, changed)).collect()}
+        assert again == {i: r.edited_fingerprint for i, r in got.items()}
+
+
+def test_parts_grow_with_the_text(spark):
+    docs = awkward(spark, [(k, "ten bytes." * 10) for k in range(200)])
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert fp.parts_for(docs, "text") == least == fp.parts_for(empty(spark), "text")
+    assert fp.parts_for(docs, "text", 1000) == max(20, least)
 
 
 def test_likeness_and_equal_texts(spark):

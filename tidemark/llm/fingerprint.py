@@ -6,8 +6,9 @@ first and after the last word), weighted by their counts.  Its fingerprint is
 estimates the generalised Jaccard similarity of the weighted terms.
 
 Defined cases: a null text is empty, and the empty text has a fingerprint like
-any other; repeated rows each have theirs; rows with a null id come first;
-equal ids are ordered by text; a column with the name of a result is replaced by it.
+any other; a long text is hashed whole, in a block of its own; repeated rows each
+have theirs; rows with a null id come first; equal ids are ordered by text; no
+documents give no rows; a column with the name of a result is replaced by it.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from tidemark.llm.blocks import BLOCK_BYTES, WORD_BYTES, Block, blocks, make_roo
 from tidemark.llm.sampling import Sampler, count_terms
 
 SAMPLES = 128
+#: Bytes of text that one part of the ordered documents holds, on average.
+PART_BYTES = 128 << 20
 _BEGIN, _END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 
@@ -93,6 +96,12 @@ def _in_order(docs: DataFrame, doc_id: str, text: str, parts: int) -> DataFrame:
     return spread.sortWithinPartitions("part", "guest", F.asc_nulls_first("doc_id"), "text")
 
 
+def parts_for(docs: DataFrame, text: str, part_bytes: int = PART_BYTES) -> int:
+    """As many parts as the texts need, and no fewer than the session shuffles into."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text).cast("string"))).alias("size")).first()["size"] or 0
+    return max(-(-size // part_bytes), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", samples: int = SAMPLES, parts: int | None = None) -> DataFrame:
     """Per document its fingerprint, that of its edited text, and its likeness to that and to the next document.
 
@@ -100,8 +109,7 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sampl
     replaced by the first as many (or all) of the next document by id; after the
     last comes the first.  Whole texts are shuffled once, by ranges of ids.
     """
-    spark = docs.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts or parts_for(docs, text)
     ordered = _in_order(docs, doc_id, text, parts)
     schema = (
         "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
