@@ -10,7 +10,7 @@ A-Z is lower-cased.
 
 Defined cases: a null or empty text has no words and no hits; repeated rows are
 judged each on their own; null item texts have no windows; a null item id counts
-as the id ''; with no items nothing is hit.  Other columns pass through
+as the id ''; with no items nothing is hit; no documents give no rows.  Other columns pass through
 unread; one with the name of a result is replaced by it.
 """
 

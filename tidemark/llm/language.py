@@ -10,7 +10,9 @@ directional derivative, so most documents need no iterations.
 Defined cases: a null text, an empty text and a text without a letter are
 ``und`` with score 0, and so is everything if no training row has a language;
 rows with a null language teach nothing; repeated rows are counted and predicted
-each on their own; a column with the name of a result is replaced by it.  Ties go to the language that sorts first.
+each on their own; a long text is a block of its own; no documents give no rows; a
+column with the name of a result is replaced by it.  Ties go to the language that
+sorts first.
 """
 
 from __future__ import annotations

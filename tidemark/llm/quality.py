@@ -9,7 +9,8 @@ of its lines' forward-backward marginals for "good".
 Defined cases: a null or empty text is one empty line; rows with a null label or
 a null id teach nothing; with no labelled rows, or only one
 class, every score is the share of good labels (0.5 without any); repeated rows
-are scored each on their own; a column with the name of a result is replaced by it.
+are scored each on their own; a long text is a block of its own; no documents give no
+rows; a column with the name of a result is replaced by it.
 """
 
 from __future__ import annotations

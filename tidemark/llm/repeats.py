@@ -20,7 +20,7 @@ Windows are only compared within one anchor's rank, so a false match needs two
 
 Defined cases: null and empty texts have 0 bytes and nothing removed; of
 repeated rows (equal texts of at least ``LENGTH`` bytes) every byte is removed
-from each; texts shorter than ``LENGTH`` keep all.
+from each; texts shorter than ``LENGTH`` keep all; no documents give no rows.
 """
 
 from __future__ import annotations
