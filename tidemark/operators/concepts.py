@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.scratch import checkpointed
 from .ranking import top_per_group
 from .reshaping import explode_array
-from .sparse_rows import as_doubles, matrix_of, matrix_rows, r_factor, sketched, times_frame, times_table, transposed_times, turned
+from .sparse_rows import as_doubles, gram_times, matrix_of, matrix_rows, r_factor, sketched, times_frame, times_table, transposed_times, turned
 from .terms import term_frequency, tfidf
 
 # Bytes of a table of all columns that may go to the driver and to every task.
@@ -87,7 +87,7 @@ def gramian_entries(rows: DataFrame, terms: int | None = None, key: str = "doc_i
     """(i, j, value) of A'A for i <= j; sums of each row's products, added up per i in tasks and then by Spark."""
     rows = _as_rows(rows, key, column)
     terms = terms or column_count(rows)
-    sums = transposed_times(times_table(rows, key, np.eye(terms)))
+    sums = gram_times(rows, np.eye(terms))
     filled = _numbers(rows.sparkSession, terms).join(sums, "term_id", "left")
     values = filled.select(F.col("term_id").cast("int").alias("i"), F.coalesce("vector", F.lit(np.zeros(terms).tobytes())).alias("vector"))
     cells = explode_array(values.select("i", as_doubles("vector").alias("_v")), "_v", "j", "value", "i")
@@ -180,7 +180,7 @@ def _stands(values: np.ndarray, before: np.ndarray | None, k: int, tolerance: fl
     return bool(np.abs(values[:k] - before[:k]).max(initial=0) <= tolerance * values.max(initial=0))
 
 
-def _leading_basis(rows, k, key, terms, width, passes, tolerance) -> np.ndarray:
+def _leading_basis(rows, k, terms, width, passes, tolerance) -> np.ndarray:
     """Orthogonal columns that span the leading right singular vectors.
 
     Each pass multiplies the newest columns by A'A; the values are those of A'A
@@ -190,7 +190,7 @@ def _leading_basis(rows, k, key, terms, width, passes, tolerance) -> np.ndarray:
     basis = image = np.zeros((terms, 0))
     before = None
     for _ in range(passes):
-        image = np.concatenate([image, _table_of(transposed_times(times_table(rows, key, new)), terms)], axis=1)
+        image = np.concatenate([image, _table_of(gram_times(rows, new), terms)], axis=1)
         basis = np.concatenate([basis, new], axis=1)
         squares, turn = np.linalg.eigh(basis.T @ image)
         best = turn[:, ::-1][:, :width]
@@ -209,8 +209,8 @@ def _leading_basis(rows, k, key, terms, width, passes, tolerance) -> np.ndarray:
 
 
 def _svd_by_table(rows, k, key, r_cond, terms, width, passes, tolerance) -> Decomposition:
-    basis = np.eye(terms) if width >= terms else _leading_basis(rows, k, key, terms, width, passes, tolerance)
-    r = r_factor(times_table(rows, key, basis))
+    basis = np.eye(terms) if width >= terms else _leading_basis(rows, k, terms, width, passes, tolerance)
+    r = r_factor(rows, table=basis)
     _, sigma, turn = np.linalg.svd(r if len(r) else np.zeros((1, basis.shape[1])), full_matrices=False)
     kept = (sigma > r_cond * sigma.max(initial=0))[:k]
     sigma = sigma[:k][kept]

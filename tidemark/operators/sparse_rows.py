@@ -22,8 +22,8 @@ BLOCK_CELLS = 1 << 20
 HELD_BYTES = 64 << 20
 # Bytes of the dense vectors of one block of columns.
 COLUMN_BLOCK_BYTES = 16 << 20
-# Tasks that share the rows of one block of columns.
-SALTS = 8
+# Bytes of cells that a task makes at a time.
+CELL_BYTES = 8 << 20
 
 
 def matrix_rows(vectors: DataFrame, key: str, column: str) -> DataFrame:
@@ -53,8 +53,16 @@ def as_packed(column: str) -> Column:
 
 
 def matrix_of(packed: pa.Array) -> np.ndarray:
-    data = b"".join(packed.to_pylist())
-    return np.frombuffer(data, np.float64).reshape(len(packed), -1) if len(packed) else np.zeros((0, 0))
+    """The dense vectors of a binary column, a row each; not copied."""
+    if not len(packed):
+        return np.zeros((0, 0))
+    if packed.type != pa.binary():
+        packed = packed.cast(pa.binary())
+    _, ends, data = packed.buffers()
+    ends = np.frombuffer(ends, np.int32, len(packed) + 1, 4 * packed.offset)
+    if ends[0] == ends[-1]:
+        return np.zeros((len(packed), 0))
+    return np.frombuffer(data, np.float64, (int(ends[-1]) - int(ends[0])) // 8, int(ends[0])).reshape(len(packed), -1)
 
 
 def packed_rows(matrix: np.ndarray) -> pa.Array:
@@ -142,31 +150,50 @@ def summed(partial: DataFrame, key: str) -> DataFrame:
     return placed.mapInArrow(add, f"{key} {kind}, vector binary")
 
 
-def r_factor(rows: DataFrame, column: str = "vector") -> np.ndarray:
-    """R of the QR factorisation of a tall matrix of dense rows; as many columns squared, on the driver."""
+def _r_of_parts(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """R of the rows of all parts, of which a task holds few."""
+    held, size = [], 0
+    for part in parts:
+        if len(part):
+            held.append(part)
+            size += len(part)
+            if size > 2 * part.shape[1] + 4096:
+                held = [_reduced(held)]
+                size = len(held[0])
+    if held:
+        yield pa.RecordBatch.from_arrays([packed_rows(_reduced(held))], ["r"])
 
-    def reduced(held: list[np.ndarray]) -> np.ndarray:
-        whole = np.concatenate(held)
-        return np.linalg.qr(whole, mode="r") if len(whole) > whole.shape[1] else whole
+
+def _reduced(held: list[np.ndarray]) -> np.ndarray:
+    whole = np.concatenate(held)
+    return np.linalg.qr(whole, mode="r") if len(whole) > whole.shape[1] else whole
+
+
+def _products(batch: pa.RecordBatch, terms: int, weights: int, table: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(start, stop, product): the rows of a batch times a table, a block at a time."""
+    for start, stop, own, block in dense_blocks(batch.column(terms), batch.column(weights)):
+        yield start, stop, block @ table[own]
+
+
+def r_factor(rows: DataFrame, column: str = "vector", table: np.ndarray | None = None) -> np.ndarray:
+    """R of the QR factorisation of a tall matrix of dense rows; as many columns squared, on the driver.
+
+    With a ``table``, of a checked size, the matrix is that of ``times_table``, which is made a
+    block at a time and never leaves its task.
+    """
+    shared = None if table is None else rows.sparkSession.sparkContext.broadcast(table)
 
     def factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            part = matrix_of(batch.column(0))
-            if len(part):
-                held.append(part)
-                size += len(part)
-                if size > 4 * part.shape[1] + 4096:
-                    held = [reduced(held)]
-                    size = len(held[0])
-        if held:
-            yield pa.RecordBatch.from_arrays([packed_rows(reduced(held))], ["r"])
-
-    partial = rows.select(column).mapInArrow(factor, "r binary")
+        yield from _r_of_parts(matrix_of(batch.column(0)) for batch in batches)
+
+    def product_factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _r_of_parts(product for batch in batches for _, _, product in _products(batch, 0, 1, shared.value))
+
+    partial = rows.select(column).mapInArrow(factor, "r binary") if table is None else rows.select("terms", "weights").mapInArrow(product_factor, "r binary")
     tasks = rows.sparkSession.sparkContext.defaultParallelism
     partial = partial.repartition(max(1, tasks // 4)).mapInArrow(factor, "r binary")
     found = matrix_of(partial.toArrow().column(0).combine_chunks())
-    return reduced([found]) if len(found) else found
+    return _reduced([found]) if len(found) else found
 
 
 def times_table(rows: DataFrame, key: str, table: np.ndarray) -> DataFrame:
@@ -177,17 +204,38 @@ def times_table(rows: DataFrame, key: str, table: np.ndarray) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(table)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_column = shared.value
         for batch in batches:
-            out = np.zeros((batch.num_rows, by_column.shape[1]))
-            for start, stop, own, block in dense_blocks(batch.column(1), batch.column(2)):
-                out[start:stop] = block @ by_column[own]
-            yield pa.RecordBatch.from_arrays([*batch.columns, packed_rows(out)], [key, "terms", "weights", "vector"])
+            for start, stop, product in _products(batch, 1, 2, shared.value):
+                own = batch.slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([*own.columns, packed_rows(product)], [key, "terms", "weights", "vector"])
 
     kind = dict(rows.dtypes)[key]
     return rows.select(key, "terms", "weights").mapInArrow(task, f"{key} {kind}, terms array<bigint>, weights array<double>, vector binary")
 
 
+def gram_times(rows: DataFrame, table: np.ndarray) -> DataFrame:
+    """(term_id, vector): A'A times a table of all columns, of a checked size.
+
+    The rows' products with the table are used a block at a time and never leave their task.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = Sums(shared.value.shape[1])
+        for batch in batches:
+            for _, _, own, block in dense_blocks(batch.column(0), batch.column(1)):
+                if len(own):
+                    yield from sums.add(own, block.T @ (block @ shared.value[own]))
+        yield from sums.empty()
+
+    return summed(rows.select("terms", "weights").mapInArrow(task, "term_id bigint, vector binary"), "term_id")
+
+
+def _salts(rows: DataFrame, blocks: int) -> int:
+    """Tasks that share the rows of one block of columns: one, unless blocks are fewer than cores."""
+    return max(1, -(-rows.sparkSession.sparkContext.defaultParallelism // blocks))
+
+
 def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int) -> DataFrame:
     """The same for vectors (term_id, vector) of any number: a join by blocks of columns.
 
@@ -198,12 +246,13 @@ def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int) -> Da
     blocks = F.pmod(F.xxhash64("term_id"), F.lit(1 << 40))
     count = vectors.count()
     number = max(1, -(-count * width * 8 // COLUMN_BLOCK_BYTES))
+    salts = _salts(rows, number)
     kind = dict(rows.dtypes)[key]
     entries = rows.select(key, F.arrays_zip("terms", "weights").alias("_e")).select(key, F.explode("_e").alias("_e"))
     entries = entries.select(key, F.col("_e.terms").alias("term_id"), F.col("_e.weights").alias("weight"))
-    entries = entries.withColumn("block", (blocks % number).cast("int")).withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
+    entries = entries.withColumn("block", (blocks % number).cast("int")).withColumn("salt", F.pmod(F.xxhash64(key), F.lit(salts)).cast("int"))
     entries = entries.select("block", "salt", F.lit(1).alias("kind"), key, "term_id", "weight", F.lit(None).cast("binary").alias("vector"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     tables = vectors.select((blocks % number).cast("int").alias("block"), every.alias("salt"), "term_id", "vector")
     tables = tables.select("block", "salt", F.lit(0).alias("kind"), F.lit(None).cast(kind).alias(key), "term_id", F.lit(0.0).alias("weight"), "vector")
     placed = entries.unionByName(tables).repartition("block", "salt").sortWithinPartitions("block", "salt", "kind", key, "term_id")
@@ -211,7 +260,7 @@ def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int) -> Da
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, parts, numbers, table, columns = None, [], [], None, None
         for batch in batches:
-            where = batch.column(0).to_numpy() * SALTS + batch.column(1).to_numpy()
+            where = batch.column(0).to_numpy() * salts + batch.column(1).to_numpy()
             cut = np.flatnonzero(np.diff(where * 2 + batch.column(2).to_numpy())) + 1
             for a, b in zip([0, *cut], [*cut, len(where)], strict=True):
                 part = batch.slice(a, b - a)
