@@ -11,6 +11,7 @@ from tidemark.operators.concepts import (
     gramian_entries,
     heaviest_documents,
     project,
+    rebuilt,
     top_documents,
     top_terms,
     truncated_svd,
@@ -252,10 +253,7 @@ def svd_rebuild(spark, folder):
 def svd_rebuild_rows(spark, folder, method="auto"):
     """The vectors put together again from U, the singular values and V."""
     svd = truncated_svd(_vectors(spark, folder), 64, "vec_id", method=method)
-    u = svd.document_weights().join(svd.singular_values(spark), "concept")
-    v = svd.term_weights().select("concept", "term_id", F.col("weight").alias("_v"))
-    value = F.sum(F.col("weight") * F.col("sigma") * F.col("_v")).alias("value")
-    return rounded(u.join(v, "concept").groupBy("vec_id", "term_id").agg(value), "value", places=4)
+    return rounded(rebuilt(svd, method), "value", places=4)
 
 
 def svd_rebuild_blocks(spark, folder):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.scratch import checkpointed
 from .ranking import top_per_group
 from .reshaping import explode_array
-from .sparse_rows import as_doubles, gram_times, matrix_of, matrix_rows, r_factor, sketched, times_frame, times_table, transposed_times, turned
+from .sparse_rows import as_doubles, cells, gram_times, matrix_of, matrix_rows, r_factor, sketched, summed, times_frame, times_table, transposed_times, turned
 from .terms import term_frequency, tfidf
 
 # Bytes of a table of all columns that may go to the driver and to every task.
@@ -225,8 +225,8 @@ def _svd_by_blocks(rows, k, key, r_cond, width, passes, tolerance) -> Decomposit
     for last in range(passes, 0, -1):
         _, size, turn = np.linalg.svd(r_factor(image), full_matrices=False)
         some = size > 1e-12 * size.max(initial=0)
-        basis = checkpointed(turned(image, "vector", turn[some].T / size[some], ["term_id"]))
-        product = checkpointed(times_frame(rows, key, basis, int(some.sum())))
+        basis = turned(image, "vector", turn[some].T / size[some], ["term_id"])
+        product = checkpointed(times_frame(rows, key, basis, int(some.sum()), image.count()))
         _, sigma, turn = np.linalg.svd(r_factor(product), full_matrices=False)
         if last == 1 or _stands(sigma, before, k, tolerance) or int(some.sum()) < width:
             break
@@ -257,6 +257,19 @@ def project(rows: DataFrame, terms: DataFrame, sigma: np.ndarray, key: str = "do
     return turned(product, "vector", np.diag(1 / np.asarray(sigma)), [key])
 
 
+def rebuilt(svd: Decomposition, method: str = "auto") -> DataFrame:
+    """(key, term_id, value): all cells of U S V'; rows of equal keys add up.
+
+    V goes to the tasks only if it was measured to have at most ``TABLE_BYTES``
+    (``method`` table), else rows meet it in blocks (blocks).
+    """
+    width = len(svd.sigma)
+    if method == "auto":
+        method = "table" if svd.terms.count() * width * 8 <= TABLE_BYTES else "blocks"
+    rows = turned(svd.documents, "vector", np.diag(svd.sigma), [svd.key])
+    return cells(summed(rows, svd.key), svd.key, svd.terms, width, method == "table")
+
+
 def heaviest_documents(documents: DataFrame, n: int, key: str = "doc_id") -> DataFrame:
     """The entries of (key, vector) that can be among the top ``n`` of their concept.
 

@@ -236,15 +236,15 @@ def _salts(rows: DataFrame, blocks: int) -> int:
     return max(1, -(-rows.sparkSession.sparkContext.defaultParallelism // blocks))
 
 
-def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int) -> DataFrame:
-    """The same for vectors (term_id, vector) of any number: a join by blocks of columns.
+def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int, count: int | None = None) -> DataFrame:
+    """The same for ``count`` vectors (term_id, vector), any number: a join by blocks of columns.
 
     Rows are cut by block; a block's vectors come first in their task and its
     pieces of rows follow, so a task holds one block.  The partial sums then
     meet at their rows.
     """
     blocks = F.pmod(F.xxhash64("term_id"), F.lit(1 << 40))
-    count = vectors.count()
+    count = vectors.count() if count is None else count
     number = max(1, -(-count * width * 8 // COLUMN_BLOCK_BYTES))
     salts = _salts(rows, number)
     kind = dict(rows.dtypes)[key]
@@ -342,3 +342,65 @@ def sketched(rows: DataFrame, width: int, per_column: int = 8) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, packed_rows(out)], ["terms", "weights", "vector"])
 
     return rows.select("terms", "weights").mapInArrow(task, "terms array<bigint>, weights array<double>, vector binary")
+
+
+def _cells_of(keys: pa.Array, left: np.ndarray, numbers: np.ndarray, right: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:
+    """(key, term_id, value) of left times right', about ``CELL_BYTES`` of values at a time."""
+    if not len(numbers) or not right.shape[1]:
+        return
+    step = max(1, CELL_BYTES // (8 * len(numbers)))
+    for low in range(0, len(left), step):
+        values = left[low : low + step] @ right.T
+        own = pa.array(np.repeat(np.arange(low, low + len(values)), len(numbers)))
+        yield pa.RecordBatch.from_arrays([keys.take(own), pa.array(np.tile(numbers, len(values))), pa.array(values.ravel())], [key, "term_id", "value"])
+
+
+def cells(rows: DataFrame, key: str, vectors: DataFrame, width: int, table: bool) -> DataFrame:
+    """(key, term_id, value): the product of each row's vector (key, vector) with that of each column (term_id, vector).
+
+    As a ``table``, of a checked size, the columns' vectors go to the tasks.  Else rows meet
+    blocks of them: a block comes first in its task and rows follow, so a task holds one block.
+    """
+    kind = dict(rows.dtypes)[key]
+    schema = f"{key} {kind}, term_id bigint, value double"
+    if table:
+        found = vectors.select("term_id", "vector").toArrow()
+        numbers = found.column("term_id").to_numpy()
+        shared = rows.sparkSession.sparkContext.broadcast((numbers, matrix_of(found.column("vector").combine_chunks()).copy()))
+
+        def by_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows:
+                    yield from _cells_of(batch.column(0), matrix_of(batch.column(1)), *shared.value, key)
+
+        return rows.select(key, "vector").mapInArrow(by_table, schema)
+
+    number = max(1, -(-vectors.count() * width * 8 // COLUMN_BLOCK_BYTES))
+    salts = max(_salts(rows, number), rows.count() * width * 8 // HELD_BYTES)
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    own_block = F.pmod(F.xxhash64("term_id"), F.lit(number)).cast("int")
+    right = vectors.select(own_block.alias("block"), every.alias("salt"), F.lit(0).alias("kind"), F.lit(None).cast(kind).alias(key), "term_id", "vector")
+    salt = F.pmod(F.xxhash64(key), F.lit(salts)).cast("int").alias("salt")
+    left = rows.select(F.explode(F.sequence(F.lit(0), F.lit(number - 1))).alias("block"), salt, F.lit(1).alias("kind"), key, F.lit(None).cast("bigint").alias("term_id"), "vector")
+    placed = left.unionByName(right).repartition("block", "salt").sortWithinPartitions("block", "salt", "kind")
+
+    def by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, numbers, parts = None, [], []
+        for batch in batches:
+            where = batch.column(0).to_numpy().astype(np.int64) * salts + batch.column(1).to_numpy()
+            cut = np.flatnonzero(np.diff(where * 2 + batch.column(2).to_numpy())) + 1
+            for a, b in zip([0, *cut], [*cut, len(where)], strict=True):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if where[a] != place:
+                    place, numbers, parts = where[a], [], []
+                if part.column(2)[0].as_py() == 0:
+                    numbers.append(part.column(4).to_numpy())
+                    parts.append(matrix_of(part.column(5)).copy())
+                elif parts:
+                    if len(parts) > 1:
+                        numbers, parts = [np.concatenate(numbers)], [np.concatenate(parts)]
+                    yield from _cells_of(part.column(3), matrix_of(part.column(5)), numbers[0], parts[0], key)
+
+    return placed.mapInArrow(by_block, schema)
