@@ -7,17 +7,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions.stopwords import STOP_WORDS
 from tidemark.functions.vectors import to_vector
 from tidemark.operators.concepts import (
+    document_entries,
     document_rows,
     gramian_entries,
     heaviest_documents,
     project,
     rebuilt,
+    rows_of_entries,
     top_documents,
     top_terms,
     truncated_svd,
 )
 from tidemark.operators.sparse_rows import as_doubles, as_packed, matrix_rows, transposed_times
-from tidemark.operators.lookups import exclude_terms, lookup_join
+from tidemark.operators.lookups import exclude_terms
 from tidemark.operators.partition_map import map_with_setup
 from tidemark.operators.profiling import distinct_count
 from tidemark.operators.terms import (
@@ -388,30 +390,33 @@ LANGUAGES = ["de", "en", "es", "fr"]
 
 
 def _language_concepts(spark: SparkSession, folder: str):
-    """A given V: one concept per language, its mean weight per term."""
+    """A given V: one concept per language, its mean weight per term; and the entries of each document, kept.
+
+    A document's language meets its entries as one row.
+    """
     docs = _tokens(spark, folder, "lang")
-    tf = term_frequency(docs)
-    vocab = vocabulary(document_terms(docs), NUM_TERMS)
-    languages = documents(spark, folder, "lang").select("doc_id", "lang")
-    weights = lookup_join(tfidf(tf, vocab, max_terms=NUM_TERMS), languages, "doc_id", salt_by=["term_id"])
+    vocab = checkpointed(vocabulary(document_terms(docs), NUM_TERMS))
+    listed = checkpointed(document_entries(docs, vocab, max_terms=NUM_TERMS))
+    languages = load_table(spark, folder, "documents").select("doc_id", "lang")
     concept = F.array_position(F.array(*[F.lit(x) for x in LANGUAGES]), F.col("lang")) - 1
-    sums = weights.groupBy(concept.cast("int").alias("concept"), "term_id").agg(F.sum("weight").alias("weight"))
-    return docs, vocab, sums.filter("concept >= 0")
+    weights = listed.join(languages, "doc_id").select(concept.cast("int").alias("concept"), F.explode("_e").alias("_e"))
+    sums = weights.groupBy("concept", F.col("_e.term_id").alias("term_id")).agg(F.sum("_e.weight").alias("weight"))
+    return docs, vocab, listed, sums.filter("concept >= 0")
 
 
 def given_top_terms(spark, folder):
     """The ten heaviest terms of each language."""
-    _, vocab, v = _language_concepts(spark, folder)
+    _, vocab, _, v = _language_concepts(spark, folder)
     return rounded(top_terms(v, vocab, 10), "weight", places=5)
 
 
 def given_top_docs(spark, folder, method="auto"):
     """The ten documents that weigh most in each language's direction."""
-    docs, vocab, sums = _language_concepts(spark, folder)
+    docs, _, listed, sums = _language_concepts(spark, folder)
     weight = [F.sum(F.when(F.col("concept") == c, F.col("weight")).otherwise(0.0)) for c in range(len(LANGUAGES))]
     terms = checkpointed(sums.groupBy("term_id").agg(F.array(*weight).alias("w")).select("term_id", "w", as_packed("w").alias("vector")))
     sigma = terms.select(*[F.sqrt(F.sum(F.pow(F.col("w")[c], F.lit(2)))) for c in range(len(LANGUAGES))]).first()
-    rows = document_rows(docs, vocab, max_terms=NUM_TERMS)
+    rows = rows_of_entries(load_table(spark, folder, "documents").select("doc_id"), listed)
     weights = heaviest_documents(project(rows, terms.drop("w"), list(sigma), method=method), 10)
     best = top_documents(weights, docs, 10, title="lang")
     return rounded(best.select("concept", "rank", "weight"), "weight", places=5)

@@ -12,10 +12,13 @@ from tidemark.operators import terms as T
 from tidemark.operators import sparse_rows
 from tidemark.operators.reshaping import term_map
 from tidemark.operators.concepts import (
+    document_entries,
     document_rows,
     gramian_entries,
     heaviest_documents,
     project,
+    rebuilt,
+    rows_of_entries,
     top_documents,
     top_terms,
     truncated_svd,
@@ -297,3 +300,39 @@ def test_article_pages(spark):
     ]
     got = T.article_pages(spark.createDataFrame(rows, schema)).collect()
     assert [(r.title, r.content) for r in got] == [("Good", "Hi there")]
+
+
+@pytest.mark.parametrize("method", ["table", "blocks"])
+def test_rebuilt_cells(spark, method):
+    """Rows that share a key add up, and V meets rows without a join."""
+    rows, full = random_rows(spark, 40, 12)
+    rows = checkpointed(rows.unionByName(rows) if method == "table" else rows)
+    svd = truncated_svd(rows, 12, method=method)
+    found = rebuilt(svd, method)
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+    cells = {(r.doc_id, r.term_id): r.value for r in found.collect()}
+    assert len(cells) == full.size
+    for (i, j), value in cells.items():
+        assert value == pytest.approx(full[i, j] * (2 if method == "table" else 1), abs=1e-6)
+
+
+def test_gramian_product_stays_in_its_task(spark):
+    """A'A times a table without the rows' products between two Python steps."""
+    rows, full = random_rows(spark, 60, 20)
+    table = np.random.default_rng(1).standard_normal((20, 3))
+    found = sparse_rows.gram_times(rows, table)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 2
+    expected = full.T @ full @ table
+    for r in found.collect():
+        np.testing.assert_allclose(np.frombuffer(r.vector), expected[r.term_id], atol=1e-8)
+    np.testing.assert_allclose(np.abs(np.diag(sparse_rows.r_factor(rows, table=table))), np.abs(np.diag(np.linalg.qr(full @ table, mode="r"))), atol=1e-8)
+
+
+def test_entries_per_key_make_the_rows(docs):
+    """Entries are listed once and serve rows of documents, also where a key repeats."""
+    tokens = T.document_tokens(docs.unionByName(docs.filter("doc_id = 2")))
+    vocab = checkpointed(T.vocabulary(T.term_frequency(tokens), 6))
+    listed = document_entries(tokens, vocab)
+    assert listed.count() == listed.select("doc_id").distinct().count()
+    one, other = rows_of_entries(tokens, listed), document_rows(tokens, vocab)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))

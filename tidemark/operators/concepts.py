@@ -66,8 +66,17 @@ def document_rows(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", min_to
     vocabulary may be of any size.  Documents with too few tokens, or without a
     term of the vocabulary, have empty rows.
     """
+    return rows_of_entries(docs, document_entries(docs, vocab, key, min_tokens, max_terms), key)
+
+
+def document_entries(docs: DataFrame, vocab: DataFrame, key: str = "doc_id", min_tokens: int = 2, max_terms: int | None = None) -> DataFrame:
+    """(key, _e): the TF-IDF entries (term_id, weight) of every key that has some, one row a key."""
     entries = tfidf(term_frequency(docs, key, min_tokens), vocab, key, max_terms)
-    listed = entries.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("_e"))
+    return entries.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("term_id", "weight"))).alias("_e"))
+
+
+def rows_of_entries(docs: DataFrame, listed: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, terms, weights) of each document, of entries per key."""
     both = docs.select(key).join(listed, key, "left")
     terms = F.coalesce(F.col("_e.term_id"), F.array().cast("array<bigint>"))
     weights = F.coalesce(F.col("_e.weight"), F.array().cast("array<double>"))
