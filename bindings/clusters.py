@@ -30,6 +30,8 @@ from .classes import NEAREST
 from .common import embeddings, rounded
 
 COUNTS = (5, 10, 15, 20, 25, 30, 35, 40)
+#: Events of a task: their records and vectors, kept, are some hundred bytes each.
+EVENTS_PER_TASK = 500_000
 #: Rounds that SQL can follow.
 ROUNDS = 3
 
@@ -41,7 +43,7 @@ def connection_lines(spark: SparkSession, folder: str, where: Column | None = No
         F.concat(F.lit("user"), F.col("user_id").cast("string")), F.col("user_id").cast("string"),
         F.get_json_object("props", "$.k"), F.col("event_type"),
     ]
-    events = spread_small_scan(load_table(spark, folder, "events"), "event_id")
+    events = spread_small_scan(load_table(spark, folder, "events"), "event_id", rows=EVENTS_PER_TASK)
     events = events if where is None else events.filter(where)
     return events.select(F.concat_ws(",", *fields).alias("value"))
 

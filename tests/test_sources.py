@@ -94,3 +94,11 @@ def test_kept_leaves_a_persisted_frame_alone(spark):
     with kept(spark.range(8)) as other:
         assert other.storageLevel.useMemory
     assert not other.storageLevel.useMemory
+
+
+def test_narrow_rows_are_dealt_by_their_number(spark, tmp_path):
+    path = str(tmp_path / "events.parquet")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert spread_small_scan(spark.read.parquet(path), "id", rows=1000).rdd.getNumPartitions() == cores
+    assert spread_small_scan(spark.read.parquet(path), "id", rows=20).rdd.getNumPartitions() == max(cores, 50)
