@@ -293,3 +293,49 @@ def test_linkage_report(spark):
     assert {r.idx: r.missing for r in report.contrast.collect()}[1] == 6
     assert {r.idx: r.mean_difference for r in report.contrast.collect()}[8] == 1.0
     assert report.match_stats.count() == report.non_match_stats.count() == report.all_stats.count() == 9
+
+
+def test_part_lines_use_all_cores(spark, tmp_path):
+    from bindings.classes import part_lines
+
+    rows = [(k, k % 50 + 1, 900.0, "PROMO", "Brand#11") for k in range(100)]
+    parts = spark.createDataFrame(rows, "p_partkey bigint, p_size int, p_retailprice double, p_type string, p_brand string")
+    parts.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    lines = part_lines(spark, str(tmp_path))
+    assert lines.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and lines.count() == 100
+
+
+def test_tree_fits_read_their_rows_once(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.trees import labelled_vectors
+    from tidemark.plans.classification import tree_report
+
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(k):
+        read.add(1)
+        return float(k % 2)
+
+    table = spark.range(200).select("id", counted("id").alias("label"), F.array(F.col("id").cast("double")).alias("values"))
+    tree_report(labelled_vectors(table, 1, keep=["id"]), "id", final={"impurity": "entropy", "depth": 3, "bins": 10})
+    assert read.value == 200
+
+
+def test_unseen_items_make_the_ratings_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from bindings import ratings as queries
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(k):
+        made.add(1)
+        return k // 10
+
+    pairs = spark.range(100).select(counted("id").alias("user"), (F.col("id") % 10).cast("int").alias("item"), F.lit(1.0).cast("float").alias("rating"))
+    monkeypatch.setattr(queries, "ratings", lambda spark, folder: pairs.filter("user * 7 % 10 != item"))
+    queries.als_unseen(spark, "").collect()
+    assert made.value <= 200

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from ..operators.evaluation import accuracy, class_metrics, confusion_cells, random_guess_accuracy
 from ..operators.sampling import key_split
 from ..operators.trees import fit_tree, predict
+from ..sources.caching import kept
 
 
 @dataclass(frozen=True)
@@ -31,13 +32,15 @@ def tree_report(
 ) -> TreeReport:
     """Fit on 80 %, measure on 10 %, then fit on 90 % and measure on the rest.
 
+    The rows are kept in memory or on disk while the fits run.
     ``rows`` has (label, features) and a ``key`` that decides the split.
     """
     first = first or {"impurity": "gini", "depth": 4, "bins": 100}
     final = final or {"impurity": "entropy", "depth": 20, "bins": 300}
     train, held_out, test = key_split(rows, key)
-    early = fit_tree(train, **first)
-    late = fit_tree(train.unionByName(held_out), **final)
+    with kept(rows):
+        early = fit_tree(train, **first)
+        late = fit_tree(train.unionByName(held_out), **final)
     checked = predict(early, held_out)
     return TreeReport(
         first=early,
