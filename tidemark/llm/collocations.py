@@ -40,7 +40,7 @@ SCALE = 1_000_000
 TOP = 2000
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 #: Pointers that a task collects before it sends them, and pointers of a bucket at most, about.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BUCKET = 1 << 20
 #: A pair with so large a share (1 / HOT) of all pointers is dealt by three words.
 HOT = 1000
@@ -154,8 +154,9 @@ def _chunks_of(batches: Iterator[pa.RecordBatch], seed: int, spell: bool = False
             held.append(names)
             size += len(names)
             if size >= CHUNK:
-                yield np.concatenate(held), spelled
-                held, size, spelled = [], 0, {}
+                whole, held, size = np.concatenate(held), [], 0
+                yield whole, spelled
+                whole, spelled = None, {}
     if size:
         yield np.concatenate(held), spelled
 
