@@ -153,3 +153,33 @@ def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)]
     found = {r["node"]: r["class"] for r in nc.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert set(found[k] for k in range(41)) == {0} and set(found[k] for k in range(100, 130)) == {100}
+
+
+def test_pairs_compared_in_a_crowd_grow_like_its_texts(spark, monkeypatch):
+    monkeypatch.setattr(nc, "FEW_PAIRS", 64)
+    seen = []
+    real = nc.verify
+    monkeypatch.setattr(nc, "verify", lambda pairs, *more: (seen.append(pairs.count()), real(pairs, *more))[1])
+    for size in (200, 400):
+        seen.clear()
+        rows = list(enumerate(variants(random.Random(size), size, most=0.15)))
+        docs = awkward(spark, rows)
+        steps = nc.idf_steps(nc.document_frequencies(docs, "text"), len(rows))
+        want = exact(rows, steps)
+        assert by_id(nc.classes(docs)) == want and 1 < len(set(want.values())) < size / 2
+        assert sum(seen) < 5 * size, seen
+
+
+def test_bits_leave_out_no_near_pair(spark):
+    draw = random.Random(11)
+    texts = variants(draw, 60, most=0.4) + ["one two three", "one two three", "solo"]
+    texts += variants(draw, 12, words=2000, most=0.2)  # more shingles than bits
+    docs = awkward(spark, list(enumerate(texts)))
+    steps = nc.idf_steps(nc.document_frequencies(docs, "text"), len(texts))
+    shared = docs.sparkSession.sparkContext.broadcast(steps)
+    rows = nc.signatures(docs.withColumn("raw", nc.text_bytes("text")), "raw", shared, ["doc_id"]).select("doc_id", "total", "bits")
+    both = rows.toDF("a", "x", "p").crossJoin(rows.toDF("b", "y", "q")).filter("a < b")
+    maybe = {(r.a, r.b) for r in both.filter(nc.may_be_near(both.x, both.p, both.y, both.q)).collect()}
+    near = {(i, j) for j in range(len(texts)) for i in range(j) if len(set(exact([(0, texts[i]), (1, texts[j])], steps).values())) == 1}
+    assert near <= maybe and 20 < len(near)
+    assert len(maybe) < 0.7 * both.count()

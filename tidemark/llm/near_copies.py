@@ -10,7 +10,7 @@ similarity of at least ``SIMILAR`` are linked.  Classes are connected components
 
 Texts of equal shingles are one node from the start.  Any two nodes that share a
 band's bucket are compared, unless they are in one class already or cannot be near
-by their weights.  In a bucket of more than ``CROWD`` nodes a central node comes
+by their weights and by bits that their shingles hash to.  In a bucket of more than ``CROWD`` nodes a central node comes
 first, so that most others are in its class before they would be compared, and of
 the others those that share a rare shingle are compared (``link_crowds``).
 
@@ -45,6 +45,10 @@ CROWD = 64
 MORE = 64
 #: So many pairs of each class of a crowd are compared before all others.
 LIKELIEST = 4
+#: So many pairs with centres are compared at once; of more, the likeliest of each node and then of each two classes come first.
+FEW_PAIRS = 1 << 12
+#: Longs of the bits that say which shingles a node can have.
+LONGS = 16
 #: So many links are joined to classes by the driver; more by Spark, with equal results.
 FEW_LINKS = 1 << 16
 #: Narrow rows, and pairs to be verified, that one task reads at least, where there are so many.
@@ -131,15 +135,23 @@ def weights(term: np.ndarray, count: np.ndarray, steps: np.ndarray) -> np.ndarra
     return np.array(STEP_WEIGHTS)[steps[feature(term)]] * count
 
 
+def shingle_bits(doc: np.ndarray, term: np.ndarray, docs: int) -> np.ndarray:
+    """docs x ``LONGS`` array of 64 bits each: those that the document's shingles hash to."""
+    held = np.zeros((docs, LONGS * 64), bool)
+    held[doc, (mix(term) % np.uint64(LONGS * 64)).astype(np.int64)] = True
+    return np.packbits(held, axis=1).view(np.int64)
+
+
 def signatures(docs: DataFrame, text: str, steps, carry: list[str]) -> DataFrame:
-    """``carry`` plus node (a name of the shingles) and bands (null for texts without words)."""
+    """``carry`` plus node (a name of the shingles), bands (null for texts without words), total (their weight) and bits (``shingle_bits``)."""
 
     def make():
         sampler = Sampler(BANDS * ROWS, STEP_WEIGHTS)
 
         def step(block: Block) -> dict:
             doc, term, count = shingles(block)
-            sample = sampler.samples(doc, term, weights(term, count, steps.value), len(block)).astype(np.uint64)
+            weight = weights(term, count, steps.value)
+            sample = sampler.samples(doc, term, weight, len(block)).astype(np.uint64)
             band = np.zeros((len(block), BANDS), np.uint64)
             for k in range(ROWS):
                 band = mix(band * _ODD[k] + sample.reshape(len(block), BANDS, ROWS)[:, :, k] + np.uint64(1))
@@ -148,11 +160,13 @@ def signatures(docs: DataFrame, text: str, steps, carry: list[str]) -> DataFrame
             np.add.at(node, doc, mix(term ^ mix(count.astype(np.uint64))))
             some = np.bincount(doc, minlength=len(block)) > 0
             bands = [b.tolist() if s else None for b, s in zip(band.view(np.int64), some, strict=True)]
-            return {"node": pa.array(node.view(np.int64), mask=~some), "bands": pa.array(bands, pa.list_(pa.int64()))}
+            held = pa.ListArray.from_arrays(np.arange(len(block) + 1, dtype=np.int32) * LONGS, shingle_bits(doc, term, len(block)).ravel())
+            own = {"node": pa.array(node.view(np.int64), mask=~some), "bands": pa.array(bands, pa.list_(pa.int64()))}
+            return own | {"total": np.bincount(doc, weight, len(block)), "bits": held}
 
         return step
 
-    return map_blocks(docs, text, make, "node bigint, bands array<bigint>", carry)
+    return map_blocks(docs, text, make, "node bigint, bands array<bigint>, total double, bits array<bigint>", carry)
 
 
 def settled(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
@@ -234,11 +248,42 @@ def may_miss(x, y):
     return x - SIMILAR / (1 + SIMILAR) * (x + y)
 
 
+def may_be_near(x, x_bits, y, y_bits):
+    """Whether texts of weights ``x`` and ``y`` can be near: false only if they are not.
+
+    For each bit that one has alone it has a shingle that the other lacks, of a weight of 1 or more.
+    """
+
+    def alone(p, q):
+        return sum((F.bit_count(p[i].bitwiseAND(F.bitwise_not(q[i]))) for i in range(1, LONGS)), F.bit_count(p[0].bitwiseAND(F.bitwise_not(q[0]))))
+
+    return (alone(x_bits, y_bits) <= may_miss(x, y) + 1e-6) & (alone(y_bits, x_bits) <= may_miss(y, x) + 1e-6)
+
+
+def centre_pairs(rows: DataFrame, centres: DataFrame, later: bool) -> DataFrame:
+    """(node, centre, low, high, agree): the centres of other classes in a node's buckets that can be near; both classes; in how many bands they agree.
+
+    ``later`` leaves out those that share a rare shingle, if they are near.
+    """
+    own = [F.col(c).alias(n) for c, n in (("node", "centre"), ("class", "c"), ("bands", "b"), ("total", "centre_total"), ("rare", "centre_rare"), ("bits", "centre_bits"))]
+    ours = rows.join(centres, "node", "left_semi").select("bucket", *own)
+    same = F.zip_with("bands", "b", lambda x, y: x == y)
+    on = [F.col("l.bucket") == F.col("r.bucket"), F.col("class") != F.col("c")]
+    on.append(may_be_near(F.col("total"), F.col("bits"), F.col("centre_total"), F.col("centre_bits")))
+    if later:
+        on.append(F.col("rare") <= may_miss(F.col("total"), F.col("centre_total")) + 1e-9)
+        on.append(F.col("centre_rare") <= may_miss(F.col("centre_total"), F.col("total")) + 1e-9)
+    # two nodes meet only in the first of the buckets that they share
+    on.append(F.array_position(same, True) == F.col("band") + 1)
+    pairs = rows.filter("not tried").alias("l").join(ours.alias("r"), on)
+    return pairs.select("node", "centre", F.least("class", "c").alias("low"), F.greatest("class", "c").alias("high"), F.size(F.filter(same, lambda s: s)).alias("agree"))
+
+
 def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: DataFrame, steps) -> DataFrame:
     """``label`` after all links within the buckets of more than ``CROWD`` nodes.
 
     First the most supported node of each bucket, its centre, is compared with all
-    of it.  Then those that share a rare shingle are compared, the likeliest of each
+    of it that can be near by weights and bits and is not in its class by likelier pairs.  Then those that share a rare shingle are compared, the likeliest of each
     class first, and all that are in different classes after these: a near text of weight
     y lacks at most ``may_miss(x, y)`` of a text of weight x, so if the rare shingles of
     either weigh more than that, near texts share one.  Rounds of centres are left for
@@ -253,7 +298,7 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
     shares, rare = rare_shares(crowd_terms(crowd, packed, steps))
     rare = settled(rare.groupBy("node").agg(F.collect_list(F.struct("term", "first")).alias("terms")))
     support = crowd.groupBy("node").agg(F.sum("n").alias("support"))
-    crowd = settled(crowd.drop("n").join(support.join(nodes.select("node", "bands"), "node").join(shares, "node"), "node"))
+    crowd = settled(crowd.drop("n").join(support.join(nodes.select("node", "bands", "bits"), "node").join(shares, "node"), "node"))
     tried = None
     most = 1
     while True:
@@ -270,19 +315,17 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
         centres = settled(centres)
         if tried is not None and centres.isEmpty():
             return label
-        own = [F.col(c).alias(n) for c, n in (("node", "centre"), ("class", "c"), ("bands", "b"), ("total", "centre_total"), ("rare", "centre_rare"))]
-        ours = rows.join(centres, "node", "left_semi").select("bucket", *own)
-        # two nodes meet only in the first of the buckets that they share
-        first = F.array_position(F.zip_with("bands", "b", lambda x, y: x == y), True) == F.col("band") + 1
-        on = [F.col("l.bucket") == F.col("r.bucket"), F.col("class") != F.col("c"), first]
-        alike = (F.col("total") >= SIMILAR * F.col("centre_total") - 1e-9) & (F.col("centre_total") >= SIMILAR * F.col("total") - 1e-9)
-        on.append(alike)
-        if tried is not None:
-            on.append(F.col("rare") <= may_miss(F.col("total"), F.col("centre_total")) + 1e-9)
-            on.append(F.col("centre_rare") <= may_miss(F.col("centre_total"), F.col("total")) + 1e-9)
-        pairs = rows.filter("not tried").alias("l").join(ours.alias("r"), on)
-        pairs = settled(pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct(), TASK_PAIRS)
-        label = merged(label, settled(verify(pairs, packed, steps)))
+        # nodes and classes that their likeliest pairs join need none of the others between them
+        for of in (["node"], ["low", "high"], None):
+            pairs = settled(centre_pairs(rows, centres, tried is not None))
+            few = of is None or pairs.count() <= FEW_PAIRS
+            if not few:
+                pairs = pairs.groupBy(of).agg(F.max(F.struct("agree", "centre", "node")).alias("x")).select("x.node", "x.centre")
+            pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+            label = merged(label, settled(verify(settled(pairs, TASK_PAIRS), packed, steps)))
+            if few:
+                break
+            rows = settled(rows.drop("class").join(label, "node"))
         if tried is None:
             # a class that its likeliest pairs join needs none of its others
             for best in (LIKELIEST, None):
@@ -291,13 +334,14 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
         most *= MORE
 
 
-def small_pairs(met: DataFrame, label: DataFrame) -> DataFrame:
-    """Distinct pairs a < b, of different classes, that share a bucket of up to ``CROWD`` nodes."""
-    rows = met.filter(F.col("n") <= CROWD).join(label, "node")
-    one = F.struct("node", "class")
+def small_pairs(met: DataFrame, nodes: DataFrame, label: DataFrame) -> DataFrame:
+    """Distinct pairs a < b, of different classes, that share a bucket of up to ``CROWD`` nodes and can be near."""
+    rows = met.filter(F.col("n") <= CROWD).join(label, "node").join(nodes.select("node", "total", "bits"), "node")
+    one = F.struct("node", "class", "total", "bits")
     few = rows.groupBy("bucket").agg(F.array_sort(F.collect_list(one)).alias("all"), F.min("class").alias("low"), F.max("class").alias("high"))
     few = few.filter("low < high").select(F.explode("all").alias("x"), "all")
-    others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")))
+    near = lambda y: may_be_near(F.col("x.total"), F.col("x.bits"), y["total"], y["bits"])
+    others = F.filter("all", lambda y: (y["node"] > F.col("x.node")) & (y["class"] != F.col("x.class")) & near(y))
     return settled(few.select(F.col("x.node").alias("a"), F.explode(F.transform(others, lambda y: y["node"])).alias("b")).distinct(), TASK_PAIRS)
 
 
@@ -404,12 +448,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     keyed = rows.withColumn("text_key", F.xxhash64("raw"))
     signed = signatures(keyed, "raw", steps, ["doc_id", "text_key"])
     signed = checkpointed(signed.withColumn("node", F.coalesce("node", F.xxhash64("text_key", F.lit("no words")))))
-    nodes = checkpointed(signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(F.first("bands").alias("bands"), F.min("text_key").alias("text_key")))
+    nodes = checkpointed(signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", "total", "bits")], F.min("text_key").alias("text_key")))
     met = met_buckets(nodes)
     used = settled(met.select("node").distinct())
     packed = packed_texts(used, nodes, rows, "text")
     label = link_crowds(met, nodes, used.select("node", F.col("node").alias("class")), packed, steps)
-    found = merged(label, settled(verify(small_pairs(met, label), packed, steps)))
+    found = merged(label, settled(verify(small_pairs(met, nodes, label), packed, steps)))
     member = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
     member = checkpointed(member.withColumn("class", F.coalesce("class", "node")))
     # a table of its own, so that the join can split a common class
