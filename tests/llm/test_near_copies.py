@@ -183,3 +183,33 @@ def test_bits_leave_out_no_near_pair(spark):
     near = {(i, j) for j in range(len(texts)) for i in range(j) if len(set(exact([(0, texts[i]), (1, texts[j])], steps).values())) == 1}
     assert near <= maybe and 20 < len(near)
     assert len(maybe) < 0.7 * both.count()
+
+
+def test_few_rows_take_few_tasks(spark):
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    sc = spark.sparkContext
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few-tasks", "few-tasks")
+        found = by_id(nc.classes(awkward(spark, corpus())))
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description"):
+            sc.setLocalProperty(name, None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few-tasks") for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s)))
+    assert len(found) == len(corpus())
+    assert 0 < tasks < 900, tasks
+
+
+def test_few_and_many_rows_have_equal_classes(spark, monkeypatch):
+    draw = random.Random(23)
+    rows = list(enumerate([*variants(draw, 200), *(t for _, t in corpus())]))
+    few = by_id(nc.classes(awkward(spark, rows)))
+    monkeypatch.setattr(nc, "FEW_ROWS", -1)
+    monkeypatch.setattr(nc, "TASK_PAIRS", 16)
+    assert by_id(nc.classes(awkward(spark, rows))) == few

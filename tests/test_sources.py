@@ -1,3 +1,6 @@
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -83,6 +86,25 @@ def test_checkpoint_cuts_the_plan(spark):
     assert "Range" not in kept._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_a_checkpoint_can_free_its_shuffles(spark):
+    top = Path(spark.sparkContext._temp_dir).parents[1]
+
+    def shuffled():
+        return len(list(top.glob("blockmgr-*/*/shuffle_*")))
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = shuffled(), spark.conf.get(setting)
+    rows = spark.range(1000).withColumn("k", F.col("id") % 7)
+    frame = rows.groupBy("k").agg(F.count("id").alias("n")).join(rows.hint("merge"), "k").groupBy("k").agg(F.sum("n").alias("s"))
+    kept = checkpointed(frame, free=True)
+    until = time.time() + 20
+    while shuffled() > before and time.time() < until:
+        time.sleep(0.1)
+    assert shuffled() <= before
+    assert sorted(r.s for r in kept.collect()) == [142 * 142] + [143 * 143] * 6 and kept.count() == 7
+    assert spark.conf.get(setting) == was
+
+
 def test_kept_leaves_a_persisted_frame_alone(spark):
     from tidemark.sources import kept
 

@@ -54,6 +54,8 @@ FEW_LINKS = 1 << 16
 #: Narrow rows, and pairs to be verified, that one task reads at least, where there are so many.
 TASK_ROWS = 1 << 15
 TASK_PAIRS = 1 << 12
+#: So many narrow rows are broadcast to joins.
+FEW_ROWS = 1 << 14
 _CHUNK = 1 << 12
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -169,14 +171,18 @@ def signatures(docs: DataFrame, text: str, steps, carry: list[str]) -> DataFrame
     return map_blocks(docs, text, make, "node bigint, bands array<bigint>, total double, bits array<bigint>", carry)
 
 
-def settled(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+def settled(df: DataFrame, rows: int = TASK_ROWS, narrow: bool = True) -> DataFrame:
     """``df`` from a checkpoint, read by as many tasks as its rows ask for, or as wrote it, if fewer.
 
     Few rows in many partitions would leave many files of almost nothing in each
-    later shuffle.
+    later shuffle.  ``FEW_ROWS`` or fewer are broadcast to the joins that they
+    meet, so that the other side of these is not shuffled for them, unless they
+    are not ``narrow``.
     """
-    kept = checkpointed(df)
-    return kept.coalesce(1 + kept.count() // rows)
+    kept = checkpointed(df, free=True)
+    n = kept.coalesce(kept.sparkSession.sparkContext.defaultParallelism).count()
+    kept = kept.coalesce(1 + n // rows)
+    return F.broadcast(kept) if narrow and n <= FEW_ROWS else kept
 
 
 def met_buckets(nodes: DataFrame) -> DataFrame:
@@ -266,7 +272,7 @@ def centre_pairs(rows: DataFrame, centres: DataFrame, later: bool) -> DataFrame:
     ``later`` leaves out those that share a rare shingle, if they are near.
     """
     own = [F.col(c).alias(n) for c, n in (("node", "centre"), ("class", "c"), ("bands", "b"), ("total", "centre_total"), ("rare", "centre_rare"), ("bits", "centre_bits"))]
-    ours = rows.join(centres, "node", "left_semi").select("bucket", *own)
+    ours = settled(rows.join(centres, "node", "left_semi").select("bucket", *own))
     same = F.zip_with("bands", "b", lambda x, y: x == y)
     on = [F.col("l.bucket") == F.col("r.bucket"), F.col("class") != F.col("c")]
     on.append(may_be_near(F.col("total"), F.col("bits"), F.col("centre_total"), F.col("centre_bits")))
@@ -296,7 +302,7 @@ def link_crowds(met: DataFrame, nodes: DataFrame, label: DataFrame, packed: Data
     if crowd.isEmpty():
         return label
     shares, rare = rare_shares(crowd_terms(crowd, packed, steps))
-    rare = settled(rare.groupBy("node").agg(F.collect_list(F.struct("term", "first")).alias("terms")))
+    rare = settled(rare.groupBy("node").agg(F.collect_list(F.struct("term", "first")).alias("terms")), narrow=False)
     support = crowd.groupBy("node").agg(F.sum("n").alias("support"))
     crowd = settled(crowd.drop("n").join(support.join(nodes.select("node", "bands", "bits"), "node").join(shares, "node"), "node"))
     tried = None
@@ -358,12 +364,21 @@ def packed_texts(used: DataFrame, nodes: DataFrame, docs: DataFrame, text: str)
             yield pa.RecordBatch.from_pydict({"node": batch.column(0), "packed": pa.array(packed, pa.binary())})
 
     packed = texts.select("node", "raw").mapInArrow(press, "node bigint, packed binary")
-    return checkpointed(packed.groupBy("node").agg(F.first("packed").alias("packed")))
+    return checkpointed(packed.groupBy("node").agg(F.first("packed").alias("packed")), free=True)
 
 
 def verify(pairs: DataFrame, packed: DataFrame, steps) -> DataFrame:
-    """(a, b) of generalised Jaccard similarity ``SIMILAR`` or more, from the whole texts."""
-    both = pairs.join(packed.toDF("b", "packed_b"), "b").join(packed.toDF("a", "packed_a"), "a")
+    """(a, b) of generalised Jaccard similarity ``SIMILAR`` or more, from the whole texts.
+
+    Texts of no more pairs than one task reads are picked where they lie, and no others are shuffled.
+    """
+    if pairs.count() <= TASK_PAIRS:
+        ends = F.broadcast(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")))
+        held = packed.join(ends, "node").repartition(1)
+        text_of = lambda c: F.first(F.when(F.col("node") == F.col(c), F.col("packed")), ignorenulls=True).alias(f"packed_{c}")
+        both = held.groupBy("a", "b").agg(text_of("a"), text_of("b"))
+    else:
+        both = pairs.join(packed.toDF("b", "packed_b"), "b").join(packed.toDF("a", "packed_a"), "a")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
@@ -431,10 +446,11 @@ def merged(label: DataFrame, links: DataFrame) -> DataFrame:
     """``label`` (node, class) with the classes joined that ``links`` connect; a class is named by its least node."""
     if links.isEmpty():
         return label
-    between = links.join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b").filter("ca != cb")
-    between = settled(between.select(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+    ends = links.select("a", "b", F.explode(F.array("a", "b")).alias("node")).join(label, "node")
+    between = ends.groupBy("a", "b").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
+    between = settled(between.select(F.col("low").alias("a"), F.col("high").alias("b")).distinct())
     if between.count() <= FEW_LINKS:
-        new = joined_here(between)
+        new = F.broadcast(joined_here(between))
     else:
         new = components(between).toDF("class", "new")
     return settled(label.join(new, "class", "left").select("node", F.coalesce("new", "class").alias("class")))
@@ -448,14 +464,15 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     keyed = rows.withColumn("text_key", F.xxhash64("raw"))
     signed = signatures(keyed, "raw", steps, ["doc_id", "text_key"])
     signed = checkpointed(signed.withColumn("node", F.coalesce("node", F.xxhash64("text_key", F.lit("no words")))))
-    nodes = checkpointed(signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", "total", "bits")], F.min("text_key").alias("text_key")))
+    nodes = signed.filter(F.col("bands").isNotNull()).groupBy("node").agg(*[F.first(c).alias(c) for c in ("bands", "total", "bits")], F.min("text_key").alias("text_key"))
+    nodes = checkpointed(nodes, free=True)
     met = met_buckets(nodes)
     used = settled(met.select("node").distinct())
     packed = packed_texts(used, nodes, rows, "text")
     label = link_crowds(met, nodes, used.select("node", F.col("node").alias("class")), packed, steps)
     found = merged(label, settled(verify(small_pairs(met, nodes, label), packed, steps)))
     member = signed.select("doc_id", "text_key", "node").join(found, "node", "left")
-    member = checkpointed(member.withColumn("class", F.coalesce("class", "node")))
+    member = checkpointed(member.withColumn("class", F.coalesce("class", "node")), free=True)
     # a table of its own, so that the join can split a common class
     least = settled(member.groupBy("class").agg(F.min("doc_id").alias("class_id")))
     out = member.join(least, "class")
