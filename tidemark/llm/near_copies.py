@@ -54,6 +54,8 @@ FEW_LINKS = 1 << 16
 #: Narrow rows, and pairs to be verified, that one task reads at least, where there are so many.
 TASK_ROWS = 1 << 15
 TASK_PAIRS = 1 << 12
+#: Of so few pairs a task's texts take little of a Python worker's memory.
+PART_PAIRS = 1 << 9
 #: So many narrow rows are broadcast to joins.
 FEW_ROWS = 1 << 14
 _CHUNK = 1 << 12
@@ -372,9 +374,10 @@ def verify(pairs: DataFrame, packed: DataFrame, steps) -> DataFrame:
 
     Texts of no more pairs than one task reads are picked where they lie, and no others are shuffled.
     """
-    if pairs.count() <= TASK_PAIRS:
+    n = pairs.count()
+    if n <= TASK_PAIRS:
         ends = F.broadcast(pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")))
-        held = packed.join(ends, "node").repartition(1)
+        held = packed.join(ends, "node").repartition(1 + n // PART_PAIRS, "a", "b")
         text_of = lambda c: F.first(F.when(F.col("node") == F.col(c), F.col("packed")), ignorenulls=True).alias(f"packed_{c}")
         both = held.groupBy("a", "b").agg(text_of("a"), text_of("b"))
     else:
