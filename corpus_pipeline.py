@@ -4,7 +4,8 @@ Stages, in order: language identification drops texts without a determinable
 language; of each class of near copies the document of the least id stays;
 documents that the benchmark contaminates go; personal data and secrets are
 replaced; sources are mixed to their target weights.  All stages but the last
-return the columns of ``documents``.
+return the columns of ``documents``.  Stages that hand texts to Python set a limit
+to the session's Arrow batches, if it has none.
 
 Defined cases: an empty table stays empty through all stages; null and empty
 texts go in the first stage (they have no language); of repeated rows one stays
@@ -18,6 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import decontaminate, language, mixing, near_copies, surrogates
+from tidemark.llm.blocks import small_batches
 from tidemark.sources.scratch import scratch_path
 
 #: Share of a document's trigrams that its leading language must account for.
@@ -45,6 +47,7 @@ def _with_length(docs: DataFrame, before: DataFrame, changed: str) -> DataFrame:
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the mixture model determines; it learns from all of them that state one."""
+    small_batches(spark)
 
     def stage(held: DataFrame) -> DataFrame:
         found = language.predict(held, language.fit(held))
@@ -55,11 +58,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each class of near copies."""
+    small_batches(spark)
     return near_copies.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark windows cover less than the limit, without spans of a whole window or more."""
+    small_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
     def stage(held: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from tidemark.llm import mixing
+from tidemark.llm import decontaminate, language, mixing, near_copies
+from tidemark.llm.blocks import BATCH_BYTES
 
 from .test_decontaminate import brute
 
@@ -95,3 +97,66 @@ def test_stages_keep_columns_of_any_name(spark, folder):
         assert out.columns == docs.columns
         for r in out.collect():
             assert all(r[c] == f"{c}{r.doc_id}" for c in names)
+
+
+def batch_sizes(frame):
+    """(rows, bytes) of the Arrow batches in which tasks get the rows of ``frame``."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    return [tuple(r) for r in frame.mapInArrow(sizes, "rows bigint, bytes bigint").collect()]
+
+
+@pytest.fixture
+def no_limit(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit, None)
+    spark.conf.unset(limit)
+    yield limit
+    if before is None:
+        spark.conf.unset(limit)
+    else:
+        spark.conf.set(limit, before)
+
+
+def wide(spark, rows=300, times=100):
+    """Different texts of about 40 KB in one partition."""
+    docs = spark.createDataFrame([(k, f"n{k} {text_of(k)} ") for k in range(rows)], "doc_id bigint, text string").coalesce(1)
+    return docs.withColumns({"text": F.repeat("text", F.lit(times)), "lang": F.when(F.col("doc_id") % 2 == 1, "en").otherwise("de")})
+
+
+@pytest.mark.parametrize("stage", [cp.identify_language, cp.drop_near_copies, cp.drop_contaminated])
+def test_batches_of_texts_are_small(spark, folder, no_limit, stage):
+    """By Spark's own limit all rows would be one batch, or two."""
+    docs = wide(spark)
+    assert max(b for _, b in batch_sizes(docs)) > 3 * BATCH_BYTES
+    stage(spark, docs.limit(20), folder)
+    longest = 1 << 17
+    sizes = batch_sizes(docs)
+    assert sum(n for n, _ in sizes) == 300 and max(b for _, b in sizes) <= BATCH_BYTES + longest
+
+
+@pytest.mark.parametrize("query", [language.query, decontaminate.query, near_copies.query])
+def test_queries_of_the_same_operators_have_small_batches(spark, folder, no_limit, query):
+    query(spark, folder)
+    assert max(b for _, b in batch_sizes(wide(spark))) <= BATCH_BYTES + (1 << 17)
+
+
+def test_a_limit_of_the_session_stays(spark, folder, no_limit):
+    spark.conf.set(no_limit, "32m")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert ids(cp.identify_language(spark, docs, folder)) == ids(docs) - {102, 103, 104}
+    assert spark.conf.get(no_limit) == "32m"
+
+
+def test_batches_change_no_result(spark, folder, no_limit):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").coalesce(1)
+    found = []
+    for limit in ("64m", "1"):  # one batch, and one for each row
+        spark.conf.set(no_limit, limit)
+        rows = [decontaminate.query(spark, folder), language.query(spark, folder), near_copies.query(spark, folder)]
+        rows += [stage(spark, docs, folder) for stage in (cp.identify_language, cp.drop_near_copies, cp.drop_contaminated)]
+        found.append([sorted(map(str, r.collect())) for r in rows])
+    assert found[0] == found[1]

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BLOCK_BYTES = 1 << 18
 #: Documents of a block at most.
 BLOCK_DOCS = 1 << 12
+#: Of an Arrow batch; it ends with the row that reaches this.
+BATCH_BYTES = 1 << 21
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -38,6 +40,19 @@ def text_bytes(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on an Arrow batch takes about ``BATCH_BYTES``, unless the session has a limit of its own.
+
+    A batch lies in memory whole, in Spark and in Python.  By Spark's own limit it
+    would be a task's whole input, with as much again for what buffers grow by, and
+    neither process gives that back.  Spark asks for the limit when rows are made,
+    so it stays set.
+    """
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, str(BATCH_BYTES))
+
+
 def make_room(df: DataFrame, *added: str) -> DataFrame:
     """``df`` without the columns that results of the same names replace."""
     return df.select([df[c] for c in df.columns if c not in added])

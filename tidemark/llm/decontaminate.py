@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.blocks import WORD_BYTES, Block, Shared, hash_tokens, make_room, map_blocks, text_bytes
+from tidemark.llm.blocks import WORD_BYTES, Block, Shared, hash_tokens, make_room, map_blocks, small_batches, text_bytes
 
 WINDOW = 13
 #: A document is contaminated if hit words are at least this share (1 / 20) of its words.
@@ -260,6 +260,7 @@ def without_spans(text: str = "text", spans: str = "hit_spans", words: int = 1):
 
 
 def query(spark, folder: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     items = spark.read.parquet(f"{folder}/benchmark.parquet").select("item_id", "text")
     found = scan(docs, items)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.blocks import LOWER, Block, Shared, blocks, bounds, crc_share, make_room, map_blocks, text_bytes
+from tidemark.llm.blocks import LOWER, Block, Shared, blocks, bounds, crc_share, make_room, map_blocks, small_batches, text_bytes
 
 UNDETERMINED = "und"
 #: A language joins a document's set if the log-likelihood gains this many times log(trigrams).
@@ -214,6 +214,7 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def query(spark, folder: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     model = fit(docs.filter(~held_out()))
     found = predict(docs.select("doc_id", "text"), model)

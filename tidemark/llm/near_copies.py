@@ -30,7 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.blocks import WORD_BYTES, Block, blocks, map_blocks, mix, text_bytes
+from tidemark.llm.blocks import WORD_BYTES, Block, blocks, map_blocks, mix, small_batches, text_bytes
 from tidemark.llm.sampling import Sampler, count_terms
 from tidemark.sources.scratch import checkpointed
 
@@ -166,7 +166,7 @@ def signatures(docs: DataFrame, text: str, steps, carry: list[str]) -> DataFrame
             bands = [b.tolist() if s else None for b, s in zip(band.view(np.int64), some, strict=True)]
             held = pa.ListArray.from_arrays(np.arange(len(block) + 1, dtype=np.int32) * LONGS, shingle_bits(doc, term, len(block)).ravel())
             own = {"node": pa.array(node.view(np.int64), mask=~some), "bands": pa.array(bands, pa.list_(pa.int64()))}
-            return own | {"total": np.bincount(doc, weight, len(block)), "bits": held}
+            return own | {"total": np.bincount(doc, weight, len(block)).astype(float), "bits": held}  # of no shingles they are integers
 
         return step
 
@@ -500,4 +500,5 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 
 
 def query(spark, folder: str) -> DataFrame:
+    small_batches(spark)
     return classes(spark.read.parquet(f"{folder}/documents.parquet")).drop("text_key", "class")
