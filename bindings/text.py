@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.stopwords import STOP_WORDS
@@ -18,7 +19,7 @@ from tidemark.operators.concepts import (
     top_terms,
     truncated_svd,
 )
-from tidemark.operators.sparse_rows import as_doubles, as_packed, matrix_rows, transposed_times
+from tidemark.operators.sparse_rows import as_packed, column_squares, matrix_rows, transposed_times
 from tidemark.operators.lookups import exclude_terms
 from tidemark.operators.partition_map import map_with_setup
 from tidemark.operators.profiling import distinct_count
@@ -334,21 +335,19 @@ def lsa_term_weights(spark, folder):
 
 
 def _svd_checks(model, key: str = "doc_id") -> DataFrame:
-    """Per concept: lengths of u and v, and of A'u - sigma v and A v - sigma u in parts of the largest value."""
+    """Per concept: lengths of u and v, and of A'u - sigma v and A v - sigma u in parts of the largest value.
+
+    Rows of equal keys meet each other: each counts as often as its key, and rows without a key do not.
+    """
     svd, spark = model.svd, model.rows.sparkSession
-    documents = checkpointed(svd.documents)
-    back = transposed_times(model.rows.join(documents, key)).select("term_id", F.col("vector").alias("_back"))
-    there = project(model.rows, svd.terms, svd.sigma, key).select(key, F.col("vector").alias("_there"))
+    number = model.rows.groupBy(key).agg(F.count(F.lit(1)).alias("_times"))
+    rows = svd.beside(model.rows.join(number, key)).withColumnRenamed("vector", "_u")
+    weights = F.transform("weights", lambda w: w * F.col("_times"))
+    back = transposed_times(rows.select("terms", weights.alias("weights"), F.col("_u").alias("vector"))).select("term_id", F.col("vector").alias("_back"))
+    there = project(rows, svd.terms, svd.sigma, key, keep=("_u", "_times"))
     values = spark.createDataFrame([(i, float(s), float(s / svd.sigma[0])) for i, s in enumerate(svd.sigma)], "concept INT, sigma DOUBLE, share DOUBLE")
-
-    def squares(frame: DataFrame, left: str, right: str, scale) -> DataFrame:
-        both = frame.select(F.posexplode(F.arrays_zip(as_doubles(left).alias("x"), as_doubles(right).alias("y"))).alias("concept", "_p"))
-        gap = F.col("_p.x") - scale * F.col("_p.y")
-        sums = both.join(F.broadcast(values), "concept").groupBy("concept")
-        return sums.agg(F.sum(F.pow("_p.y", F.lit(2))).alias("length"), F.sum(gap * gap).alias("gap"))
-
-    v = squares(svd.terms.join(back, "term_id"), "_back", "vector", F.col("sigma")).toDF("concept", "v", "v_gap")
-    u = squares(documents.join(there, key), "_there", "vector", F.lit(1.0)).toDF("concept", "u", "u_gap")
+    v = column_squares(svd.terms.join(back, "term_id"), "_back", "vector", svd.sigma).toDF("concept", "v", "v_gap")
+    u = column_squares(there, "vector", "_u", np.ones(len(svd.sigma)), "_times").toDF("concept", "u", "u_gap")
     both = values.join(v, "concept").join(u, "concept")
     return both.select(
         "concept",

@@ -336,3 +336,45 @@ def test_entries_per_key_make_the_rows(docs):
     assert listed.count() == listed.select("doc_id").distinct().count()
     one, other = rows_of_entries(tokens, listed), document_rows(tokens, vocab)
     assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))
+
+
+def test_columns_vectors_stay_in_their_tasks(spark, monkeypatch):
+    """Of many columns only V is kept, not the vectors that the passes work with; rows go in several groups."""
+    from tidemark.operators import concepts, row_groups
+
+    kept = []
+
+    def spy(frame, free=False):
+        found = checkpointed(frame, free)
+        if "vector" in found.columns:
+            kept.append(sum(len(r.vector or b"") for r in found.select("vector").collect()))
+        return found
+
+    monkeypatch.setattr(concepts, "checkpointed", spy)
+    monkeypatch.setattr(row_groups, "GROUP_ROWS", 16)
+    monkeypatch.setattr(row_groups, "CACHE_BYTES", 4_000)
+    rows, full = random_rows(spark, 90, 3000)
+    svd = truncated_svd(checkpointed(rows), 3, method="blocks", terms=3000)
+    np.testing.assert_allclose(svd.sigma, np.linalg.svd(full, compute_uv=False)[:3], rtol=1e-7)
+    assert sum(kept) < 3000 * 32 * 8  # 32 vectors are what a pass over the columns took
+
+
+def test_blocks_of_a_matrix_of_low_rank_and_of_zeros(spark):
+    draw = np.random.default_rng(3)
+    full = draw.standard_normal((50, 2)) @ draw.standard_normal((2, 500))
+    rows = [(int(k), list(range(500)), [float(x) for x in r]) for k, r in enumerate(full)]
+    frame = checkpointed(spark.createDataFrame(rows, "doc_id bigint, terms array<bigint>, weights array<double>"))
+    svd = truncated_svd(frame, 5, method="blocks", terms=500)
+    np.testing.assert_allclose(svd.sigma, np.linalg.svd(full, compute_uv=False)[:2], rtol=1e-9)
+    none = truncated_svd(checkpointed(frame.withColumn("weights", F.transform("weights", lambda w: w * 0))), 5, method="blocks", terms=500)
+    assert not len(none.sigma) and none.document_weights().count() == 0 == none.term_weights().count()
+
+
+def test_many_passes_end_in_fewer_vectors(spark, monkeypatch):
+    """Where the basis gets too wide only its best go on."""
+    from tidemark.operators import concepts
+
+    monkeypatch.setattr(concepts, "KEPT_BLOCKS", 2)
+    rows, full = random_rows(spark, 300, 400, seed=4)
+    svd = truncated_svd(checkpointed(rows), 6, method="blocks", terms=400)
+    np.testing.assert_allclose(svd.sigma, np.linalg.svd(full, compute_uv=False)[:6], rtol=1e-6)

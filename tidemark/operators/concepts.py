@@ -4,12 +4,13 @@ The SVD is that of a randomised range: a few vectors more than concepts are
 multiplied by A and A' in turn until their singular values stand, each time made
 orthogonal by a QR factorisation of tall matrices.  A pass costs the same whatever
 the number of concepts asked of it, and no step is of columns times columns.  Where
-the vectors as a table of all columns are small they go to the tasks; else they stay
-a frame, and products are joins by blocks of columns.
+the vectors as a table of all columns are small they go to the tasks; else the basis is
+of the rows' side, and the columns' vectors are made in tasks by blocks (``row_groups``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +20,20 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.scratch import checkpointed
 from .ranking import top_per_group
 from .reshaping import explode_array
-from .sparse_rows import as_doubles, cells, gram_times, matrix_of, matrix_rows, r_factor, sketched, summed, times_frame, times_table, transposed_times, turned
+from .row_groups import (
+    block_count,
+    columns_factor,
+    columns_of_groups,
+    cut_groups,
+    factor_of,
+    gram_of_groups,
+    groups_turned,
+    products_of,
+    residual,
+    rows_of_groups,
+    with_products,
+)
+from .sparse_rows import as_doubles, cells, gram_times, matrix_of, matrix_rows, r_factor, summed, times_frame, times_table, turned
 from .terms import term_frequency, tfidf
 
 # Bytes of a table of all columns that may go to the driver and to every task.
@@ -33,12 +47,26 @@ KEPT_BLOCKS = 6
 
 @dataclass(frozen=True)
 class Decomposition:
-    """A ~ U S V': singular values, and the rows of V (term_id, vector) and U (key, vector) as frames."""
+    """A ~ U S V': singular values, and the rows of V (term_id, vector) and U (key, vector) as frames.
+
+    Where V over S went to the tasks as a table, ``table`` is that.
+    """
 
     sigma: np.ndarray
     terms: DataFrame
     documents: DataFrame
     key: str
+    table: np.ndarray | None = None
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """Rows of the matrix (key, terms, weights, ...) that have a key, each with its vector of U.
+
+        Of a table the vectors are made anew beside the rows, and U is not written anywhere.
+        """
+        keyed = rows.filter(F.col(self.key).isNotNull())
+        if self.table is not None:
+            return times_table(keyed, self.key, self.table, [c for c in rows.columns if c not in (self.key, "terms", "weights")])
+        return keyed.join(self.documents.dropDuplicates([self.key]), self.key)
 
     def singular_values(self, spark: SparkSession) -> DataFrame:
         rows = [(i, float(s)) for i, s in enumerate(self.sigma)]
@@ -83,8 +111,8 @@ def rows_of_entries(docs: DataFrame, listed: DataFrame, key: str = "doc_id") ->
     return both.select(key, terms.alias("terms"), weights.alias("weights"))
 
 
-def _as_rows(rows: DataFrame, key: str, column: str) -> DataFrame:
-    return rows.select(key, "terms", "weights") if "terms" in rows.columns else matrix_rows(rows, key, column)
+def _as_rows(rows: DataFrame, key: str, column: str, keep: Sequence[str] = ()) -> DataFrame:
+    return rows.select(key, "terms", "weights", *keep) if "terms" in rows.columns else matrix_rows(rows, key, column, keep)
 
 
 def column_count(rows: DataFrame) -> int:
@@ -180,7 +208,7 @@ def truncated_svd(
         return _svd_by_table(rows, k, key, r_cond, terms, width, passes, tolerance)
     if method != "blocks":
         raise ValueError(f"unknown method: {method}")
-    return _svd_by_blocks(rows, k, key, r_cond, width, passes, tolerance)
+    return _svd_by_blocks(rows, k, key, r_cond, terms, width, passes, tolerance)
 
 
 def _stands(values: np.ndarray, before: np.ndarray | None, k: int, tolerance: float) -> bool:
@@ -225,45 +253,76 @@ def _svd_by_table(rows, k, key, r_cond, terms, width, passes, tolerance) -> Deco
     sigma = sigma[:k][kept]
     v = basis @ turn[:k][kept].T
     v *= np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0) if v.size else 1.0
-    return Decomposition(sigma, _frame_of(rows.sparkSession, v), times_table(rows, key, v / sigma).select(key, "vector"), key)
+    return Decomposition(sigma, _frame_of(rows.sparkSession, v), times_table(rows, key, v / sigma).select(key, "vector"), key, v / sigma)
 
 
-def _svd_by_blocks(rows, k, key, r_cond, width, passes, tolerance) -> Decomposition:
-    image = checkpointed(transposed_times(sketched(rows, width)))
-    before = None
+def _svd_by_blocks(rows, k, key, r_cond, terms, width, passes, tolerance) -> Decomposition:
+    """The basis is of the rows' side: blocks of vectors, each A A' times the one before less what that has of all blocks."""
+    step = width if width >= terms else -(-width // 4)
+    blocks = block_count(rows, terms, max(step, min(k + 8, width)))
+    cut = checkpointed(cut_groups(rows, key, blocks, step))
+    left = checkpointed(residual([], [], cut.filter("block = -1").select("part", "vector"), step, None), free=True)
+    parts, widths, spread, squares, turn, before, least = [], [], np.zeros((0, 0)), np.zeros((0, 0)), None, None, 0.0
     for last in range(passes, 0, -1):
-        _, size, turn = np.linalg.svd(r_factor(image), full_matrices=False)
-        some = size > 1e-12 * size.max(initial=0)
-        basis = turned(image, "vector", turn[some].T / size[some], ["term_id"])
-        product = checkpointed(times_frame(rows, key, basis, int(some.sum()), image.count()))
-        _, sigma, turn = np.linalg.svd(r_factor(product), full_matrices=False)
-        if last == 1 or _stands(sigma, before, k, tolerance) or int(some.sum()) < width:
+        _, size, own = np.linalg.svd(factor_of(left, step), full_matrices=False)
+        some = size > max(1e-12 * size.max(initial=0), least)
+        if not some.any():  # the basis spans all that it can
+            break
+        known, own = spread.shape[1], own[some].T / size[some]  # the basis is the parts, side by side, times spread
+        spread = np.block([[spread, np.zeros((len(spread), own.shape[1]))], [np.zeros((step, known)), own]])
+        parts.append(left)
+        widths.append(step)
+        if not known and (step == width or own.shape[1] < step):
             break
-        before = sigma
-        image = checkpointed(transposed_times(product))
+        step = own.shape[1]
+        image = gram_of_groups(cut, groups_turned([left], widths[-1:], own), blocks, terms, step)
+        image = checkpointed(with_products(parts, widths, image, step), free=True)
+        products = products_of(image, step)
+        shared, least = spread.T @ products[: len(spread)], 1e-8 * np.sqrt(np.trace(products[len(spread) :]))
+        squares = np.block([[squares, shared[:known]], [shared[:known].T, (shared[known:] + shared[known:].T) / 2]])
+        values, turn = np.linalg.eigh(squares)
+        values, turn = np.sqrt(np.clip(values[::-1], 0, None))[:width], turn[:, ::-1]
+        if last == 1 or _stands(values, before, k, tolerance):
+            break
+        before = values if len(values) >= min(k, terms) else None
+        left = checkpointed(residual(parts, widths, image, step, spread @ shared), free=True)
+        if len(squares) + step > KEPT_BLOCKS * width:  # only the best go on
+            parts, widths = [checkpointed(groups_turned(parts, widths, spread @ turn[:, :width]), free=True)], [width]
+            spread, squares, turn = np.eye(width), np.diag(values**2), np.eye(width)
+    if not parts:
+        none = F.lit(b"").alias("vector")
+        return Decomposition(np.zeros(0), _numbers(rows.sparkSession, terms).select("term_id", none), rows.select(key, none), key)
+    turn = spread if turn is None else spread @ turn[:, : k + 8]
+    wide = turn.shape[1]
+    best = checkpointed(groups_turned(parts, widths, turn), free=True)
+    _, sigma, turn = np.linalg.svd(columns_factor(cut, best, blocks, terms, wide), full_matrices=False)
     kept = (sigma > r_cond * sigma.max(initial=0))[:k]
     sigma, turn = sigma[:k][kept], turn[:k][kept].T
-    signs = _signs(turned(basis, "vector", turn, ["term_id"]))
-    return Decomposition(sigma, turned(basis, "vector", turn * signs, ["term_id"]), turned(product, "vector", turn * signs / sigma, [key]), key)
+    v = checkpointed(columns_of_groups(cut, best, blocks, terms, wide, turn / sigma), free=True)
+    signs = _signs(v)
+    documents = checkpointed(rows_of_groups(cut, groups_turned([best], [wide], turn * signs), key, len(sigma)), free=True)
+    return Decomposition(sigma, turned(v, "vector", np.diag(signs), ["term_id"]), documents, key)
 
 
-def project(rows: DataFrame, terms: DataFrame, sigma: np.ndarray, key: str = "doc_id", column: str = "weights", method: str = "auto") -> DataFrame:
-    """(key, vector): the rows of U = A V S^-1 for a given V (term_id, vector).
+def project(
+    rows: DataFrame, terms: DataFrame, sigma: np.ndarray, key: str = "doc_id", column: str = "weights", method: str = "auto", keep: Sequence[str] = ()
+) -> DataFrame:
+    """(key, ...keep, vector): the rows of U = A V S^-1 for a given V (term_id, vector).
 
     V goes to the tasks only if it was measured to have at most ``TABLE_BYTES``
     (``method`` table), else it is joined by blocks of terms (blocks).
     """
-    rows = _as_rows(rows, key, column)
+    rows = _as_rows(rows, key, column, keep)
     width = len(sigma)
     if method == "auto":
         last = terms.agg(F.max("term_id")).first()[0]
         method = "table" if ((last or 0) + 1) * width * 8 <= TABLE_BYTES else "blocks"
     if method == "table":
         size = max(column_count(rows), column_count(terms.select(F.array("term_id").alias("terms"))))
-        product = times_table(rows, key, _table_of(terms, size))
+        product = times_table(rows, key, _table_of(terms, size), keep)
     else:
-        product = times_frame(rows, key, terms, width)
-    return turned(product, "vector", np.diag(1 / np.asarray(sigma)), [key])
+        product = times_frame(rows, key, terms, width, keep=keep)
+    return turned(product, "vector", np.diag(1 / np.asarray(sigma)), [key, *keep])
 
 
 def rebuilt(svd: Decomposition, method: str = "auto") -> DataFrame:

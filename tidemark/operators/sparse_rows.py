@@ -8,10 +8,11 @@ R of a QR factorisation, as wide as the dense vectors, by a tree of partial ones
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.vectors import sparse_parts
@@ -26,10 +27,10 @@ COLUMN_BLOCK_BYTES = 16 << 20
 CELL_BYTES = 8 << 20
 
 
-def matrix_rows(vectors: DataFrame, key: str, column: str) -> DataFrame:
-    """(key, terms, weights) of a Spark ML vector column."""
+def matrix_rows(vectors: DataFrame, key: str, column: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(key, terms, weights, ...keep) of a Spark ML vector column."""
     terms, weights = sparse_parts(F.col(column))
-    return vectors.select(key, terms.cast("array<bigint>").alias("terms"), weights.alias("weights"))
+    return vectors.select(key, terms.cast("array<bigint>").alias("terms"), weights.alias("weights"), *keep)
 
 
 def as_doubles(column: str) -> Column:
@@ -127,24 +128,25 @@ def summed(partial: DataFrame, key: str) -> DataFrame:
     kind = dict(partial.dtypes)[key]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total, started, key_type = None, None, False, None
-        keys, totals = [], []
+        last, total = None, None  # the key that may go on, a column of one, and its sum
         for batch in batches:
-            key_type = batch.schema.field(0).type
-            for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                vector = np.frombuffer(packed, np.float64)
-                if started and k == now:
-                    total = total + vector
-                    continue
-                if started:
-                    keys.append(now)
-                    totals.append(total.tobytes())
-                now, total, started = k, vector, True
-                if len(keys) >= 1000:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(totals, pa.binary())], [key, "vector"])
-                    keys, totals = [], []
-        if started:
-            yield pa.RecordBatch.from_arrays([pa.array([*keys, now], key_type), pa.array([*totals, total.tobytes()], pa.binary())], [key, "vector"])
+            keys, part = batch.column(0), matrix_of(batch.column(1))
+            if not len(keys):
+                continue
+            same = pc.equal(keys[1:], keys[:-1]).fill_null(False).to_numpy(zero_copy_only=False)
+            if keys.null_count:  # nulls are one key
+                same |= (keys[1:].is_null().to_numpy(zero_copy_only=False)) & (keys[:-1].is_null().to_numpy(zero_copy_only=False))
+            start = np.concatenate([[0], np.flatnonzero(~same) + 1])
+            sums = np.add.reduceat(part, start, axis=0) if part.shape[1] else np.zeros((len(start), 0))
+            if last is not None and last[0].as_py() == keys[0].as_py():
+                sums[0] = total + sums[0]
+            elif last is not None:
+                yield pa.RecordBatch.from_arrays([last, packed_rows(total[None])], [key, "vector"])
+            if len(start) > 1:
+                yield pa.RecordBatch.from_arrays([keys.take(pa.array(start[:-1])), packed_rows(sums[:-1])], [key, "vector"])
+            last, total = keys.take(pa.array(start[-1:])), sums[-1]
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([last, packed_rows(total[None])], [key, "vector"])
 
     placed = partial.select(key, "vector").repartition(key).sortWithinPartitions(key)
     return placed.mapInArrow(add, f"{key} {kind}, vector binary")
@@ -158,13 +160,19 @@ def _r_of_parts(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
             held.append(part)
             size += len(part)
             if size > 2 * part.shape[1] + 4096:
-                held = [_reduced(held)]
+                held = [reduced(held)]
                 size = len(held[0])
     if held:
-        yield pa.RecordBatch.from_arrays([packed_rows(_reduced(held))], ["r"])
+        yield pa.RecordBatch.from_arrays([packed_rows(reduced(held))], ["r"])
+
 
+def few_tasks(rows: DataFrame) -> DataFrame:
+    """The rows in at most four tasks a core, for what sends much from each task whatever its rows."""
+    return rows.coalesce(4 * rows.sparkSession.sparkContext.defaultParallelism)
 
-def _reduced(held: list[np.ndarray]) -> np.ndarray:
+
+def reduced(held: list[np.ndarray]) -> np.ndarray:
+    """R of the rows of all parts, or the rows themselves if these are fewer."""
     whole = np.concatenate(held)
     return np.linalg.qr(whole, mode="r") if len(whole) > whole.shape[1] else whole
 
@@ -189,28 +197,29 @@ def r_factor(rows: DataFrame, column: str = "vector", table: np.ndarray | None =
     def product_factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _r_of_parts(product for batch in batches for _, _, product in _products(batch, 0, 1, shared.value))
 
-    partial = rows.select(column).mapInArrow(factor, "r binary") if table is None else rows.select("terms", "weights").mapInArrow(product_factor, "r binary")
+    partial = rows.select(column).mapInArrow(factor, "r binary") if table is None else few_tasks(rows.select("terms", "weights")).mapInArrow(product_factor, "r binary")
     tasks = rows.sparkSession.sparkContext.defaultParallelism
     partial = partial.repartition(max(1, tasks // 4)).mapInArrow(factor, "r binary")
     found = matrix_of(partial.toArrow().column(0).combine_chunks())
-    return _reduced([found]) if len(found) else found
+    return reduced([found]) if len(found) else found
 
 
-def times_table(rows: DataFrame, key: str, table: np.ndarray) -> DataFrame:
-    """(key, terms, weights, vector): each row times a table of all columns, which goes to the tasks.
+def times_table(rows: DataFrame, key: str, table: np.ndarray, keep: Sequence[str] = ()) -> DataFrame:
+    """(key, terms, weights, ...keep, vector): each row times a table of all columns, which goes to the tasks.
 
     For tables of a checked size.
     """
     shared = rows.sparkSession.sparkContext.broadcast(table)
+    names = [key, "terms", "weights", *keep]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop, product in _products(batch, 1, 2, shared.value):
                 own = batch.slice(start, stop - start)
-                yield pa.RecordBatch.from_arrays([*own.columns, packed_rows(product)], [key, "terms", "weights", "vector"])
+                yield pa.RecordBatch.from_arrays([*own.columns, packed_rows(product)], [*names, "vector"])
 
-    kind = dict(rows.dtypes)[key]
-    return rows.select(key, "terms", "weights").mapInArrow(task, f"{key} {kind}, terms array<bigint>, weights array<double>, vector binary")
+    kinds = dict(rows.dtypes) | {"terms": "array<bigint>", "weights": "array<double>"}
+    return rows.select(*names).mapInArrow(task, ", ".join(f"{c} {kinds[c]}" for c in names) + ", vector binary")
 
 
 def gram_times(rows: DataFrame, table: np.ndarray) -> DataFrame:
@@ -228,7 +237,7 @@ def gram_times(rows: DataFrame, table: np.ndarray) -> DataFrame:
                     yield from sums.add(own, block.T @ (block @ shared.value[own]))
         yield from sums.empty()
 
-    return summed(rows.select("terms", "weights").mapInArrow(task, "term_id bigint, vector binary"), "term_id")
+    return summed(few_tasks(rows.select("terms", "weights")).mapInArrow(task, "term_id bigint, vector binary"), "term_id")
 
 
 def _salts(rows: DataFrame, blocks: int) -> int:
@@ -236,7 +245,7 @@ def _salts(rows: DataFrame, blocks: int) -> int:
     return max(1, -(-rows.sparkSession.sparkContext.defaultParallelism // blocks))
 
 
-def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int, count: int | None = None) -> DataFrame:
+def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int, count: int | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """The same for ``count`` vectors (term_id, vector), any number: a join by blocks of columns.
 
     Rows are cut by block; a block's vectors come first in their task and its
@@ -291,7 +300,7 @@ def times_frame(rows: DataFrame, key: str, vectors: DataFrame, width: int, count
 
     none = F.lit(np.zeros(width).tobytes())  # rows without a column have a vector too
     partial = placed.mapInArrow(task, f"{key} {kind}, vector binary").unionByName(rows.select(key, none.alias("vector")))
-    return rows.select(key, "terms", "weights").join(summed(partial, key), key)
+    return rows.select(key, "terms", "weights", *keep).join(summed(partial, key), key)
 
 
 def transposed_times(rows: DataFrame) -> DataFrame:
@@ -308,7 +317,7 @@ def transposed_times(rows: DataFrame) -> DataFrame:
         if sums:
             yield from sums.empty()
 
-    return summed(rows.select("terms", "weights", "vector").mapInArrow(task, "term_id bigint, vector binary"), "term_id")
+    return summed(few_tasks(rows.select("terms", "weights", "vector")).mapInArrow(task, "term_id bigint, vector binary"), "term_id")
 
 
 def turned(rows: DataFrame, column: str, table: np.ndarray, keep: list[str]) -> DataFrame:
@@ -325,23 +334,37 @@ def turned(rows: DataFrame, column: str, table: np.ndarray, keep: list[str]) ->
     return rows.select(*keep, column).mapInArrow(task, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", vector binary")
 
 
-def sketched(rows: DataFrame, width: int, per_column: int = 8) -> DataFrame:
-    """(terms, weights, vector): each row times a sparse table of random signs, made from the column numbers."""
+def sketch_of(terms: pa.Array, weights: pa.Array, width: int, per_column: int = 8) -> np.ndarray:
+    """The rows times a sparse table of random signs, made from the column numbers."""
+    out = np.zeros((len(terms), width))
+    for start, stop, own, block in dense_blocks(terms, weights):
+        table = np.zeros((len(own), width))
+        for k in range(per_column):
+            bits = (own.astype(np.uint64) + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+            bits = (bits ^ (bits >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F)
+            bits ^= bits >> np.uint64(29)
+            np.add.at(table, (np.arange(len(own)), (bits >> np.uint64(1)) % np.uint64(width)), np.where(bits & np.uint64(1), 1.0, -1.0))
+        out[start:stop] = block @ table
+    return out
+
+
+def column_squares(rows: DataFrame, left: str, right: str, scale: np.ndarray, times: str | None = None) -> DataFrame:
+    """(concept, length, gap): sums over rows, each taken ``times`` times, of y^2 and of (x - scale y)^2 for each place of two vectors."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, len(scale)))
         for batch in batches:
-            out = np.zeros((batch.num_rows, width))
-            for start, stop, own, block in dense_blocks(batch.column(0), batch.column(1)):
-                table = np.zeros((len(own), width))
-                for k in range(per_column):
-                    bits = (own.astype(np.uint64) + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
-                    bits = (bits ^ (bits >> np.uint64(32))) * np.uint64(0xA0761D6478BD642F)
-                    bits ^= bits >> np.uint64(29)
-                    np.add.at(table, (np.arange(len(own)), (bits >> np.uint64(1)) % np.uint64(width)), np.where(bits & np.uint64(1), 1.0, -1.0))
-                out[start:stop] = block @ table
-            yield pa.RecordBatch.from_arrays([*batch.columns, packed_rows(out)], ["terms", "weights", "vector"])
-
-    return rows.select("terms", "weights").mapInArrow(task, "terms array<bigint>, weights array<double>, vector binary")
+            step = max(1, BLOCK_CELLS // max(1, len(scale)))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                x, y = matrix_of(part.column(0)), matrix_of(part.column(1))
+                count = part.column(2).to_numpy()
+                total += count @ (y * y), count @ np.square(x - scale * y)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(scale), dtype=np.int32)), pa.array(total[0]), pa.array(total[1])], ["concept", "length", "gap"])
+
+    each = F.lit(1.0) if times is None else F.col(times).cast("double")
+    sums = rows.select(left, right, each.alias("_times")).mapInArrow(task, "concept int, length double, gap double")
+    return sums.groupBy("concept").agg(F.sum("length").alias("length"), F.sum("gap").alias("gap"))
 
 
 def _cells_of(keys: pa.Array, left: np.ndarray, numbers: np.ndarray, right: np.ndarray, key: str) -> Iterator[pa.RecordBatch]:

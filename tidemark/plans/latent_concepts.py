@@ -43,6 +43,6 @@ def fit_concepts(
     The text is read twice: once to count terms, once to build the sparse rows.
     ``svd`` are settings of ``truncated_svd``.
     """
-    vocab = checkpointed(vocabulary(document_terms(docs, key), num_terms))
-    rows = checkpointed(document_rows(docs, vocab, key, max_terms=num_terms))
+    vocab = checkpointed(vocabulary(document_terms(docs, key), num_terms), free=True)
+    rows = checkpointed(document_rows(docs, vocab, key, max_terms=num_terms), free=True)
     return ConceptModel(vocab, rows, truncated_svd(rows, k, key, r_cond=r_cond, **svd), key)
