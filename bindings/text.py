@@ -19,7 +19,7 @@ from tidemark.operators.concepts import (
     top_terms,
     truncated_svd,
 )
-from tidemark.operators.sparse_rows import as_packed, column_squares, matrix_rows, transposed_times
+from tidemark.operators.sparse_rows import as_packed, column_squares, matrix_rows, small_batches, transposed_times
 from tidemark.operators.lookups import exclude_terms
 from tidemark.operators.partition_map import map_with_setup
 from tidemark.operators.profiling import distinct_count
@@ -340,6 +340,7 @@ def _svd_checks(model, key: str = "doc_id") -> DataFrame:
     Rows of equal keys meet each other: each counts as often as its key, and rows without a key do not.
     """
     svd, spark = model.svd, model.rows.sparkSession
+    small_batches(spark)
     number = model.rows.groupBy(key).agg(F.count(F.lit(1)).alias("_times"))
     rows = svd.beside(model.rows.join(number, key)).withColumnRenamed("vector", "_u")
     weights = F.transform("weights", lambda w: w * F.col("_times"))

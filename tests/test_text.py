@@ -378,3 +378,32 @@ def test_many_passes_end_in_fewer_vectors(spark, monkeypatch):
     rows, full = random_rows(spark, 300, 400, seed=4)
     svd = truncated_svd(checkpointed(rows), 6, method="blocks", terms=400)
     np.testing.assert_allclose(svd.sigma, np.linalg.svd(full, compute_uv=False)[:6], rtol=1e-6)
+
+
+def test_report_writes_and_joins_no_vectors_of_documents(spark, docs, monkeypatch):
+    """The sums of the report are made beside the rows; documents with equal ids meet each other, those without do not count."""
+    import bindings.text as queries
+
+    kept = []
+    monkeypatch.setattr(queries, "checkpointed", lambda frame, *a: (kept.append(frame.columns), checkpointed(frame, *a))[1])
+    model = fit_concepts(T.document_tokens(docs), 4, 6)
+    found = queries._svd_report(model, 5).first()
+    assert found.u_miss == found.v_miss == found.u_gap == found.v_gap == 0 and found.ordered and found.within
+    assert not any("vector" in columns for columns in kept)
+    checks = queries._svd_checks(model)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("_u#" not in line for line in checks.splitlines() if "Join" in line)
+
+    twice = docs.unionByName(docs.orderBy("doc_id").limit(1)).unionByName(docs.limit(1).withColumn("doc_id", F.lit(None).cast("bigint")))
+    model = fit_concepts(T.document_tokens(twice), 4, 6)
+    rows = [r for r in model.rows.collect() if r.doc_id is not None]
+    times = np.array([sum(r.doc_id == x.doc_id for x in rows) for r in rows])
+    matrix = np.zeros((len(rows), 6))
+    for r, row in zip(rows, matrix, strict=True):
+        np.add.at(row, list(r.terms), list(r.weights))
+    v = entries(model.svd.term_weights(), list(range(6)), "term_id")
+    u = matrix @ v / model.svd.sigma
+    got = {r.concept: r for r in queries._svd_checks(model).collect()}
+    for c, sigma in enumerate(model.svd.sigma):
+        assert got[c].u_length == pytest.approx(np.sqrt(times @ u[:, c] ** 2), abs=1e-6)
+        gap = np.linalg.norm((matrix * times[:, None]).T @ u[:, c] - sigma * v[:, c]) / model.svd.sigma[0]
+        assert got[c].v_gap == pytest.approx(gap, abs=1e-6) and got[c].u_gap == pytest.approx(0, abs=1e-9)

@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.vectors import sparse_parts
 
@@ -26,6 +26,16 @@ COLUMN_BLOCK_BYTES = 16 << 20
 # Bytes of cells that a task makes at a time.
 CELL_BYTES = 8 << 20
 
+# Bytes of an Arrow batch of dense vectors.
+BATCH_BYTES = 16 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on an Arrow batch takes about ``BATCH_BYTES``, unless the session has a limit of its own."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(limit, None) is None:
+        spark.conf.set(limit, str(BATCH_BYTES))
+
 
 def matrix_rows(vectors: DataFrame, key: str, column: str, keep: Sequence[str] = ()) -> DataFrame:
     """(key, terms, weights, ...keep) of a Spark ML vector column."""
