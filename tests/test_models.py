@@ -339,3 +339,38 @@ def test_unseen_items_make_the_ratings_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "ratings", lambda spark, folder: pairs.filter("user * 7 % 10 != item"))
     queries.als_unseen(spark, "").collect()
     assert made.value <= 200
+
+
+def test_blocks_of_users_and_items_grow_in_number_not_in_size(spark, counts, monkeypatch):
+    from tidemark.operators import ratings
+
+    asked = []
+    for name in ("setNumUserBlocks", "setNumItemBlocks"):
+        real = getattr(ratings.ALS, name)
+        monkeypatch.setattr(ratings.ALS, name, lambda self, n, real=real: (asked.append(n), real(self, n))[1])
+    monkeypatch.setattr(ratings, "RATINGS_PER_BLOCK", 20)
+    model = fit_als(counts, rank=3)
+    assert asked == [12, 12] and model.userFactors.count() == 30 and model.itemFactors.count() == 20
+    gaps = normal_equation_gaps(model, counts, 0.01).collect()
+    assert len(gaps) == 30 and all(r.gap < 1e-3 for r in gaps)
+
+
+@pytest.mark.parametrize("query", ["als_factors", "als_recommend"])
+def test_fits_make_the_ratings_once_and_do_not_copy_them(spark, monkeypatch, query):
+    from bindings import ratings as queries
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(k):
+        made.add(1)
+        return k // 10
+
+    pairs = spark.range(100).select(counted("id").alias("user"), (F.col("id") % 10).cast("int").alias("item"), F.lit(1.0).cast("float").alias("rating"))
+    monkeypatch.setattr(queries, "ratings", lambda spark, folder: pairs.filter("user * 7 % 10 != item"))
+    monkeypatch.setattr(queries, "name_lines", lambda spark, folder: spark.createDataFrame([("1\tone",)], "value STRING"))
+    persisted = []
+    real = type(pairs).persist
+    monkeypatch.setattr(type(pairs), "persist", lambda self, *a: (persisted.append(self.columns), real(self, *a))[1])
+    queries.QUERIES[query](spark, "").collect()
+    assert made.value <= 200 and not persisted
