@@ -407,3 +407,14 @@ def test_report_writes_and_joins_no_vectors_of_documents(spark, docs, monkeypatc
         assert got[c].u_length == pytest.approx(np.sqrt(times @ u[:, c] ** 2), abs=1e-6)
         gap = np.linalg.norm((matrix * times[:, None]).T @ u[:, c] - sigma * v[:, c]) / model.svd.sigma[0]
         assert got[c].v_gap == pytest.approx(gap, abs=1e-6) and got[c].u_gap == pytest.approx(0, abs=1e-9)
+
+
+def test_blocks_of_rows_with_equal_keys(spark):
+    """Rows of equal keys add up, and those without a key are left out."""
+    rows, full = random_rows(spark, 40, 12)
+    first = rows.filter("doc_id = 7")
+    svd = truncated_svd(checkpointed(rows.unionByName(first).unionByName(first.withColumn("doc_id", F.lit(None).cast("bigint")))), 12, method="blocks")
+    both = np.concatenate([full, full[7:8]])
+    both[[7, 40]] *= 2
+    np.testing.assert_allclose(svd.sigma, np.linalg.svd(both, compute_uv=False)[: len(svd.sigma)], rtol=1e-9)
+    assert svd.documents.count() == 41 and svd.documents.filter("doc_id = 7").count() == 2

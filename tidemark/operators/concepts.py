@@ -256,8 +256,17 @@ def _svd_by_table(rows, k, key, r_cond, terms, width, passes, tolerance) -> Deco
     return Decomposition(sigma, _frame_of(rows.sparkSession, v), times_table(rows, key, v / sigma).select(key, "vector"), key, v / sigma)
 
 
+def _repeats_added(rows: DataFrame, key: str) -> DataFrame:
+    """The rows that have a key; rows of equal keys each have the sum of theirs, which are equal."""
+    number = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_times"))
+    if number.filter((F.col("_times") > 1) | F.col(key).isNull()).isEmpty():
+        return rows
+    return rows.join(number, key).select(key, "terms", F.transform("weights", lambda w: w * F.col("_times")).alias("weights"))
+
+
 def _svd_by_blocks(rows, k, key, r_cond, terms, width, passes, tolerance) -> Decomposition:
     """The basis is of the rows' side: blocks of vectors, each A A' times the one before less what that has of all blocks."""
+    rows = _repeats_added(rows, key)
     step = width if width >= terms else -(-width // 4)
     blocks = block_count(rows, terms, max(step, min(k + 8, width)))
     cut = checkpointed(cut_groups(rows, key, blocks, step))

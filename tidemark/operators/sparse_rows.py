@@ -147,11 +147,11 @@ def summed(partial: DataFrame, key: str) -> DataFrame:
             if keys.null_count:  # nulls are one key
                 same |= (keys[1:].is_null().to_numpy(zero_copy_only=False)) & (keys[:-1].is_null().to_numpy(zero_copy_only=False))
             start = np.concatenate([[0], np.flatnonzero(~same) + 1])
-            sums = np.add.reduceat(part, start, axis=0) if part.shape[1] else np.zeros((len(start), 0))
             if last is not None and last[0].as_py() == keys[0].as_py():
-                sums[0] = total + sums[0]
+                part = np.concatenate([total[None] + part[:1], part[1:]])  # vectors are added in order
             elif last is not None:
                 yield pa.RecordBatch.from_arrays([last, packed_rows(total[None])], [key, "vector"])
+            sums = np.add.reduceat(part, start, axis=0) if part.shape[1] else np.zeros((len(start), 0))
             if len(start) > 1:
                 yield pa.RecordBatch.from_arrays([keys.take(pa.array(start[:-1])), packed_rows(sums[:-1])], [key, "vector"])
             last, total = keys.take(pa.array(start[-1:])), sums[-1]
@@ -176,9 +176,14 @@ def _r_of_parts(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([packed_rows(reduced(held))], ["r"])
 
 
-def few_tasks(rows: DataFrame) -> DataFrame:
-    """The rows in at most four tasks a core, for what sends much from each task whatever its rows."""
-    return rows.coalesce(4 * rows.sparkSession.sparkContext.defaultParallelism)
+def few_tasks(rows: DataFrame, known: bool = False) -> DataFrame:
+    """The rows in at most four tasks a core, for what sends much from each task whatever its rows.
+
+    Rows that are in no more tasks stay as they are and in their order; how many there are is
+    asked only of rows that are ``known``, as those of a checkpoint, since it may run their plan.
+    """
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism
+    return rows if known and rows.rdd.getNumPartitions() <= tasks else rows.coalesce(tasks)
 
 
 def reduced(held: list[np.ndarray]) -> np.ndarray:
@@ -207,7 +212,7 @@ def r_factor(rows: DataFrame, column: str = "vector", table: np.ndarray | None =
     def product_factor(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _r_of_parts(product for batch in batches for _, _, product in _products(batch, 0, 1, shared.value))
 
-    partial = rows.select(column).mapInArrow(factor, "r binary") if table is None else few_tasks(rows.select("terms", "weights")).mapInArrow(product_factor, "r binary")
+    partial = rows.select(column).mapInArrow(factor, "r binary") if table is None else few_tasks(rows.select("terms", "weights"), True).mapInArrow(product_factor, "r binary")
     tasks = rows.sparkSession.sparkContext.defaultParallelism
     partial = partial.repartition(max(1, tasks // 4)).mapInArrow(factor, "r binary")
     found = matrix_of(partial.toArrow().column(0).combine_chunks())
@@ -247,7 +252,7 @@ def gram_times(rows: DataFrame, table: np.ndarray) -> DataFrame:
                     yield from sums.add(own, block.T @ (block @ shared.value[own]))
         yield from sums.empty()
 
-    return summed(few_tasks(rows.select("terms", "weights")).mapInArrow(task, "term_id bigint, vector binary"), "term_id")
+    return summed(few_tasks(rows.select("terms", "weights"), True).mapInArrow(task, "term_id bigint, vector binary"), "term_id")
 
 
 def _salts(rows: DataFrame, blocks: int) -> int:
