@@ -12,7 +12,6 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.vectors import sparse_parts
@@ -138,25 +137,24 @@ def summed(partial: DataFrame, key: str) -> DataFrame:
     kind = dict(partial.dtypes)[key]
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, total = None, None  # the key that may go on, a column of one, and its sum
+        now, total, started, key_type = None, None, False, None
+        keys, totals = [], []
         for batch in batches:
-            keys, part = batch.column(0), matrix_of(batch.column(1))
-            if not len(keys):
-                continue
-            same = pc.equal(keys[1:], keys[:-1]).fill_null(False).to_numpy(zero_copy_only=False)
-            if keys.null_count:  # nulls are one key
-                same |= (keys[1:].is_null().to_numpy(zero_copy_only=False)) & (keys[:-1].is_null().to_numpy(zero_copy_only=False))
-            start = np.concatenate([[0], np.flatnonzero(~same) + 1])
-            if last is not None and last[0].as_py() == keys[0].as_py():
-                part = np.concatenate([total[None] + part[:1], part[1:]])  # vectors are added in order
-            elif last is not None:
-                yield pa.RecordBatch.from_arrays([last, packed_rows(total[None])], [key, "vector"])
-            sums = np.add.reduceat(part, start, axis=0) if part.shape[1] else np.zeros((len(start), 0))
-            if len(start) > 1:
-                yield pa.RecordBatch.from_arrays([keys.take(pa.array(start[:-1])), packed_rows(sums[:-1])], [key, "vector"])
-            last, total = keys.take(pa.array(start[-1:])), sums[-1]
-        if last is not None:
-            yield pa.RecordBatch.from_arrays([last, packed_rows(total[None])], [key, "vector"])
+            key_type = batch.schema.field(0).type
+            for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                vector = np.frombuffer(packed, np.float64)
+                if started and k == now:
+                    total = total + vector
+                    continue
+                if started:
+                    keys.append(now)
+                    totals.append(total.tobytes())
+                now, total, started = k, vector, True
+                if len(keys) >= 1000:
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, key_type), pa.array(totals, pa.binary())], [key, "vector"])
+                    keys, totals = [], []
+        if started:
+            yield pa.RecordBatch.from_arrays([pa.array([*keys, now], key_type), pa.array([*totals, total.tobytes()], pa.binary())], [key, "vector"])
 
     placed = partial.select(key, "vector").repartition(key).sortWithinPartitions(key)
     return placed.mapInArrow(add, f"{key} {kind}, vector binary")
